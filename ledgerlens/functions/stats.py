@@ -29,12 +29,13 @@ def fround(c, scale: int = 4) -> Column:
     the summation order's last-bit noise was.
     """
     m = float(10 ** scale)
-    return F.round(col(c) * F.lit(TIE_NUDGE) * F.lit(m)) / F.lit(m)
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (engines differ on the sign of zero)
+    return F.round(col(c) * F.lit(TIE_NUDGE) * F.lit(m)) / F.lit(m) + F.lit(0.0)
 
 
 def sql_round(expr: str, scale: int = 4) -> str:
     """The same rounding written for the SQL oracle."""
-    return f"round(({expr}) * CAST({TIE_NUDGE!r} AS DOUBLE), {scale})"
+    return f"(round(({expr}) * CAST({TIE_NUDGE!r} AS DOUBLE), {scale}) + 0.0)"
 
 
 def safe_div(a, b) -> Column:
