@@ -179,6 +179,22 @@ def density_histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
         "mean", "median")
 
 
+def grouped_histogram(df: DataFrame, col: str, group: str, bins: int) -> DataFrame:
+    """B11 per group, each group over its own [min, max]; all bins listed."""
+    x = F.col(col).cast("double")
+    st = df.where(x.isNotNull()).groupBy(group).agg(
+        F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n"))
+    # one row per group: bounded by the number of windows
+    idx = F.least(F.floor((x - F.col("mn")) * bins / (F.col("mx") - F.col("mn"))), F.lit(bins - 1)).cast("int")
+    cnt = (df.where(x.isNotNull()).join(F.broadcast(st), group)
+           .groupBy(group, idx.alias("bin")).agg(F.count(F.lit(1)).alias("cnt")))
+    grid = st.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    w = (F.col("mx") - F.col("mn")) / bins
+    return grid.join(cnt, [group, "bin"], "left").select(
+        group, "bin", F.coalesce("cnt", F.lit(0)).cast("bigint").alias("count"),
+        (F.coalesce("cnt", F.lit(0)) / (F.col("n") * w)).alias("density"))
+
+
 def kde_curve(df: DataFrame, col: str, points: int = 1000, cutoff: float = 9.0) -> DataFrame:
     """Gaussian KDE (Scott bandwidth n^(-1/5)·std) on a grid of ``points``
     spanning [min - range/2, max + range/2].
