@@ -302,14 +302,21 @@ def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
     vy = F.col("syy") - F.col("sy") * F.col("sy") / n
-    # a constant (pairwise) column has zero variance up to rounding noise
-    r = F.when((vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy")), cov / F.sqrt(vx * vy))
+    # a column constant on the pairwise rows has zero variance up to rounding
+    # noise; the tolerance is relative to the raw magnitude sum((x0 + shift)^2)
+    shifts = F.array(*[F.lit(float(means.get(c) or 0.0)) for c in cols])
+    mx = F.element_at(shifts, F.col("i") + 1)
+    my = F.element_at(shifts, F.col("j") + 1)
+    tol_x = 1e-12 * (F.col("sxx") + 2 * mx * F.col("sx") + n * mx * mx)
+    tol_y = 1e-12 * (F.col("syy") + 2 * my * F.col("sy") + n * my * my)
+    r = F.when((vx > tol_x) & (vy > tol_y), cov / F.sqrt(vx * vy))
     names = F.array(*[F.lit(c) for c in cols])
     return tot.select(
         F.element_at(names, F.col("i") + 1).alias("x"),
         F.element_at(names, F.col("j") + 1).alias("y"),
         n.cast("bigint").alias("n_pairs"),
-        F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)).alias("r"))
+        # greatest/least skip nulls, so clip only defined coefficients
+        F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0))).alias("r"))
 
 
 def correlation_with(df: DataFrame, cols: list[str], target: str) -> DataFrame:
