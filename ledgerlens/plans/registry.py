@@ -30,6 +30,7 @@ PLAN_MODULES = (
     "ledgerlens.plans.scalars",
     "ledgerlens.plans.balancing",
     "ledgerlens.plans.modeling",
+    "ledgerlens.plans.scoring",
     "ledgerlens.plans.persistence",
     "ledgerlens.plans.streams",
 )
