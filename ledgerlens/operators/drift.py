@@ -51,7 +51,15 @@ def psi(ref_long: DataFrame, act_long: DataFrame, by: list[str], window: str = "
 
     ref_c = binned(ref_long).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("e_n"))
     act_c = binned(act_long).groupBy(*by, window, "bin").agg(F.count(F.lit(1)).alias("a_n"))
-    keys = act_long.select(*by, window).distinct().join(e_b, by)
+    keys = act_long.select(*by, window).distinct()
+    return psi_from_counts(edges, ref_c, act_c, keys, by, window)
+
+
+def psi_from_counts(edges: DataFrame, ref_c: DataFrame, act_c: DataFrame, keys: DataFrame,
+                    by: list[str], window: str = "window") -> DataFrame:
+    """M8 from bin counts: (by, bin, e_n) and (by, window, bin, a_n) (for
+    instance maintained by a streaming aggregation) -> PSI per (by, window)."""
+    keys = keys.join(F.broadcast(edges), by)  # one edges row per feature
     grid = keys.select(*by, window, (F.size("edges") - 1).alias("n_bins"),
                        F.explode(F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0)))).alias("bin"))
     full = (grid.join(ref_c, [*by, "bin"], "left").join(act_c, [*by, window, "bin"], "left")

@@ -142,11 +142,14 @@ def events_windows(spark, sf_dir):
                      F.lit("value").alias("feature"), "value")
 
 
-@query("psi_feature", sql=f"""WITH ev AS (SELECT CAST(floor(epoch(ts) / {WEEK}) AS BIGINT) AS win, 'value' AS feature, value FROM events),
+ORACLE_PSI_FEATURE = f"""WITH ev AS (SELECT CAST(floor(epoch(ts) / {WEEK}) AS BIGINT) AS win, 'value' AS feature, value FROM events),
 ref AS (SELECT feature, value FROM ev WHERE win = (SELECT min(win) FROM ev)),
 act AS (SELECT feature, win, value FROM ev),
 {psi_sql()}
-SELECT feature, win, {R('psi')} AS psi FROM psi""")
+SELECT feature, win, {R('psi')} AS psi FROM psi"""
+
+
+@query("psi_feature", sql=ORACLE_PSI_FEATURE)
 def q_psi_feature(spark, sf_dir):
     """M8: PSI of events.value per epoch-aligned 7-day window vs the first window."""
     ev = events_windows(spark, sf_dir)
@@ -210,9 +213,12 @@ def psi_table(spark, sf_dir):
     return wide.withColumn("max_psi", F.greatest(*WINDOW_NAMES))
 
 
-@query("psi_table", sql=f"""{PSI_TABLE_CTE}
+ORACLE_PSI_TABLE = f"""{PSI_TABLE_CTE}
 SELECT *, CASE WHEN max_psi > 0.2 THEN 'drifted' WHEN max_psi >= 0.1 THEN 'moderate' ELSE 'stable' END AS drift_class
-FROM ptm ORDER BY max_psi DESC, feature""")
+FROM ptm ORDER BY max_psi DESC, feature"""
+
+
+@query("psi_table", sql=ORACLE_PSI_TABLE)
 def q_psi_table(spark, sf_dir):
     """15 features x 4 test windows vs the training rows, Max PSI, drift class."""
     t = psi_table(spark, sf_dir)

@@ -49,11 +49,14 @@ di AS (SELECT c_custkey, AMT_INCOME_TOTAL AS income, AMT_CREDIT AS loan_amount,
 ds AS (SELECT *, least(greatest(CAST(trunc(loan_amount / (income + 1) * 100 - (credit_score - 600) / 2) AS INTEGER), 0), 100) AS risk_score FROM di)"""
 
 
-@query("rule_score", sql=f"""{DASH_CTE}
+ORACLE_RULE_SCORE = f"""{DASH_CTE}
 SELECT c_custkey, {R('income')} AS income, {R('loan_amount')} AS loan_amount, {R('credit_score')} AS credit_score,
        {R('employment_years')} AS employment_years, {R('-employment_years * 365')} AS days_employed,
        {R(f'loan_amount / (income + {EPS})')} AS credit_income_ratio, risk_score,
-       CASE WHEN risk_score > 60 THEN 'HIGH RISK' ELSE 'LOW RISK' END AS risk_band FROM ds""")
+       CASE WHEN risk_score > 60 THEN 'HIGH RISK' ELSE 'LOW RISK' END AS risk_band FROM ds"""
+
+
+@query("rule_score", sql=ORACLE_RULE_SCORE)
 def q_rule_score(spark, sf_dir):
     """The dashboard rule score (clip(int(...), 0, 100), > 60 = HIGH) per applicant."""
     return round_doubles(dashboard_scored(spark, sf_dir))
