@@ -42,17 +42,29 @@ def rows_for_fit(df: DataFrame, fit_on: str, split_col: str = "split") -> DataFr
 # --------------------------------------------------------------------------- F1-F3
 
 def column_stats(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One pass: per column null count, min, max (as strings, any type), row count."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in cols:
-        aggs += [S.null_count(c).alias(f"{c}__nulls"),
-                 F.min(c).cast("string").alias(f"{c}__min"), F.max(c).cast("string").alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    stacked = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__nulls").alias("null_count"),
-                 F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"))
-        for c in cols]))
-    return wide.select("_n", stacked)
+    """One pass: per column the null count, the row count and whether the column
+    is constant (non-null distinct count <= 1: min = max, or all null).
+
+    Long form: numeric columns unpivot as double, the others as string, so the
+    aggregate has three functions whatever the width (and each column's final
+    aggregate runs on its own reducer)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    num = [c for c in cols if isinstance(types[c], T.NumericType)]
+    other = [c for c in cols if c not in num]
+    parts = []
+    if num:
+        parts.append(df.select(*[F.col(c).cast("double").alias(c) for c in num]).unpivot(
+            [], num, "column_name", "v"))
+    if other:
+        parts.append(df.select(*[F.col(c).cast("string").alias(c) for c in other]).unpivot(
+            [], other, "column_name", "v").select("column_name", F.col("v")))
+    aggs = [F.count(F.lit(1)).alias("_n"), F.count_if(F.col("v").isNull()).alias("null_count"),
+            (F.min("v").isNull() | (F.min("v") == F.max("v"))).alias("constant")]
+    out = [p.groupBy("column_name").agg(*aggs) for p in parts]
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
 
 
 def drop_plan(df: DataFrame, key: str, target: str, id_patterns=ID_PATTERNS,
@@ -67,7 +79,7 @@ def drop_plan(df: DataFrame, key: str, target: str, id_patterns=ID_PATTERNS,
     for p in id_patterns:
         cond = name.contains(p)
         is_id = cond if is_id is None else (is_id | cond)
-    const = F.col("min_value").isNull() | (F.col("min_value") == F.col("max_value"))
+    const = F.col("constant")
     pct = F.col("null_count") * 100.0 / F.col("_n")
     reason = (F.when(const, "constant").when(is_id, "id_pattern").when(pct > null_pct, "high_null"))
     return st.select("column_name", reason.alias("reason"), S.fround(pct).alias("null_pct")).where(
@@ -99,8 +111,9 @@ def apply_impute(df: DataFrame, params: DataFrame, categorical: list[str] = ())
     """Numeric fills from the params table; categorical nulls -> 'Missing'."""
     fills = {r["column_name"]: r["fill_value"] for r in params.collect()  # one row per column
              if r["fill_value"] is not None}
-    out = df.select(*[F.coalesce(F.col(c), F.lit(fills[c]).cast(df.schema[c].dataType)
-                                 if isinstance(df.schema[c].dataType, T.FractionalType)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = df.select(*[F.coalesce(F.col(c), F.lit(fills[c]).cast(types[c])
+                                 if isinstance(types[c], T.FractionalType)
                                  else F.lit(fills[c])).alias(c) if c in fills else F.col(c)
                       for c in df.columns])
     if categorical:

@@ -90,18 +90,20 @@ def numeric_summary(df: DataFrame, cols: list[str] | None = None, exact: bool =
     cols = cols or numeric_columns(df)
     long = to_long(df, cols)
     v = F.col("value")
-    return long.groupBy("column_name").agg(
+    # one value map per column serves all three quartiles
+    g = long.groupBy("column_name").agg(
         F.count(v).alias("count"),
         F.avg(v).alias("mean"),
         F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"),
-        S.quantile(v, 0.25, exact).alias("p25"),
-        S.quantile(v, 0.50, exact).alias("p50"),
-        S.quantile(v, 0.75, exact).alias("p75"),
+        S.quantile(v, [0.25, 0.50, 0.75], exact).alias("_q"),
         F.max(v).alias("max"),
         S.skew(v).alias("skewness"),
         S.kurt(v).alias("kurtosis"),
     )
+    return g.select("column_name", "count", "mean", "std", "min",
+                    F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"),
+                    "max", "skewness", "kurtosis")
 
 
 def skew_table(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -31,9 +31,10 @@ def aggregate_table(df: DataFrame, key: str, prefix: str, row_count: bool = Fals
                     columns: list[str] | None = None) -> DataFrame:
     """Every numeric column x min/max/mean/sum (+count on the first one)."""
     cols = columns if columns is not None else numeric_columns(df, exclude=[key])
+    types = {f.name: f.dataType for f in df.schema.fields}
     exprs = []
     for i, c in enumerate(cols):
-        is_int = isinstance(df.schema[c].dataType, T.IntegralType)
+        is_int = isinstance(types[c], T.IntegralType)
         zero = F.lit(0).cast("bigint" if is_int else "double")
         exprs.append(F.min(c).alias(f"{prefix}_{c}_min"))
         exprs.append(F.max(c).alias(f"{prefix}_{c}_max"))

@@ -36,10 +36,18 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols) if changed else df
 
 
+_SCANS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, normalise: bool = True) -> DataFrame:
+    """Lazy Parquet scan of one table (memoised per session: DataFrames are
+    immutable plans, so reusing one skips repeated file listing and footer reads)."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    return nan_to_null(df) if normalise else df
+    key = (spark.sparkContext.applicationId, path, normalise)
+    if key not in _SCANS:
+        df = spark.read.parquet(path)
+        _SCANS[key] = nan_to_null(df) if normalise else df
+    return _SCANS[key]
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
