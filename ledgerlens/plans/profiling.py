@@ -184,7 +184,7 @@ l AS (SELECT u.c_custkey, u.column_name, u.value, ix.idx FROM ({unpivot_lateral(
 pr AS (SELECT a.column_name AS x, b.column_name AS y, count(*) AS n_pairs,
               CASE WHEN var_pop(a.value) > 0 AND var_pop(b.value) > 0
                    THEN greatest(least(covar_pop(a.value, b.value) / sqrt(var_pop(a.value) * var_pop(b.value)), 1.0), -1.0) END AS r
-       FROM l a JOIN l b ON a.c_custkey = b.c_custkey AND a.idx < b.idx GROUP BY 1, 2)"""
+       FROM l a JOIN l b ON a.c_custkey = b.c_custkey WHERE (b.idx - a.idx) > 0 GROUP BY 1, 2)"""
 
 
 def corr_long_spark(spark, sf_dir):

@@ -15,7 +15,10 @@ QUERIES = E.queries()
 
 @pytest.fixture(scope="module")
 def con():
+    import tempfile
     c = duckdb.connect()
+    c.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='duck-', dir='/tmp')}'")
+    c.execute("SET max_temp_directory_size = '4GB'")
     for t in TABLE_NAMES:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return c
