@@ -129,5 +129,7 @@ def top_factors(attr: DataFrame, key: str, k: int = TOP_FACTORS) -> DataFrame:
 
 def rule_score(loan: Column, income: Column, credit: Column) -> Column:
     """``clip(int(loan / (income + 1) * 100 - (credit - 600) / 2), 0, 100)``."""
-    raw = (loan / (income + 1) * 100 - (credit - 600) / 2).cast("int")
+    x = loan / (income + 1) * 100 - (credit - 600) / 2
+    # clip in double space first so the truncating cast cannot overflow (ANSI)
+    raw = F.least(F.greatest(x, F.lit(-1.0)), F.lit(101.0)).cast("int")
     return F.least(F.greatest(raw, F.lit(0)), F.lit(100))

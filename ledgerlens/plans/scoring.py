@@ -46,7 +46,7 @@ DASH_CTE = f"""WITH {FINANCE_CTE[5:]},
 fe AS (SELECT fin.*, {', '.join(f'{e} AS {n}' for g in FEATURE_SQL.values() for n, e in g.items())} FROM fin),
 di AS (SELECT c_custkey, AMT_INCOME_TOTAL AS income, AMT_CREDIT AS loan_amount,
               300 + 550 * coalesce(EXT_SOURCE_MEAN, 0.5) AS credit_score, coalesce(YEARS_EMPLOYED, 0.0) AS employment_years FROM fe),
-ds AS (SELECT *, least(greatest(CAST(trunc(loan_amount / (income + 1) * 100 - (credit_score - 600) / 2) AS INTEGER), 0), 100) AS risk_score FROM di)"""
+ds AS (SELECT *, least(greatest(CAST(trunc(least(greatest(loan_amount / (income + 1) * 100 - (credit_score - 600) / 2, -1.0), 101.0)) AS INTEGER), 0), 100) AS risk_score FROM di)"""
 
 
 ORACLE_RULE_SCORE = f"""{DASH_CTE}
