@@ -149,7 +149,8 @@ class AdaBoostStumps:
             cur = pred.select(FEATURES, LABEL, F.when(F.col("_miss"), F.col("_w") * math.exp(alpha))
                               .otherwise(F.col("_w")).alias("_w"))
             if (r + 1) % self.every == 0:
-                cur = cur.checkpoint(eager=True)
+                from ledgerlens.session import materialize
+                cur = materialize(cur)
         return self
 
     def score(self, df: DataFrame, keep: list[str], out: str = "score") -> DataFrame:

@@ -18,6 +18,7 @@ from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.plans.rollups import APPLICANT_BASE_COLS, APPLICANT_BASE_CTE, applicant_base
 from ledgerlens.plans.splits import SPLIT_CTE
 from ledgerlens.plans.sqlgen import R, skew_sql
+from ledgerlens.session import materialize
 from ledgerlens.sources.tables import KEY, TARGET, read_table
 
 FIN_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_FAM_MEMBERS",
@@ -90,7 +91,7 @@ def cleaned_stages(spark, sf_dir, fit_on="train"):
     The model frame is written once to the checkpoint folder (lineage cut,
     survives executor loss); every fit job then scans that table instead of
     recomputing the roll-ups and joins."""
-    mf = model_frame(spark, sf_dir).checkpoint(eager=True)
+    mf = materialize(model_frame(spark, sf_dir))
     plan = drop_plan(spark, sf_dir, mf)
     dropped = PR.apply_drop(mf, plan)
     num = [c for c in NUMERIC if c in dropped.columns]

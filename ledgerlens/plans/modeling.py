@@ -16,6 +16,7 @@ from ledgerlens.operators import models as MO
 from ledgerlens.operators import prep as PR
 from ledgerlens.operators import split as SP
 from ledgerlens.plans.registry import query, round_doubles
+from ledgerlens.session import materialize
 from ledgerlens.sources.tables import KEY, TARGET
 
 _CACHE: dict = {}
@@ -38,8 +39,8 @@ def feature_matrix(spark, sf_dir):
     df = df.join(folds, KEY, "left").join(val, KEY, "left")
     w = B.class_weights(train, TARGET).select(TARGET, F.col("class_weight").alias(MO.WEIGHT))
     df = df.join(F.broadcast(w), TARGET)  # one row per class
-    out = MO.assemble(df, names).select(KEY, TARGET, MO.LABEL, MO.WEIGHT, "split", "fold",
-                                        "is_validation", MO.FEATURES).checkpoint(eager=True)
+    out = materialize(MO.assemble(df, names).select(KEY, TARGET, MO.LABEL, MO.WEIGHT, "split", "fold",
+                                                    "is_validation", MO.FEATURES))
     _CACHE[ck] = (out, names)
     return out, names
 

@@ -37,6 +37,23 @@ def q_table_shape(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+ROLE_TABLES = {"customer": "application", "orders": "bureau", "lineitem": "bureau_balance",
+               "events": "sparse_child", "part": "categorical", "documents": "scored_items",
+               "labels": "labels"}  # fixed values: SURVEY 7.2 binding
+
+
+@query("scan_tables", sql=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{r}' AS role, CAST(count(*) AS BIGINT) AS n_rows FROM {t}"
+    for t, r in ROLE_TABLES.items()))
+def q_scan_tables(spark, sf_dir):
+    """A1/A2: the table registry (name -> lazy scan) of the role tables, with row counts."""
+    from ledgerlens.sources.tables import table_registry
+    reg = table_registry(spark, sf_dir, tuple(ROLE_TABLES))
+    frames = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(t).alias("table_name"), F.lit(ROLE_TABLES[t]).alias("role"), "n_rows") for t, df in reg.items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 DUP_SOURCES = {
     "documents": ["text", "lang", "source", "n_chars"],
     "orders": ["o_custkey", "o_orderstatus", "o_orderpriority"],

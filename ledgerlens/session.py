@@ -58,6 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def materialize(df):
+    """Cut lineage by writing ``df`` to the checkpoint folder, computing it once
+    (an unpersisted eager checkpoint runs the plan twice: once for the action,
+    once for the write)."""
+    from pyspark import StorageLevel
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
