@@ -111,3 +111,57 @@ def row_min(cols) -> Column:
 
 def row_max(cols) -> Column:
     return F.greatest(*[col(c).cast("double") for c in cols])
+
+
+def grouped_quantiles(long, group: str, value: str, probs: list[float], buckets: int = 64):
+    """Exact linear-interpolation quantiles per group (pandas / numpy 'linear'),
+    without holding a group's values in one task.
+
+    1. (group, value) -> count: duplicates collapse map-side.
+    2. Per group, B-1 approximate quantile edges of the distinct values split
+       them into ranges (edges table: groups x B doubles, broadcast).
+    3. Range totals give each range's offset (groups x B rows, broadcast);
+       positions inside a range come from a window over that range only.
+    4. Each target position floor(h) / ceil(h), h = (n - 1) p, is matched
+       only against the rows of the one range that holds it.
+    Returns (group, q) with q an array aligned with ``probs``.
+    """
+    from pyspark.sql import Window
+
+    v = F.col(value).cast("double")
+    cnt = long.where(v.isNotNull()).groupBy(group, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    edge_probs = [i / buckets for i in range(1, buckets)]
+    edges = cnt.groupBy(group).agg(
+        F.array_sort(F.array_distinct(F.percentile_approx("_v", edge_probs, 10000))).alias("_e"),
+        F.sum("_c").alias("_n"))
+    tagged = cnt.join(F.broadcast(edges), group).withColumn(
+        "_b", F.size(F.filter("_e", lambda e: e < F.col("_v"))))
+    tot = tagged.groupBy(group, "_b").agg(F.sum("_c").alias("_bt"))
+    wo = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.withColumn("_boff", F.coalesce(F.sum("_bt").over(wo), F.lit(0)))
+    wr = Window.partitionBy(group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranged = (tagged.join(F.broadcast(off.select(group, "_b", "_boff")), [group, "_b"])
+              .withColumn("_end", F.col("_boff") + F.sum("_c").over(wr) - 1)
+              .withColumn("_start", F.col("_end") - F.col("_c") + 1)
+              .select(group, "_b", "_v", "_start", "_end"))
+    pa = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    t = edges.select(group, "_n", F.explode(pa).alias("_p")).select(
+        group, F.col("_p.pi").alias("pi"), ((F.col("_n") - 1) * F.col("_p.p")).alias("_h"))
+    t = t.select(group, "pi", "_h", F.explode(F.array(
+        F.struct(F.lit(0).alias("w"), F.floor("_h").cast("long").alias("pos")),
+        F.struct(F.lit(1).alias("w"), F.ceil("_h").cast("long").alias("pos")))).alias("_t"))
+    t = t.select(group, "pi", "_h", F.col("_t.w").alias("w"), F.col("_t.pos").alias("pos"))
+    tb = (t.join(off, group)  # targets x ranges of the same group: both bounded
+          .where((F.col("pos") >= F.col("_boff")) & (F.col("pos") < F.col("_boff") + F.col("_bt")))
+          .select(group, "pi", "_h", "w", "pos", "_b"))
+    hit = (ranged.join(F.broadcast(tb), [group, "_b"])  # groups x probs x 2 targets
+           .where((F.col("pos") >= F.col("_start")) & (F.col("pos") <= F.col("_end"))))
+    per = hit.groupBy(group, "pi").agg(
+        F.first("_h").alias("_h"),
+        F.max(F.when(F.col("w") == 0, F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("w") == 1, F.col("_v"))).alias("_hi"))
+    frac = F.col("_h") - F.floor("_h")
+    q = F.when(F.col("_hi") == F.col("_lo"), F.col("_lo")).otherwise(
+        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac)
+    out = per.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("pi", q.alias("q")))).alias("_l"))
+    return out.select(group, F.transform("_l", lambda s: s["q"]).alias("q"))

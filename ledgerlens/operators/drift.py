@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import stats as S
+
 PSI_EPS = 1e-8          # fixed value: added to every bin count
 DRIFTED = 0.20          # fixed value
 MODERATE = 0.10         # fixed value
@@ -29,8 +31,14 @@ def bin_index(x: Column, edges: Column) -> Column:
 def decile_edges(ref_long: DataFrame, by: list[str], buckets: int = 10, exact: bool = True) -> DataFrame:
     probs = [i / buckets for i in range(buckets + 1)]
     v = F.col("value").cast("double")
-    q = F.percentile(v, probs) if exact else F.percentile_approx(v, probs, 10000)
-    return ref_long.where(v.isNotNull()).groupBy(*by).agg(F.array_sort(F.array_distinct(q)).alias("edges"))
+    if not exact:
+        q = F.percentile_approx(v, probs, 10000)
+        return ref_long.where(v.isNotNull()).groupBy(*by).agg(F.array_sort(F.array_distinct(q)).alias("edges"))
+    key = F.concat_ws("\u0001", *[F.col(b).cast("string") for b in by])
+    keyed = ref_long.select(*by, key.alias("_k"), v.alias("value"))
+    q = S.grouped_quantiles(keyed, "_k", "value", probs)
+    names = keyed.select(*by, "_k").distinct()
+    return names.join(q, "_k").select(*by, F.array_sort(F.array_distinct("q")).alias("edges"))
 
 
 def psi(ref_long: DataFrame, act_long: DataFrame, by: list[str], window: str = "window",

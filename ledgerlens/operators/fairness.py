@@ -43,7 +43,8 @@ def qcut(df: DataFrame, col: str, labels: list[str], out: str) -> DataFrame:
     are dropped from the top) instead of raising."""
     q = len(labels)
     probs = [i / q for i in range(q + 1)]
-    edges = df.agg(F.percentile(F.col(col).cast("double"), probs).alias("_e"))
+    edges = S.grouped_quantiles(df.select(F.lit(0).alias("_g"), F.col(col).cast("double").alias("_x")),
+                                "_g", "_x", probs).select(F.col("q").alias("_e"))
     x = F.col(col).cast("double")
     e = F.col("_e")
     expr = None

@@ -99,8 +99,10 @@ def impute_params(df: DataFrame, cols: list[str], fit_on: str = "train",
     |skew| > threshold, else mean) and the fill value, all from the fit rows."""
     long = to_long(rows_for_fit(df, fit_on), cols)
     v = F.col("value")
-    g = long.groupBy("column_name").agg(S.skew(v).alias("skewness"), F.avg(v).alias("_mean"),
-                                         S.quantile(v, 0.5).alias("_median"))
+    med = S.grouped_quantiles(long, "column_name", "value", [0.5]).select(
+        "column_name", F.col("q")[0].alias("_median"))
+    g = long.groupBy("column_name").agg(S.skew(v).alias("skewness"), F.avg(v).alias("_mean")).join(
+        med, "column_name", "left")
     med = F.abs(F.col("skewness")) > skew_threshold
     return g.select("column_name", "skewness",
                     F.when(med, "median").otherwise("mean").alias("strategy"),
@@ -127,7 +129,8 @@ def cap_params(df: DataFrame, cols: list[str], fit_on: str = "train", k: float =
     """F8: IQR bounds from the fit rows: [Q1 - k·IQR, Q3 + k·IQR]."""
     cols = [c for c in cols if c in df.columns]
     long = to_long(rows_for_fit(df, fit_on), cols)
-    q = long.groupBy("column_name").agg(S.quantile("value", 0.25).alias("q1"), S.quantile("value", 0.75).alias("q3"))
+    q = S.grouped_quantiles(long, "column_name", "value", [0.25, 0.75]).select(
+        "column_name", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return q.select("column_name", (F.col("q1") - k * iqr).alias("lower"), (F.col("q3") + k * iqr).alias("upper"))
 
@@ -197,8 +200,8 @@ def inf_to_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """+-inf -> null, then every null -> the column median over all rows."""
     cleaned = df.withColumns({c: F.when(~F.col(c).cast("double").isin(float("inf"), float("-inf")),
                                         F.col(c).cast("double")) for c in cols})
-    med = to_long(cleaned, cols).groupBy("column_name").agg(S.quantile("value", 0.5).alias("m"))
-    fills = {r["column_name"]: r["m"] for r in med.collect() if r["m"] is not None}
+    med = S.grouped_quantiles(to_long(cleaned, cols), "column_name", "value", [0.5])
+    fills = {r["column_name"]: r["q"][0] for r in med.collect() if r["q"] and r["q"][0] is not None}
     return cleaned.fillna(fills)
 
 

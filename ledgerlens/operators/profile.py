@@ -90,17 +90,21 @@ def numeric_summary(df: DataFrame, cols: list[str] | None = None, exact: bool =
     cols = cols or numeric_columns(df)
     long = to_long(df, cols)
     v = F.col("value")
-    # one value map per column serves all three quartiles
     g = long.groupBy("column_name").agg(
         F.count(v).alias("count"),
         F.avg(v).alias("mean"),
         F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"),
-        S.quantile(v, [0.25, 0.50, 0.75], exact).alias("_q"),
         F.max(v).alias("max"),
         S.skew(v).alias("skewness"),
         S.kurt(v).alias("kurtosis"),
     )
+    if exact:
+        q = S.grouped_quantiles(long, "column_name", "value", [0.25, 0.50, 0.75]).withColumnRenamed("q", "_q")
+        g = g.join(q, "column_name", "left")
+    else:
+        g = g.join(long.groupBy("column_name").agg(S.quantile(v, [0.25, 0.50, 0.75], False).alias("_q")),
+                   "column_name", "left")
     return g.select("column_name", "count", "mean", "std", "min",
                     F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"),
                     "max", "skewness", "kurtosis")
@@ -163,8 +167,10 @@ def density_histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """``np.histogram(density=True)``: equal-width bins over [min, max],
     half-open except the last; every bin is listed (empty ones with 0)."""
     x = F.col(col).cast("double")
+    med = S.grouped_quantiles(df.select(F.lit(0).alias("_g"), x.alias("_x")), "_g", "_x", [0.5])
     stats = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n"),
-                   F.avg(x).alias("mean"), S.quantile(x, 0.5).alias("median"))
+                   F.avg(x).alias("mean")).crossJoin(  # one row x one row
+        med.select(F.col("q")[0].alias("median")))
     w = (F.col("mx") - F.col("mn")) / bins
     idx = F.least(F.floor((x - F.col("mn")) * bins / (F.col("mx") - F.col("mn"))),
                   F.lit(bins - 1)).cast("int")
@@ -243,14 +249,14 @@ def box_by_group(df: DataFrame, col: str, group: str, lo: float = 0.01, hi: floa
     """Keep values between the 1st and 99th percentile, then box statistics
     per group: Q1, median, Q3 and the 1.5·IQR whiskers (most extreme values inside)."""
     x = F.col(col)
-    bounds = df.agg(S.quantile(x, lo).alias("_lo"), S.quantile(x, hi).alias("_hi"))
+    b = S.grouped_quantiles(df.select(F.lit(0).alias("_g"), x.cast("double").alias("_x")), "_g", "_x", [lo, hi])
+    bounds = b.select(F.col("q")[0].alias("_lo"), F.col("q")[1].alias("_hi"))
     kept = (df.select(group, x.cast("double").alias("v")).where(F.col("v").isNotNull())
             .crossJoin(F.broadcast(bounds))  # one-row side
             .where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))))
-    q = kept.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
-        S.quantile("v", 0.25).alias("q1"), S.quantile("v", 0.5).alias("median"),
-        S.quantile("v", 0.75).alias("q3"))
+    qs = S.grouped_quantiles(kept, group, "v", [0.25, 0.5, 0.75])
+    q = kept.groupBy(group).agg(F.count(F.lit(1)).alias("n")).join(qs, group).select(
+        group, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.select("*", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_wl"),
                  (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_wh"))
     # per-group stats are one row per group: bounded by the number of groups
