@@ -128,11 +128,17 @@ def categorical_top(df: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "value")
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("value_count"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("value_count"), F.asc_nulls_first("value"))
+    order = [F.desc("value_count"), F.asc_nulls_first("value")]
     per_col = counts.groupBy("column_name").agg(
         F.count("value").alias("n_unique"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("value_count"))), F.lit(0)).alias("n_null"))
-    top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    # two-phase top-k: the k best of each of 256 hash slices of a column, then
+    # the k best of those <= 256 k rows -- no task holds all distinct values
+    sliced = counts.withColumn("_s", F.abs(F.xxhash64("value")) % 256)
+    w1 = Window.partitionBy("column_name", "_s").orderBy(*order)
+    pre = sliced.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k)
+    w = Window.partitionBy("column_name").orderBy(*order)
+    top = pre.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return top.join(per_col, "column_name").select(
         "column_name", F.col("rank").cast("int").alias("rank"), "value", "value_count",
         "n_unique", F.col("n_null").cast("bigint").alias("n_null"))

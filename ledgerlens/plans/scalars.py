@@ -98,7 +98,7 @@ def q_scalar_array(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     g = li.groupBy("l_orderkey").agg(
         F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi"),
-        F.array_sort(F.array_distinct(F.collect_list("l_returnflag"))).alias("flags"),
+        F.array_sort(F.collect_set("l_returnflag")).alias("flags"),  # distinct flags only
         F.max_by("l_linenumber", F.struct("l_extendedprice", F.col("l_linenumber"))).alias("argmax_line"),
         F.min_by("l_linenumber", F.struct("l_extendedprice", -F.col("l_linenumber"))).alias("argmin_line"))
     grid = F.transform(F.sequence(F.lit(0), F.lit(4)),
