@@ -85,8 +85,10 @@ def q_drop_high_null(spark, sf_dir):
 
 # --------------------------------------------------------------------------- impute / cap / log
 
-def cleaned_stages(spark, sf_dir, fit_on="train"):
-    """mf -> dropped -> imputed -> capped -> logged, with every params table.
+def cleaned_stages(spark, sf_dir, fit_on="train", until: str = "log"):
+    """mf -> dropped -> imputed -> capped -> logged, with every params table,
+    stopping after stage ``until`` (each fit is an eager job, so later stages
+    are only fitted when asked for).
 
     The model frame is written once to the checkpoint folder (lineage cut,
     survives executor loss); every fit job then scans that table instead of
@@ -96,14 +98,18 @@ def cleaned_stages(spark, sf_dir, fit_on="train"):
     dropped = PR.apply_drop(mf, plan)
     num = [c for c in NUMERIC if c in dropped.columns]
     cats = [c for c in CATEGORICAL if c in dropped.columns]
-    ip = PR.impute_params(dropped, num, fit_on)
-    imputed = PR.apply_impute(dropped, ip, cats)
-    cp = PR.cap_params(imputed, PR.CAP_COLUMNS, fit_on)
-    capped = PR.apply_cap(imputed, cp)
-    lp = PR.log_params(capped, num, fit_on)
-    logged = PR.apply_log(capped, lp)
-    return {"mf": mf, "plan": plan, "dropped": dropped, "numeric": num, "categorical": cats,
-            "impute": ip, "imputed": imputed, "cap": cp, "capped": capped, "log": lp, "logged": logged}
+    out = {"mf": mf, "plan": plan, "dropped": dropped, "numeric": num, "categorical": cats}
+    out["impute"] = ip = PR.impute_params(dropped, num, fit_on)
+    if until == "impute":
+        return out
+    out["imputed"] = imputed = PR.apply_impute(dropped, ip, cats)
+    out["cap"] = cp = PR.cap_params(imputed, PR.CAP_COLUMNS, fit_on)
+    if until == "cap":
+        return out
+    out["capped"] = capped = PR.apply_cap(imputed, cp)
+    out["log"] = lp = PR.log_params(capped, num, fit_on)
+    out["logged"] = PR.apply_log(capped, lp)
+    return out
 
 
 _NUM_VALS = ", ".join(f"('{c}', CAST({c} AS DOUBLE))" for c in NUMERIC)
@@ -123,7 +129,7 @@ lf AS (SELECT lg.c_custkey, lg.split, lg.column_name, coalesce(lg.value, ip.fill
 SELECT column_name, {R('skewness')} AS skewness, strategy, {R('fill_value')} AS fill_value FROM ip""")
 def q_impute(spark, sf_dir):
     """Skew split, median / mean fill values fitted on the training rows."""
-    st = cleaned_stages(spark, sf_dir)
+    st = cleaned_stages(spark, sf_dir, until="impute")
     return round_doubles(st["impute"])
 
 
@@ -144,7 +150,7 @@ SELECT cp.column_name, {R('cp.lower')} AS lower, {R('cp.upper')} AS upper,
 FROM cp""")
 def q_iqr_cap(spark, sf_dir):
     """F8: train-row IQR bounds of the financial columns and how many values each clips."""
-    st = cleaned_stages(spark, sf_dir)
+    st = cleaned_stages(spark, sf_dir, until="cap")
     n = PR.capped_counts(st["imputed"], st["cap"])
     return round_doubles(st["cap"].join(n, "column_name").select("column_name", "lower", "upper", "n_capped"))
 

@@ -16,6 +16,7 @@ from ledgerlens.plans.features import FEATURE_SQL, FINANCE_CTE, applicant_financ
 from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.plans.splits import H_CUST, SPLIT_CTE
 from ledgerlens.plans.sqlgen import R
+from ledgerlens.session import materialize
 from ledgerlens.sources.tables import KEY, TARGET, read_table
 
 GROUP_COLS = ["age_group", "gender", "income_quartile", "lang"]
@@ -171,7 +172,8 @@ def monitored(spark, sf_dir):
     sp = SP.stratified_split(fe.select(KEY, TARGET), KEY, TARGET, 0.2).select(KEY, "split")
     fe = fe.join(sp, KEY)
     wins = SP.position_windows(fe.where(F.col("split") == "test").select(KEY), KEY, 4, col="win")
-    return fe.join(wins, KEY, "left")
+    # written once: the reference and window sides and every PSI stage read it
+    return materialize(fe.join(wins, KEY, "left"))
 
 
 def feature_psi(spark, sf_dir, cols=MONITOR):
