@@ -31,6 +31,14 @@ def aggregate_table(df: DataFrame, key: str, prefix: str, row_count: bool = Fals
                     columns: list[str] | None = None) -> DataFrame:
     """Every numeric column x min/max/mean/sum (+count on the first one)."""
     cols = columns if columns is not None else numeric_columns(df, exclude=[key])
+    exprs = rollup_aggregations(df, cols, prefix)
+    if row_count:
+        exprs.append(F.count(F.lit(1)).alias(f"{prefix}_row_count"))
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*exprs)
+
+
+def rollup_aggregations(df: DataFrame, cols: list[str], prefix: str) -> list:
+    """The D1 aggregate expressions (usable inside a larger ``agg``)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs = []
     for i, c in enumerate(cols):
@@ -42,9 +50,7 @@ def aggregate_table(df: DataFrame, key: str, prefix: str, row_count: bool = Fals
         exprs.append(F.coalesce(F.sum(c), zero).alias(f"{prefix}_{c}_sum"))
         if i == 0:
             exprs.append(F.count(c).alias(f"{prefix}_{c}_count"))
-    if row_count:
-        exprs.append(F.count(F.lit(1)).alias(f"{prefix}_row_count"))
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*exprs)
+    return exprs
 
 
 def left_join_chain(base: DataFrame, key: str, sides: list[tuple[DataFrame, str]]) -> DataFrame:

@@ -42,6 +42,19 @@ def model_frame(spark, sf_dir):
     return mf.join(split, KEY)
 
 
+def materialized_model_frame(spark, sf_dir):
+    """The model frame written to the checkpoint folder. While it is computed,
+    the per-order lineitem aggregate feeding both the roll-up and the finance
+    columns is cached, so the largest table is scanned and shuffled once."""
+    from pyspark import StorageLevel
+    from ledgerlens.plans.rollups import lineitem_order_stats
+    shared = lineitem_order_stats(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return materialize(model_frame(spark, sf_dir))
+    finally:
+        shared.unpersist()
+
+
 MF_CTE = f"""{APPLICANT_BASE_CTE},
 {FINANCE_CTE[5:]},
 fe AS (SELECT fin.* EXCLUDE (TARGET), {', '.join(f'{e} AS {n}' for g in FEATURE_SQL.values() for n, e in g.items())} FROM fin),
@@ -93,7 +106,7 @@ def cleaned_stages(spark, sf_dir, fit_on="train", until: str = "log"):
     The model frame is written once to the checkpoint folder (lineage cut,
     survives executor loss); every fit job then scans that table instead of
     recomputing the roll-ups and joins."""
-    mf = materialize(model_frame(spark, sf_dir))
+    mf = materialized_model_frame(spark, sf_dir)
     plan = drop_plan(spark, sf_dir, mf)
     dropped = PR.apply_drop(mf, plan)
     num = [c for c in NUMERIC if c in dropped.columns]

@@ -22,13 +22,12 @@ AS_OF = "2002-01-01"  # fixed value: day offsets are counted back from this date
 
 def applicant_finance(spark, sf_dir):
     """application role with credit-style columns (one row per customer)."""
-    li = read_table(spark, sf_dir, "lineitem")
-    per_order = li.groupBy("l_orderkey").agg(
-        F.sum("l_extendedprice").alias("goods"),
-        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
-        F.sum("l_discount").alias("disc"), F.sum("l_tax").alias("tax"),
-        F.sum("l_quantity").alias("qty"), F.count("l_orderkey").alias("lines"),
-        F.min("l_shipdate").alias("first_ship"))
+    from ledgerlens.plans.rollups import lineitem_order_stats
+    st = lineitem_order_stats(spark, sf_dir)  # shared with the D2 roll-up
+    per_order = st.select("l_orderkey", F.col("li_l_extendedprice_sum").alias("goods"),
+                          F.col("_net").alias("net"), F.col("li_l_discount_sum").alias("disc"),
+                          F.col("li_l_tax_sum").alias("tax"), F.col("li_l_quantity_sum").alias("qty"),
+                          F.col("_lines").alias("lines"), F.col("_first_ship").alias("first_ship"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
     per_cust = joined.groupBy(F.col("o_custkey").alias(KEY)).agg(
