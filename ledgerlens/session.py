@@ -23,6 +23,10 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # wide roll-ups (4-5 aggregates per column) stay inside whole-stage codegen
     "spark.sql.codegen.maxFields": "400",
+    # keep driver-side bookkeeping of finished executions small (wide plans)
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 
@@ -66,6 +70,7 @@ def materialize(df):
     (an unpersisted eager checkpoint runs the plan twice: once for the action,
     once for the write)."""
     from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)  # sessions not made by get_spark
     df.persist(StorageLevel.MEMORY_AND_DISK)
     out = df.checkpoint(eager=True)
     df.unpersist()
