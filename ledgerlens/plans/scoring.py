@@ -164,8 +164,9 @@ def q_shap_beeswarm(spark, sf_dir):
 def q_shap_perm(spark, sf_dir):
     """L1 (trees): permutation Shapley values of the decision tree (4 seeded orders)
     against the train-mean background; per row they sum to f(x) - f(background)."""
+    from ledgerlens.plans.modeling import fitted
     tr, te, names = _split(spark, sf_dir)
-    model = MO.tree().fit(tr)
+    model = fitted(spark, sf_dir, "tree", MO.tree)  # the train_tree fit
     bg = tr.select(vector_to_array(MO.FEATURES).alias("v")).select(
         F.array(*[F.avg(F.col("v")[i]) for i in range(len(names))]).alias("m")).first()["m"]
     rows = explained_rows(spark, sf_dir)
