@@ -119,23 +119,39 @@ class CalibratedSVC:
         return x.select(*keep, (sum(probs[1:], probs[0]) / len(probs)).alias(out))
 
 
+def stump_expr(stump, features_col: str = FEATURES):
+    """A fitted depth-1 tree as a column expression (prediction 0/1): the split's
+    feature index, threshold and leaf predictions are read from the model, so
+    an ensemble of stumps scores in one projection."""
+    root = stump._java_obj.rootNode()
+    if root.getClass().getSimpleName() == "LeafNode":
+        return F.lit(float(root.prediction()))
+    split = root.split()
+    x = vector_to_array(features_col)[int(split.featureIndex())]
+    return F.when(x <= F.lit(float(split.threshold())), F.lit(float(root.leftChild().prediction()))).otherwise(
+        F.lit(float(root.rightChild().prediction())))
+
+
 class AdaBoostStumps:
     """Discrete SAMME boosting of depth-1 trees. Each round is one weighted
-    tree fit plus one projection updating the sample weights; the weighted
-    frame is checkpointed every ``checkpoint_every`` rounds to cut lineage."""
+    stump fit plus one aggregate of the weighted error; the stump itself is
+    evaluated as a column expression, the weight update is a projection, and
+    the weighted frame is materialised every ``checkpoint_every`` rounds to cut
+    lineage."""
 
     def __init__(self, n_rounds: int = 200, lr: float = 0.1, checkpoint_every: int = 10):
         self.n_rounds, self.lr, self.every = n_rounds, lr, checkpoint_every
         self.stumps: list[tuple] = []
 
     def fit(self, df: DataFrame):
+        from ledgerlens.session import materialize
         n = df.count()
-        cur = df.select(FEATURES, LABEL).withColumn("_w", F.lit(1.0 / n))
+        cur = materialize(df.select(FEATURES, LABEL).withColumn("_w", F.lit(1.0 / n)))
         for r in range(self.n_rounds):
             stump = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol="_w",
                                            maxDepth=1, seed=SEED).fit(cur)
-            pred = stump.transform(cur).select(FEATURES, LABEL, "_w", (F.col("prediction") != F.col(LABEL)).alias("_miss"))
-            st = pred.agg(F.sum(F.when(F.col("_miss"), F.col("_w")).otherwise(0.0)).alias("e"), F.sum("_w").alias("t")).first()
+            miss = stump_expr(stump) != F.col(LABEL)
+            st = cur.agg(F.sum(F.when(miss, F.col("_w")).otherwise(0.0)).alias("e"), F.sum("_w").alias("t")).first()
             err = (st["e"] or 0.0) / st["t"]
             if err <= 0:
                 self.stumps.append((stump, 1.0))
@@ -146,24 +162,18 @@ class AdaBoostStumps:
                 break
             alpha = self.lr * math.log((1 - err) / err)
             self.stumps.append((stump, alpha))
-            cur = pred.select(FEATURES, LABEL, F.when(F.col("_miss"), F.col("_w") * math.exp(alpha))
-                              .otherwise(F.col("_w")).alias("_w"))
+            cur = cur.select(FEATURES, LABEL, F.when(miss, F.col("_w") * math.exp(alpha))
+                             .otherwise(F.col("_w")).alias("_w"))
             if (r + 1) % self.every == 0:
-                from ledgerlens.session import materialize
                 cur = materialize(cur)
         return self
 
     def score(self, df: DataFrame, keep: list[str], out: str = "score") -> DataFrame:
         """P(class 1) = sigmoid of twice the normalised vote (SAMME, two classes)."""
-        x = df
-        votes = []
-        for i, (stump, alpha) in enumerate(self.stumps):
-            x = stump.transform(x).withColumn(f"_p{i}", F.col("prediction")).drop(
-                "rawPrediction", "probability", "prediction")
-            votes.append(F.lit(alpha) * (2 * F.col(f"_p{i}") - 1))
+        votes = [F.lit(alpha) * (2 * stump_expr(stump) - 1) for stump, alpha in self.stumps]
         total = sum(a for _, a in self.stumps)
         decision = sum(votes[1:], votes[0]) / total
-        return x.select(*keep, (1 / (1 + F.exp(-2 * decision))).alias(out))
+        return df.select(*keep, (1 / (1 + F.exp(-2 * decision))).alias(out))
 
 
 # --------------------------------------------------------------------------- CV / search

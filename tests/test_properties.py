@@ -93,3 +93,12 @@ def test_rule_score_truncates_and_clips(spark):
                                "loan double, income double, credit double")
     got = [r.s for r in df.select(X.rule_score(F.col("loan"), F.col("income"), F.col("credit")).alias("s")).collect()]
     assert got == [min(100, max(0, int(150000 / 55001 * 100 - 40))), 0, 100]
+
+
+def test_stump_expression_equals_model(spark):
+    from ledgerlens.operators.models import stump_expr
+    df, _ = _frame(spark)
+    m = DecisionTreeClassifier(maxDepth=1, seed=1).fit(df)
+    a = [r.p for r in m.transform(df).select("prediction").withColumnRenamed("prediction", "p").collect()]
+    b = [r.p for r in df.select(stump_expr(m).alias("p")).collect()]
+    assert a == b
