@@ -7,8 +7,12 @@ from importlib import import_module
 
 #: query: module
 MODULES = {
+    "op3_slack_packing": "slack_packing",
     "op4_simhash_dedup": "simhash_dedup",
     "op6_quality_rules": "quality_rules",
+    "op7_matrix_packing": "matrix_packing",
+    "op9_mixing": "mixing",
+    "op10_pu_quality": "pu_quality",
 }
 QUERIES: dict[str, Callable] = {
     name: getattr(import_module(f"ledgerlens.llm.{module}"), name) for name, module in MODULES.items()}
