@@ -38,7 +38,9 @@ from ledgerlens.llm.textbytes import COUNT_COLUMNS, counts_of, slices
 FOLDS = 5
 POSITIVES, UNLABELLED = 20_000, 20_000
 BINS = 12
-STEPS, RATE, L2 = 400, 0.1, 1e-4
+STEPS, RATE = 400, 0.1
+#: Ridge penalty: at least the first, and the second per positive document.
+L2, L2_EACH = 2e-3, 3.0
 CUT = 0.3
 
 #: feature: (count, count that it is divided by)
@@ -93,7 +95,7 @@ def _sigmoid(m):
     return 1 / (1 + np.exp(-np.clip(m, -500, 500)))
 
 
-def _descend(one_p: np.ndarray, one_u: np.ndarray, gradient) -> tuple[np.ndarray, float]:
+def _descend(one_p: np.ndarray, one_u: np.ndarray, gradient, ridge: float) -> tuple[np.ndarray, float]:
     """Adam on the weights of one-hot rows; gradient(margins) gives dRisk/dMargin of each."""
     size = one_p.max(initial=0) + 1
     size = max(size, one_u.max(initial=0) + 1, len(FEATURES) * BINS)
@@ -104,7 +106,7 @@ def _descend(one_p: np.ndarray, one_u: np.ndarray, gradient) -> tuple[np.ndarray
         g = np.bincount(one_p.ravel(), np.repeat(gp, one_p.shape[1]), size + 1)
         g += np.bincount(one_u.ravel(), np.repeat(gu, one_u.shape[1]), size + 1)
         g[-1] = gp.sum() + gu.sum()
-        g[:-1] += L2 * w[:-1]
+        g[:-1] += ridge * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return w[:-1], float(w[-1])
@@ -131,7 +133,8 @@ def fit(x_p: np.ndarray, x_u: np.ndarray) -> Model:
     one_p, one_u = model.bins(x_p), model.bins(x_u)
     n_p, n_u = len(x_p), len(x_u)
     plain = lambda mp, mu: ((_sigmoid(mp) - 1) / (2 * n_p), _sigmoid(mu) / (2 * n_u))
-    w, b = _descend(one_p, one_u, plain)
+    ridge = max(L2, L2_EACH / n_p)
+    w, b = _descend(one_p, one_u, plain, ridge)
     model.prior = prior = estimate_prior(w[one_p].sum(1) + b, w[one_u].sum(1) + b)
 
     def nnpu(mp, mu):
@@ -141,7 +144,7 @@ def fit(x_p: np.ndarray, x_u: np.ndarray) -> Model:
             return prior * _sigmoid(mp) / n_p, -_sigmoid(mu) / n_u
         return prior * (_sigmoid(mp) - 1 - _sigmoid(mp)) / n_p, _sigmoid(mu) / n_u
 
-    model.weights, model.bias = _descend(one_p, one_u, nnpu)
+    model.weights, model.bias = _descend(one_p, one_u, nnpu, ridge)
     return model
 
 
