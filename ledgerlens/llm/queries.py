@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-from ledgerlens.llm import vector_dedup, warc_dict
+from ledgerlens.llm import preference_format, vector_dedup, warc_dict
 
 #: query: module
 MODULES = {
+    "op1_subword_lm": "subword_lm",
     "op2_vector_dedup": "vector_dedup",
     "op3_slack_packing": "slack_packing",
     "op4_simhash_dedup": "simhash_dedup",
+    "op5_preference_format": "preference_format",
     "op6_quality_rules": "quality_rules",
     "op7_matrix_packing": "matrix_packing",
     "op8_warc_dict": "warc_dict",
@@ -20,4 +22,8 @@ MODULES = {
 }
 QUERIES: dict[str, Callable] = {
     name: getattr(import_module(f"ledgerlens.llm.{module}"), name) for name, module in MODULES.items()}
-ORACLES: dict[str, str] = {"op2_vector_dedup": vector_dedup.OP2_SQL, "op8_warc_dict": warc_dict.OP8_SQL}
+ORACLES: dict[str, str] = {
+    "op2_vector_dedup": vector_dedup.OP2_SQL,
+    "op5_preference_format": preference_format.OP5_SQL,
+    "op8_warc_dict": warc_dict.OP8_SQL,
+}
