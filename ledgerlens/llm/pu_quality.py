@@ -8,9 +8,10 @@ non-negative unbiased risk with the logistic loss,
     prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)),
 
 stepping back on batches where the last term is negative. The class prior is
-estimated first, from the same two samples: a plain positive-against-unlabelled
-fit orders them, and the smallest ratio of unlabelled to positive tail shares, with
-a confidence margin for both, bounds the prior from above (best bin).
+estimated first, from the same two samples: plain positive-against-unlabelled
+fits, each on the other half, order them; where the ratio of unlabelled to positive
+tail shares, with a confidence margin for both, is least, it bounds the prior (best
+bin), and the lower end of the margin is taken.
 
 The fit uses bounded samples: about POSITIVES and UNLABELLED documents, drawn by
 a hash of their ids; scores are computed for all documents, in their own tasks.
@@ -103,7 +104,8 @@ def _descend(one_p: np.ndarray, one_u: np.ndarray, gradient, ridge: float) -> tu
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, STEPS + 1):
         gp, gu = gradient(w[one_p].sum(1) + w[-1], w[one_u].sum(1) + w[-1])
-        g = np.bincount(one_p.ravel(), np.repeat(gp, one_p.shape[1]), size + 1)
+        g = np.zeros(size + 1)
+        g += np.bincount(one_p.ravel(), np.repeat(gp, one_p.shape[1]), size + 1)
         g += np.bincount(one_u.ravel(), np.repeat(gu, one_u.shape[1]), size + 1)
         g[-1] = gp.sum() + gu.sum()
         g[:-1] += ridge * w[:-1]
@@ -113,7 +115,7 @@ def _descend(one_p: np.ndarray, one_u: np.ndarray, gradient, ridge: float) -> tu
 
 
 def estimate_prior(score_p: np.ndarray, score_u: np.ndarray, delta: float = 0.1) -> float:
-    """Best bin: least (share of unlabelled over c + margin) / (share of positives over c)."""
+    """Best bin: where (share of unlabelled over c + margin) / (share of positives over c) is least."""
     p, u = np.sort(score_p), np.sort(score_u)
     cuts = np.unique(np.quantile(p, np.linspace(0, 0.99, 200)))
     tail = lambda x: 1 - np.searchsorted(x, cuts, "left") / len(x)
@@ -121,7 +123,8 @@ def estimate_prior(score_p: np.ndarray, score_u: np.ndarray, delta: float = 0.1)
     qp, qu = tail(p), tail(u)
     ok = qp > margin
     best = np.argmin(np.where(ok, (qu + margin) / np.maximum(qp, 1e-12), np.inf))
-    return float(np.clip(qu[best] / qp[best], 0.01, 0.99)) if ok.any() else 0.5
+    # the lower end of its margin: a prior that is too high leaves no room for negatives
+    return float(np.clip((qu[best] - margin) / qp[best], 0.01, 0.99)) if ok.any() else 0.5
 
 
 def fit(x_p: np.ndarray, x_u: np.ndarray) -> Model:
@@ -132,10 +135,17 @@ def fit(x_p: np.ndarray, x_u: np.ndarray) -> Model:
     model.edges = [edges_of(np.concatenate((x_p[:, k], x_u[:, k]))) for k in range(x_p.shape[1])]
     one_p, one_u = model.bins(x_p), model.bins(x_u)
     n_p, n_u = len(x_p), len(x_u)
-    plain = lambda mp, mu: ((_sigmoid(mp) - 1) / (2 * n_p), _sigmoid(mu) / (2 * n_u))
     ridge = max(L2, L2_EACH / n_p)
-    w, b = _descend(one_p, one_u, plain, ridge)
-    model.prior = prior = estimate_prior(w[one_p].sum(1) + b, w[one_u].sum(1) + b)
+    # every document's order for the prior comes from a fit on the other half
+    score_p, score_u = np.zeros(n_p), np.zeros(n_u)
+    for half in range(2):
+        own_p, own_u = np.arange(n_p) % 2 == half, np.arange(n_u) % 2 == half
+        rest_p, rest_u = one_p[~own_p], one_u[~own_u]
+        plain = lambda mp, mu: ((_sigmoid(mp) - 1) / (2 * max(len(mp), 1)),
+                                _sigmoid(mu) / (2 * max(len(mu), 1)))
+        w, b = _descend(rest_p, rest_u, plain, ridge)
+        score_p[own_p], score_u[own_u] = w[one_p[own_p]].sum(1) + b, w[one_u[own_u]].sum(1) + b
+    model.prior = prior = estimate_prior(score_p, score_u)
 
     def nnpu(mp, mu):
         # loss of +1: log(1 + e^-m), of -1: log(1 + e^m)
