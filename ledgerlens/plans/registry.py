@@ -31,6 +31,7 @@ PLAN_MODULES = (
     "ledgerlens.plans.balancing",
     "ledgerlens.plans.modeling",
     "ledgerlens.plans.scoring",
+    "ledgerlens.plans.linear",
     "ledgerlens.plans.persistence",
     "ledgerlens.plans.streams",
 )
@@ -49,11 +50,7 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     for m in PLAN_MODULES:
-        try:
-            importlib.import_module(m)
-        except ModuleNotFoundError as e:  # a plan module not written yet
-            if e.name != m:
-                raise
+        importlib.import_module(m)
 
 
 def round_doubles(df: DataFrame, scale: int = 4) -> DataFrame:

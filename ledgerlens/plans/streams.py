@@ -5,26 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import drift as D
-from ledgerlens.operators import explain as X
 from ledgerlens.plans import monitoring as MON
 from ledgerlens.plans import scoring as SC
 from ledgerlens.plans.registry import query, round_doubles
-from ledgerlens.session import scratch_path
 from ledgerlens.sources.io import run_path
 from ledgerlens.sources.tables import KEY, read_table
 from ledgerlens.streaming.drift import windowed_bin_counts
 from ledgerlens.streaming.scoring import score_stream
 
 
-def _score(df):
-    score = X.rule_score(F.col("loan_amount"), F.col("income"), F.col("credit_score"))
-    return df.select(
-        KEY, "income", "loan_amount", "credit_score", "employment_years",
-        (-F.col("employment_years") * 365).alias("days_employed"),
-        F.try_divide(F.col("loan_amount"), F.col("income") + 1e-6).alias("credit_income_ratio"),
-        score.alias("risk_score"), F.when(score > 60, "HIGH RISK").otherwise("LOW RISK").alias("risk_band"))
-
-
 @query("stream_score", sql=SC.ORACLE_RULE_SCORE)
 def q_stream_score(spark, sf_dir):
     """The dashboard inputs land as Parquet files; a file stream scores them
@@ -33,7 +22,7 @@ def q_stream_score(spark, sf_dir):
     src = f"{base}/inputs"
     SC.dashboard_inputs(spark, sf_dir).repartition(4, KEY).write.mode("overwrite").parquet(src)
     schema = spark.read.parquet(src).schema
-    out = score_stream(spark, src, schema, _score, f"{base}/sink", f"{base}/checkpoint")
+    out = score_stream(spark, src, schema, SC.rule_scored, f"{base}/sink", f"{base}/checkpoint")
     return round_doubles(out)
 
 

@@ -15,15 +15,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.drift import bin_index
+from ledgerlens.streaming.scoring import finish
 
 
 def windowed_bin_counts(spark: SparkSession, source_dir: str, glob: str, schema, edges: DataFrame,
                         sink: str, checkpoint: str, ts: str = "ts", value: str = "value",
-                        window: str = "7 days", watermark: str = "1 day", wait_s: int = 600) -> DataFrame:
+                        window: str = "7 days", watermark: str = "1 day",
+                        files_per_trigger: int = 1, timeout_s: int | None = None) -> DataFrame:
     """Streaming (window_start, bin, n) counts of ``value`` against static ``edges``
     (a one-row DataFrame holding the reference bin edges array ``edges``)."""
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-              .option("maxFilesPerTrigger", 1).parquet(source_dir))
+              .option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir))
     ev = stream.select(F.col(ts).cast("timestamp").alias("_ts"), F.col(value).cast("double").alias("_v"))
     # watermark needs a timezone-aware timestamp (timestamp_ntz is rejected)
     ev = ev.withWatermark("_ts", watermark).where(F.col("_v").isNotNull())
@@ -37,11 +39,7 @@ def windowed_bin_counts(spark: SparkSession, source_dir: str, glob: str, schema,
 
     q = (counts.writeStream.outputMode("update").foreachBatch(write_epoch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(wait_s)
-    if q.isActive:
-        q.stop()
-    if q.exception() is not None:
-        raise q.exception()
+    finish(q, timeout_s)
     allc = spark.read.parquet(sink)
     w = Window.partitionBy("window_start", "bin").orderBy(F.desc("epoch"))
     return (allc.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)

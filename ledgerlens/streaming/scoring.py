@@ -13,16 +13,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
+def finish(query, timeout_s: int | None = None) -> None:
+    """Wait until the query has processed all available input. A query that fails
+    raises, and so does one that is still running after ``timeout_s``: the sink of
+    a stopped query is never taken for its result."""
+    ended = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
+    if timeout_s is not None and not ended:
+        query.stop()
+        raise TimeoutError(f"the stream was still running after {timeout_s} s; its sink is incomplete")
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def score_stream(spark: SparkSession, source: str, schema, transform: Callable[[DataFrame], DataFrame],
-                 sink: str, checkpoint: str, files_per_trigger: int = 1, wait_s: int = 600) -> DataFrame:
+                 sink: str, checkpoint: str, files_per_trigger: int = 1, timeout_s: int | None = None) -> DataFrame:
+    """Score everything that is there and return the whole sink; ``timeout_s`` raises
+    instead of returning part of it."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source))
     q = (transform(stream).writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
-    q.awaitTermination(wait_s)
-    if q.isActive:
-        q.stop()
-    if q.exception() is not None:
-        raise q.exception()
+    finish(q, timeout_s)
     return spark.read.parquet(sink)
