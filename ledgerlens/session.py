@@ -1,15 +1,14 @@
 """Spark session defaults and shared-storage helpers.
 
 The library never creates state outside what the session names: lineage is cut
-with ``DataFrame.checkpoint()`` into ``spark.checkpoint.dir`` (a shared folder
-on a cluster). Only when that setting is absent (local runs, tests) do we pick
-a scratch folder ourselves.
+by Parquet tables written under ``spark.checkpoint.dir`` (a shared folder on a
+cluster). Only a local session without that setting gets a scratch folder.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,33 +50,45 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only if unset."""
+    """Return the session's checkpoint folder. Only a local session without that
+    setting gets a temporary one; on a cluster its absence is an error, as a
+    folder of the driver's machine is not seen by executors."""
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return configured
 
 
-def materialize(df):
-    """Cut lineage by writing ``df`` to the checkpoint folder, computing it once
-    (an unpersisted eager checkpoint runs the plan twice: once for the action,
-    once for the write)."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)  # sessions not made by get_spark
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+def materialize(df, name: str = "frame"):
+    """Cut lineage: write ``df`` once as Parquet to the shared folder and read it
+    back, so later jobs prune its columns and a lost executor costs nothing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    """A path for a written intermediate table, in this application's own folder
+    under the shared checkpoint folder; that folder goes when the session ends."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlens-{spark.sparkContext.applicationId}"
+    if base not in _OWN_FOLDERS:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(base)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _OWN_FOLDERS.add(base)
+    return f"{base}/{name}"
+
+
+_OWN_FOLDERS: set[str] = set()
