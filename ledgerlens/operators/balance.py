@@ -1,15 +1,4 @@
-"""Class-imbalance operators: weights, SMOTE and ENN.
-
-kNN for SMOTE / ENN
--------------------
-Neighbours are searched inside a *blocked* candidate set rather than a cross
-join: every point is hashed into buckets by ``BucketedRandomProjectionLSH``
-(several hash tables), candidate pairs are the points sharing a bucket in at
-least one table, and the k nearest among those candidates are kept. Exactness
-is restored with an exact fallback for the points whose candidate list was
-shorter than k: those (few) rows are compared against their whole class
-block, so no point ends with fewer than k neighbours.
-"""
+"""Class weights; SMOTE and ENN are in ``knn``."""
 
 from __future__ import annotations
 
@@ -27,8 +16,3 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
         (F.sum(F.when(F.col(label) == 0, F.col("n_class"))).over(w)
          / F.sum(F.when(F.col(label) == 1, F.col("n_class"))).over(w)).alias("scale_pos_weight"))
 
-
-def with_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    """Attach the balanced class weight as a ``weightCol`` for Spark ML."""
-    w = class_weights(df, label).select(label, F.col("class_weight").alias(weight_col))
-    return df.join(F.broadcast(w), label)  # one row per class

@@ -1,98 +1,82 @@
-"""Exact k-nearest neighbours without forming all pairs (used by SMOTE / ENN, H4-H5).
-
-Pivot partitioning (metric-space pruning):
-1. m pivots are drawn by hash order from the candidate points (m x dim
-   doubles, a bounded broadcast); every candidate is assigned to its nearest
-   pivot (cell c, distance d_c); per cell the radius R_c = max d_c and the
-   count n_c are one grouped aggregate (m rows).
-2. For a query q, sorting the cells by d(q, p_c) and taking cells until they
-   hold k+1 points gives an upper bound UB >= distance of q's k-th neighbour
-   (any point x in cell c has d(q, x) <= d(q, p_c) + R_c). A cell can only
-   contain a neighbour if its lower bound d(q, p_c) - R_c <= UB.
-3. Queries are joined to the points of their candidate cells only (equi-join
-   on the cell id), exact distances are computed, and a window per query keeps
-   the k smallest (ties broken by id). Exact by the triangle inequality.
-NumPy runs inside ``mapInPandas`` on Arrow batches; Spark shuffles the work.
+"""Exact k-nearest neighbours by blocks (used by SMOTE / ENN, H4-H5).
+
+In 64 dimensions bounds from pivots prune nothing, so every query does meet every
+point, but never as rows: queries and points are dealt by a hash of their ids
+into blocks of about BLOCK rows, as many as the data need. Each pair of blocks is
+one group; there a matrix product gives the distances, and only the k best of a
+query go on. The k best of a query's blocks are merged by (distance, id).
+
+The product loses the last digits, so it only selects: all points within its
+error of the k-th best are measured again as differences, and these exact
+distances decide, ties by id. Points whose vector is null or holds a null or NaN
+have no distance: they are neither queries nor neighbours.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.split import hash_order
 
+BLOCK = 2048
+NEIGHBOURS = "q_id long, nn_id long, distance double"
 
-def _pivots(points: DataFrame, id_col: str, vec: str, m: int) -> np.ndarray:
-    rows = (points.withColumn("_h", hash_order(id_col)).orderBy("_h", id_col).limit(m)
-            .select(vec).collect())  # m x dim: bounded by m
-    return np.array([r[0] for r in rows], dtype="float64")
-
-
-def _assign(piv: np.ndarray, vec: str):
-    def run(batches):
-        for pdf in batches:
-            x = np.stack(pdf[vec].to_numpy()).astype("float64") if len(pdf) else np.zeros((0, piv.shape[1]))
-            d = np.sqrt(((x[:, None, :] - piv[None, :, :]) ** 2).sum(-1)) if len(pdf) else np.zeros((0, len(piv)))
-            c = d.argmin(axis=1) if len(pdf) else np.zeros(0, dtype=int)
-            out = pdf.copy()
-            out["_cell"] = c.astype("int32")
-            out["_dc"] = d[np.arange(len(pdf)), c] if len(pdf) else np.zeros(0)
-            yield out
-    return run
-
-
-def _candidates(piv: np.ndarray, radius: np.ndarray, count: np.ndarray, k: int, vec: str):
-    def run(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x = np.stack(pdf[vec].to_numpy()).astype("float64")
-            d = np.sqrt(((x[:, None, :] - piv[None, :, :]) ** 2).sum(-1))
-            order = np.argsort(d, axis=1, kind="stable")
-            cells = []
-            for i in range(len(pdf)):
-                cum, ub = 0, 0.0
-                for c in order[i]:
-                    if count[c] == 0:
-                        continue
-                    cum += count[c]
-                    ub = max(ub, d[i, c] + radius[c])
-                    if cum >= k + 1:
-                        break
-                lb = d[i] - radius
-                cells.append([int(c) for c in np.nonzero((lb <= ub + 1e-9) & (count > 0))[0]])
-            out = pdf.copy()
-            out["_cells"] = cells
-            yield out
-    return run
+
+def measured(df: DataFrame, id_col: str, vec: str) -> DataFrame:
+    """(id, vec) as doubles, without rows that have no distance to anything."""
+    v = F.col(vec).cast("array<double>")
+    return df.select(F.col(id_col).alias("id"), v.alias("vec")).where(
+        F.col("id").isNotNull() & F.col("vec").isNotNull()
+        & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x)))
+
+
+def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    flat = table["vec"].combine_chunks()
+    flat = flat.flatten() if not isinstance(flat, pa.ChunkedArray) else pa.concat_arrays([c.flatten() for c in flat.chunks])
+    return table["id"].to_numpy(), flat.to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+
+def nearest(q_id: np.ndarray, q: np.ndarray, p_id: np.ndarray, p: np.ndarray, k: int):
+    """(query, point, distance) of the k nearest points of each query, itself excluded."""
+    square = (q * q).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * (q @ p.T)
+    same = q_id[:, None] == p_id[None, :]
+    square[same] = np.inf
+    kth = np.partition(square, min(k, len(p)) - 1, axis=1)[:, min(k, len(p)) - 1]
+    slack = 1e-9 * (1 + (q * q).sum(1) + (p * p).sum(1).max())
+    i, j = np.nonzero((square <= (kth + slack)[:, None]) & ~same)
+    exact = np.sqrt(((q[i] - p[j]) ** 2).sum(1))
+    order = np.lexsort((p_id[j], exact, i))
+    i, j, exact = i[order], j[order], exact[order]
+    first = np.searchsorted(i, np.arange(len(q)))
+    keep = np.arange(len(i)) - first[i] < k
+    return q_id[i[keep]], p_id[j[keep]], exact[keep]
 
 
 def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id", vec: str = "vec",
-        n_pivots: int = 64) -> DataFrame:
+        block: int = BLOCK) -> DataFrame:
     """(q_id, nn_id, distance, nn_rank) for the k nearest points of each query
     (a point never neighbours itself: equal ids are excluded)."""
-    pts = points.select(id_col, F.col(vec).cast("array<double>").alias(vec))
-    qs = queries.select(id_col, F.col(vec).cast("array<double>").alias(vec))
-    piv = _pivots(pts, id_col, vec, n_pivots)
-    m = len(piv)
-    schema_p = f"{id_col} long, {vec} array<double>, _cell int, _dc double"
-    cells = pts.mapInPandas(_assign(piv, vec), schema_p)
-    st = {r["_cell"]: (r["R"], r["n"]) for r in
-          cells.groupBy("_cell").agg(F.max("_dc").alias("R"), F.count(F.lit(1)).alias("n")).collect()}  # <= m rows
-    radius = np.array([st.get(c, (0.0, 0))[0] for c in range(m)], dtype="float64")
-    count = np.array([st.get(c, (0.0, 0))[1] for c in range(m)], dtype="int64")
-    schema_q = f"{id_col} long, {vec} array<double>, _cells array<int>"
-    cand = qs.mapInPandas(_candidates(piv, radius, count, k, vec), schema_q)
-    pairs = (cand.select(F.col(id_col).alias("q_id"), F.col(vec).alias("_qv"), F.explode("_cells").alias("_cell"))
-             .join(cells.select(F.col(id_col).alias("nn_id"), F.col(vec).alias("_xv"), "_cell"), "_cell")
-             .where(F.col("q_id") != F.col("nn_id")))
-    sq = F.aggregate(F.zip_with("_qv", "_xv", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
-    dist = pairs.select("q_id", "nn_id", F.sqrt(sq).alias("distance"))
-    w = Window.partitionBy("q_id").orderBy("distance", "nn_id")
-    return dist.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    qs, ps = measured(queries, id_col, vec), measured(points, id_col, vec)
+    q_blocks, p_blocks = (max(1, -(-d.count() // block)) for d in (qs, ps))
+
+    def dealt(df, own, n_own, other, n_other):
+        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own))).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))))
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["q_id", "nn_id", "distance"]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=names)
+        return pa.table([pa.array(c) for c in nearest(*_matrix(left), *_matrix(right), k)], names=names)
+
+    left = dealt(qs, "_qb", q_blocks, "_pb", p_blocks).groupBy("_qb", "_pb")
+    right = dealt(ps, "_pb", p_blocks, "_qb", q_blocks).groupBy("_qb", "_pb")
+    best = left.cogroup(right).applyInArrow(compare, NEIGHBOURS)
+    w = Window.partitionBy("q_id").orderBy("distance", "nn_id")   # k rows per block of points
+    return best.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
 
 
 def enn(df: DataFrame, label: str, k: int = 3, keep_class=None, kind: str = "all",
@@ -126,6 +110,9 @@ def smote(df: DataFrame, label: str, minority, n_new: int | None = None, k: int
         c = df.agg(F.count_if(F.col(label) == F.lit(minority)).alias("a"), F.count(F.lit(1)).alias("n")).first()
         n_new = max(0, (c["n"] - c["a"]) - c["a"])
     n_min = mino.count()
+    if n_min < 2:
+        raise ValueError(f"SMOTE needs two minority points at least, there are {n_min}")
+    k = min(k, n_min - 1)  # a point has no more neighbours than that
     ranked = exact_rank(mino, id_col, []).select(id_col, vec, (F.col("rank") - 1).alias("_idx"))
     nn = knn(mino, mino, k, id_col, vec)
     spark = df.sparkSession

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.stats import fround
 from ledgerlens.operators import knn as K
 from ledgerlens.plans.sqlgen import R
-from ledgerlens.plans.registry import query, round_doubles
+from ledgerlens.plans.registry import query
 from ledgerlens.sources.tables import read_table
 
 MINORITY = 1  # y = 1 for label 0 (one label vs the other nine)
@@ -45,7 +45,25 @@ def q_enn_filter(spark, sf_dir):
     return K.enn(points(spark, sf_dir), "y", k=3, keep_class=MINORITY).select("id", "y")
 
 
-@query("smote")
+SMOTE_SQL = f"""{PAIRS_CTE},
+m AS (SELECT id, vec, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) - 1 AS idx FROM p WHERE y = {MINORITY}),
+c AS (SELECT count(*) FILTER (WHERE y = {MINORITY}) AS n_min, count(*) AS n FROM p),
+d AS (SELECT a.id AS base_id, b.id AS nn_id, list_distance(a.vec, b.vec) AS distance FROM m a JOIN m b ON a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY base_id ORDER BY distance, nn_id) AS nr FROM d),
+j AS (SELECT i AS sample_id, i % c.n_min AS idx, least(5, c.n_min - 1) AS k, md5(CAST(i AS VARCHAR) || '-smote') AS h
+      FROM c, LATERAL (SELECT UNNEST(range(greatest(0, c.n - 2 * c.n_min))) AS i)),
+s AS (SELECT sample_id, idx, CAST('0x' || substr(h, 1, 8) AS BIGINT) % k + 1 AS nr,
+             CAST(CAST('0x' || substr(h, 9, 13) AS BIGINT) AS DOUBLE) / pow(16, 13) AS gap FROM j),
+b AS (SELECT s.sample_id, m.id AS base_id, r.nn_id, s.gap, m.vec AS x FROM s JOIN m USING (idx)
+      JOIN r ON r.base_id = m.id AND r.nr = s.nr)
+SELECT b.sample_id, b.base_id, b.nn_id, {R('b.gap', 6)} AS gap,
+       {R('list_sum(list_transform(list_zip(b.x, n.vec), lambda e: e[1] + b.gap * (e[2] - e[1])))', 6)} AS vec_sum,
+       {MINORITY} AS y FROM b JOIN m n ON n.id = b.nn_id"""
+
+
+@query("smote", sql=SMOTE_SQL)
 def q_smote(spark, sf_dir):
-    """H4: SMOTE synthetic minority rows (k = 5) up to a 1:1 balance."""
-    return round_doubles(K.smote(points(spark, sf_dir), "y", MINORITY, k=5), 6)
+    """H4: SMOTE synthetic minority rows (k = 5) up to a 1:1 balance, each vector as its sum."""
+    out = K.smote(points(spark, sf_dir), "y", MINORITY, k=5)
+    return out.select("sample_id", "base_id", "nn_id", fround("gap", 6).alias("gap"),
+                      fround(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 6).alias("vec_sum"), "y")

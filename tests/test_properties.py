@@ -23,7 +23,7 @@ def _points(spark, n=400, dim=8, seed=3):
 def test_knn_is_exact(spark):
     df, x, _ = _points(spark)
     got = {}
-    for r in K.knn(df, df, 4, n_pivots=16).collect():
+    for r in K.knn(df, df, 4, block=90).collect():
         got.setdefault(r.q_id, []).append((r.nn_rank, r.nn_id))
     d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
