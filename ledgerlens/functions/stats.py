@@ -38,11 +38,6 @@ def sql_round(expr: str, scale: int = 4) -> str:
     return f"(round(({expr}) * CAST({TIE_NUDGE!r} AS DOUBLE), {scale}) + 0.0)"
 
 
-def safe_div(a, b) -> Column:
-    """x/0 -> null instead of an ANSI error (Q9)."""
-    return F.try_divide(col(a), col(b))
-
-
 def eps_ratio(a, b) -> Column:
     """a / (b + 1e-6): the reference's guarded ratio."""
     return F.try_divide(col(a), col(b) + F.lit(EPS))
@@ -113,55 +108,72 @@ def row_max(cols) -> Column:
     return F.greatest(*[col(c).cast("double") for c in cols])
 
 
-def grouped_quantiles(long, group: str, value: str, probs: list[float], buckets: int = 64):
+ACCURACY = 10_000          # ranks of a sketch are off by at most n / ACCURACY
+WHOLE = ACCURACY * 4 // 10  # groups up to this size need no bracket
+MAX_GROUPS = 10_000        # brackets of up to so many groups go to the driver
+
+
+def _brackets(rows, probs):
+    """Per group and probability: the wanted ranks and values around them, from one
+    sketch pass; None if there are too many groups."""
+    margin = 8.0 / ACCURACY
+    asked = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
+    found = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"),
+                                   F.percentile_approx("_v", asked, ACCURACY).alias("s"))
+    found = found.limit(MAX_GROUPS + 1).collect()
+    if len(found) > MAX_GROUPS:
+        return None
+    at = {p: i for i, p in enumerate(asked)}
+    out = []
+    for r in found:
+        for pi, p in enumerate(probs):
+            h = (r.n - 1) * p
+            lo, hi = (r.s[at[min(1.0, max(0.0, p + d))]] for d in (-margin, margin))
+            if r.n <= WHOLE or p - margin <= 0:
+                lo = None                       # nothing is below
+            if r.n <= WHOLE or p + margin >= 1:
+                hi = None                       # nothing is above
+            out.append((r._g, pi, float(h), int(h // 1), int(-(-h // 1)), lo, hi))
+    return out
+
+
+def grouped_quantiles(long, group: str, value: str, probs: list[float]):
     """Exact linear-interpolation quantiles per group (pandas / numpy 'linear'),
-    without holding a group's values in one task.
-
-    1. (group, value) -> count: duplicates collapse map-side.
-    2. Per group, B-1 approximate quantile edges of the distinct values split
-       them into ranges (edges table: groups x B doubles, broadcast).
-    3. Range totals give each range's offset (groups x B rows, broadcast);
-       positions inside a range come from a window over that range only.
-    4. Each target position floor(h) / ceil(h), h = (n - 1) p, is matched
-       only against the rows of the one range that holds it.
-    Returns (group, q) with q an array aligned with ``probs``.
+    without holding or shuffling a group's values.
+
+    1. One pass sketches each group's size and, for every probability, a value surely
+       below and one surely above the wanted ranks (the sketch's error is known).
+    2. A second pass counts what lies below each bracket and the distinct values in it:
+       one row per task for all that is below, and about 16 / ACCURACY of the rows inside.
+       The wanted ranks are read off the running count of a bracket.
+    Groups up to WHOLE rows are their own bracket. The brackets (groups x probabilities)
+    go through the driver up to MAX_GROUPS groups; with more, and so smaller, groups each
+    is aggregated as a value histogram. Returns (group, q), q aligned with ``probs``.
     """
     from pyspark.sql import Window
 
     v = F.col(value).cast("double")
-    cnt = long.where(v.isNotNull()).groupBy(group, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    edge_probs = [i / buckets for i in range(1, buckets)]
-    edges = cnt.groupBy(group).agg(
-        F.array_sort(F.array_distinct(F.percentile_approx("_v", edge_probs, 10000))).alias("_e"),
-        F.sum("_c").alias("_n"))
-    tagged = cnt.join(F.broadcast(edges), group).withColumn(
-        "_b", F.size(F.filter("_e", lambda e: e < F.col("_v"))))
-    tot = tagged.groupBy(group, "_b").agg(F.sum("_c").alias("_bt"))
-    wo = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.withColumn("_boff", F.coalesce(F.sum("_bt").over(wo), F.lit(0)))
-    wr = Window.partitionBy(group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranged = (tagged.join(F.broadcast(off.select(group, "_b", "_boff")), [group, "_b"])
-              .withColumn("_end", F.col("_boff") + F.sum("_c").over(wr) - 1)
-              .withColumn("_start", F.col("_end") - F.col("_c") + 1)
-              .select(group, "_b", "_v", "_start", "_end"))
-    pa = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    t = edges.select(group, "_n", F.explode(pa).alias("_p")).select(
-        group, F.col("_p.pi").alias("pi"), ((F.col("_n") - 1) * F.col("_p.p")).alias("_h"))
-    t = t.select(group, "pi", "_h", F.explode(F.array(
-        F.struct(F.lit(0).alias("w"), F.floor("_h").cast("long").alias("pos")),
-        F.struct(F.lit(1).alias("w"), F.ceil("_h").cast("long").alias("pos")))).alias("_t"))
-    t = t.select(group, "pi", "_h", F.col("_t.w").alias("w"), F.col("_t.pos").alias("pos"))
-    tb = (t.join(off, group)  # targets x ranges of the same group: both bounded
-          .where((F.col("pos") >= F.col("_boff")) & (F.col("pos") < F.col("_boff") + F.col("_bt")))
-          .select(group, "pi", "_h", "w", "pos", "_b"))
-    hit = (ranged.join(F.broadcast(tb), [group, "_b"])  # groups x probs x 2 targets
-           .where((F.col("pos") >= F.col("_start")) & (F.col("pos") <= F.col("_end"))))
-    per = hit.groupBy(group, "pi").agg(
-        F.first("_h").alias("_h"),
-        F.max(F.when(F.col("w") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("w") == 1, F.col("_v"))).alias("_hi"))
-    frac = F.col("_h") - F.floor("_h")
-    q = F.when(F.col("_hi") == F.col("_lo"), F.col("_lo")).otherwise(
-        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac)
-    out = per.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("pi", q.alias("q")))).alias("_l"))
-    return out.select(group, F.transform("_l", lambda s: s["q"]).alias("q"))
+    rows = long.where(v.isNotNull()).select(F.col(group).alias("_g"), v.alias("_v"))
+    found = _brackets(rows, probs)
+    if found is None:
+        return rows.groupBy(F.col("_g").alias(group)).agg(F.percentile("_v", probs).alias("q"))
+    kind = long.schema[group].dataType.simpleString()
+    sides = long.sparkSession.createDataFrame(
+        found, f"_g {kind}, pi int, h double, p0 long, p1 long, lo double, hi double")
+    inside = F.col("lo").isNull() | (F.col("_v") >= F.col("lo"))
+    met = rows.join(F.broadcast(sides), "_g").where(F.col("hi").isNull() | (F.col("_v") <= F.col("hi")))
+    # a null value stands for all that is below the bracket
+    counted = met.groupBy("_g", "pi", "h", "p0", "p1", F.when(inside, F.col("_v")).alias("x")).agg(
+        F.count(F.lit(1)).alias("c"))
+    run = Window.partitionBy("_g", "pi").orderBy(F.asc_nulls_first("x")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("end", F.sum("c").over(run))
+    covers = lambda p: F.col("x").isNotNull() & (F.col(p) < F.col("end")) & (F.col(p) >= F.col("end") - F.col("c"))
+    per = ranked.groupBy("_g", "pi", "h").agg(F.max(F.when(covers("p0"), F.col("x"))).alias("a"),
+                                              F.max(F.when(covers("p1"), F.col("x"))).alias("b"))
+    q = F.when(F.col("a").isNull() | F.col("b").isNull(),
+               F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
+    q = q.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
+        F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h")))
+    out = per.groupBy("_g").agg(F.array_sort(F.collect_list(F.struct("pi", q.alias("q")))).alias("l"))
+    return out.select(F.col("_g").alias(group), F.transform("l", lambda s: s["q"]).alias("q"))
