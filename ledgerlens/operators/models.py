@@ -12,8 +12,8 @@ import math
 import random
 
 from pyspark.ml import Model, Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
-                                       LogisticRegression, RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassificationModel, GBTClassifier,
+                                       LinearSVC, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -53,20 +53,50 @@ def forest(n_trees: int = 200, max_depth: int = 12, min_leaf: int = 50,
 
 
 def boosted(n_iter: int = 200, lr: float = 0.05, max_depth: int = 5, subsample: float = 0.8,
-            min_leaf: int = 50, colsample: str = "all", weighted: bool = False,
-            validation_col: str | None = None) -> GBTClassifier:
-    """Gradient-boosted trees (weighted = scale_pos_weight on the
-    positive class; ``validation_col`` = early stopping on a held-out slice)."""
+            min_leaf: int = 50, colsample: str = "all", weighted: bool = False) -> GBTClassifier:
+    """Gradient-boosted trees (``weighted``: by the weight column)."""
     kw = dict(featuresCol=FEATURES, labelCol=LABEL, maxIter=n_iter, stepSize=lr, maxDepth=max_depth,
               subsamplingRate=subsample, minInstancesPerNode=min_leaf, featureSubsetStrategy=colsample,
               seed=SEED)
     if weighted:
         kw["weightCol"] = WEIGHT
-    if validation_col:
-        kw["validationIndicatorCol"] = validation_col
     return GBTClassifier(**kw)
 
 
+PATIENCE = 50  # fixed value: rounds without a better validation loss before stopping
+
+
+def best_round(losses: list[float], patience: int = PATIENCE) -> int:
+    """1-based round with the least loss before ``patience`` rounds pass without a better one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` boosting rounds."""
+    jvm, whole = model._sc._jvm, model._java_obj
+    gateway = model._sc._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = whole.trees()[i], whole.treeWeights()[i]
+    part = jvm.org.apache.spark.ml.classification.GBTClassificationModel(whole.uid(), trees, weights)
+    return GBTClassificationModel(part.copy(whole.extractParamMap()))
+
+
+def early_stopped(est: GBTClassifier, train: DataFrame, validation: DataFrame,
+                  patience: int = PATIENCE) -> GBTClassificationModel:
+    """I8: fit all rounds, evaluate every prefix on the validation slice in one pass (the model's
+    own log loss) and keep the rounds up to the best one."""
+    model = est.fit(train)
+    return first_trees(model, best_round(list(model.evaluateEachIteration(validation)), patience))
+
+
 def positive_weight(df: DataFrame, label: str = LABEL, col: str = WEIGHT) -> DataFrame:
     """H2: weight n0/n1 on positives, 1 on negatives (``scale_pos_weight``)."""
     r = df.agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))
@@ -81,12 +111,17 @@ def probability(model: Model, df: DataFrame, keep: list[str], out: str = "score"
     return model.transform(df).select(*keep, vector_to_array("probability")[1].alias(out))
 
 
+def minmax(df: DataFrame, margin: str, keep: list[str], out: str = "score") -> DataFrame:
+    """Margins scaled to [0, 1] by the scored set's min/max (one-row side)."""
+    r = df.agg(F.min(margin).alias("_lo"), F.max(margin).alias("_hi"))
+    return df.crossJoin(F.broadcast(r)).select(
+        *keep, F.try_divide(F.col(margin) - F.col("_lo"), F.col("_hi") - F.col("_lo")).alias(out))
+
+
 def minmax_margin(model: Model, df: DataFrame, keep: list[str], out: str = "score") -> DataFrame:
-    """Margin models scaled to [0, 1] by the scored set's min/max (one-row side)."""
+    """The same for a margin model without probabilities."""
     m = model.transform(df).select(*keep, vector_to_array("rawPrediction")[1].alias("_m"))
-    r = m.agg(F.min("_m").alias("_lo"), F.max("_m").alias("_hi"))
-    return m.crossJoin(F.broadcast(r)).select(
-        *keep, F.try_divide(F.col("_m") - F.col("_lo"), F.col("_hi") - F.col("_lo")).alias(out))
+    return minmax(m, "_m", keep, out)
 
 
 class CalibratedSVC:
@@ -191,7 +226,7 @@ def cv_auc(estimator, df: DataFrame, fold_col: str = "fold", folds: int = 5) ->
 
 def random_param_maps(est, space: dict, n_iter: int, seed: int = SEED):
     """``n_iter`` draws; a space value is a list (choice) or a
-    (low, high, 'int'|'float') range (uniform)."""
+    (low, high, 'int'|'float'|'share') range (uniform; a share is passed as text)."""
     rng = random.Random(seed)
     maps = []
     for _ in range(n_iter):
@@ -202,7 +237,8 @@ def random_param_maps(est, space: dict, n_iter: int, seed: int = SEED):
                 pm[p] = rng.choice(spec)
             else:
                 lo, hi, kind = spec
-                pm[p] = rng.randrange(lo, hi) if kind == "int" else rng.uniform(lo, hi)
+                draw = rng.randrange(lo, hi) if kind == "int" else rng.uniform(lo, hi)
+                pm[p] = f"{draw:.4f}" if kind == "share" else draw
         maps.append(pm)
     return maps
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.stats import EPS, fround
@@ -31,8 +31,8 @@ def dashboard_inputs(spark, sf_dir):
         F.coalesce(F.col("YEARS_EMPLOYED"), F.lit(0.0)).alias("employment_years"))
 
 
-def dashboard_scored(spark, sf_dir):
-    d = dashboard_inputs(spark, sf_dir)
+def rule_scored(d):
+    """The dashboard rule over its inputs (the same projection in batch and as a stream)."""
     score = X.rule_score(F.col("loan_amount"), F.col("income"), F.col("credit_score"))
     return d.select(
         KEY, "income", "loan_amount", "credit_score", "employment_years",
@@ -42,6 +42,10 @@ def dashboard_scored(spark, sf_dir):
         F.when(score > 60, "HIGH RISK").otherwise("LOW RISK").alias("risk_band"))
 
 
+def dashboard_scored(spark, sf_dir):
+    return rule_scored(dashboard_inputs(spark, sf_dir))
+
+
 DASH_CTE = f"""WITH {FINANCE_CTE[5:]},
 fe AS (SELECT fin.*, {', '.join(f'{e} AS {n}' for g in FEATURE_SQL.values() for n, e in g.items())} FROM fin),
 di AS (SELECT c_custkey, AMT_INCOME_TOTAL AS income, AMT_CREDIT AS loan_amount,
@@ -73,12 +77,14 @@ def q_highest_risk(spark, sf_dir):
 
 # --------------------------------------------------------------------------- model scoring / attributions
 
+def feature_means(rows) -> list[float]:
+    return rows.select(Summarizer.mean(F.col(MO.FEATURES)).alias("m")).first()["m"].toArray().tolist()
+
+
 def _lr_parts(spark, sf_dir):
     tr, te, names = _split(spark, sf_dir)
     lr = fitted_lr(spark, sf_dir)
-    means = tr.select(vector_to_array(MO.FEATURES).alias("v")).select(
-        F.array(*[F.avg(F.col("v")[i]) for i in range(len(names))]).alias("m")).first()["m"]
-    return tr, te, names, lr, means
+    return tr, te, names, lr, feature_means(tr)
 
 
 def f1_threshold(scored):
@@ -98,21 +104,28 @@ def linear_attr(spark, sf_dir):
     return X.linear_attributions(rows, KEY, MO.FEATURES, names, lr.coefficients.toArray().tolist(), means)
 
 
+def scored_test(spark, sf_dir):
+    """All test rows with the model's probability, and its F1-optimal cut on them."""
+    _, te, _ = _split(spark, sf_dir)
+    s = MO.probability(fitted_lr(spark, sf_dir), te, [KEY, MO.LABEL])
+    return te, s, f1_threshold(s)
+
+
 @query("score_batch")
 def q_score_batch(spark, sf_dir):
     """Batch scoring output of the test rows at the model's F1-optimal cut."""
-    _, te, _ = _split(spark, sf_dir)
-    s = MO.probability(fitted_lr(spark, sf_dir), te, [KEY, MO.LABEL])
-    return X.score_output(s, [KEY], f1_threshold(s))
+    _, s, cut = scored_test(spark, sf_dir)
+    return X.score_output(s, [KEY], cut)
 
 
 @query("explain_batch")
 def q_explain_batch(spark, sf_dir):
-    """Scoring output plus the 10 largest attributions per row with direction."""
-    rows = explained_rows(spark, sf_dir)
-    s = MO.probability(fitted_lr(spark, sf_dir), rows, [KEY, MO.LABEL])
-    out = X.score_output(s, [KEY], f1_threshold(s))
-    return out.join(X.top_factors(linear_attr(spark, sf_dir), KEY), KEY)
+    """The scoring output of every test row, at the same cut as ``score_batch``, plus the 10
+    largest attributions with direction."""
+    te, s, cut = scored_test(spark, sf_dir)
+    _, _, names, lr, means = _lr_parts(spark, sf_dir)
+    attr = X.linear_attributions(te, KEY, MO.FEATURES, names, lr.coefficients.toArray().tolist(), means)
+    return X.score_output(s, [KEY], cut).join(X.top_factors(attr, KEY), KEY)
 
 
 @query("shap_linear")
@@ -167,7 +180,6 @@ def q_shap_perm(spark, sf_dir):
     from ledgerlens.plans.modeling import fitted
     tr, te, names = _split(spark, sf_dir)
     model = fitted(spark, sf_dir, "tree", MO.tree)  # the train_tree fit
-    bg = tr.select(vector_to_array(MO.FEATURES).alias("v")).select(
-        F.array(*[F.avg(F.col("v")[i]) for i in range(len(names))]).alias("m")).first()["m"]
+    bg = feature_means(tr)
     rows = explained_rows(spark, sf_dir)
     return round_doubles(X.permutation_attributions(model, rows, KEY, MO.FEATURES, names, bg, orders=4), 6)
