@@ -196,6 +196,14 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 # --------------------------------------------------------------------------- F13-F17
 
+def split_xy(df: DataFrame, key: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """(key, numeric columns without the target) and (key, y). Columns that are
+    not numeric after encoding are dropped."""
+    numeric = [f.name for f in df.schema.fields
+               if isinstance(f.dataType, T.NumericType) and f.name not in (key, target)]
+    return df.select(key, *numeric), df.select(key, F.col(target).alias("y"))
+
+
 def inf_to_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """+-inf -> null, then every null -> the column median over all rows."""
     cleaned = df.withColumns({c: F.when(~F.col(c).cast("double").isin(float("inf"), float("-inf")),

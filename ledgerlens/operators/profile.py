@@ -169,13 +169,20 @@ def target_profile(df: DataFrame, target: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- B11-B14
 
+def _widened(stats: DataFrame) -> DataFrame:
+    """A range without width gets half a unit on either side, as ``np.histogram`` does."""
+    flat = F.col("mn") == F.col("mx")
+    return stats.withColumns({"mn": F.when(flat, F.col("mn") - 0.5).otherwise(F.col("mn")),
+                              "mx": F.when(flat, F.col("mx") + 0.5).otherwise(F.col("mx"))})
+
+
 def density_histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """``np.histogram(density=True)``: equal-width bins over [min, max],
     half-open except the last; every bin is listed (empty ones with 0)."""
     x = F.col(col).cast("double")
     med = S.grouped_quantiles(df.select(F.lit(0).alias("_g"), x.alias("_x")), "_g", "_x", [0.5])
-    stats = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n"),
-                   F.avg(x).alias("mean")).crossJoin(  # one row x one row
+    stats = _widened(df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n"),
+                            F.avg(x).alias("mean"))).crossJoin(  # one row x one row
         med.select(F.col("q")[0].alias("median")))
     w = (F.col("mx") - F.col("mn")) / bins
     idx = F.least(F.floor((x - F.col("mn")) * bins / (F.col("mx") - F.col("mn"))),
@@ -196,8 +203,8 @@ def density_histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 def grouped_histogram(df: DataFrame, col: str, group: str, bins: int) -> DataFrame:
     """B11 per group, each group over its own [min, max]; all bins listed."""
     x = F.col(col).cast("double")
-    st = df.where(x.isNotNull()).groupBy(group).agg(
-        F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n"))
+    st = _widened(df.where(x.isNotNull()).groupBy(group).agg(
+        F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n")))
     # one row per group: bounded by the number of windows
     idx = F.least(F.floor((x - F.col("mn")) * bins / (F.col("mx") - F.col("mn"))), F.lit(bins - 1)).cast("int")
     cnt = (df.where(x.isNotNull()).join(F.broadcast(st), group)
@@ -224,7 +231,8 @@ def kde_curve(df: DataFrame, col: str, points: int = 1000, cutoff: float = 9.0)
     p = p.select("*", (F.col("sd") * F.pow(F.col("n"), -0.2)).alias("h"),
                  (F.col("mn") - (F.col("mx") - F.col("mn")) * 0.5).alias("lo"),
                  (F.col("mx") + (F.col("mx") - F.col("mn")) * 0.5).alias("hi"))
-    p = p.select("*", ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"))
+    # a constant column has no bandwidth and so no curve
+    p = p.select("*", ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step")).where("h > 0")
     vals = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
     vals = vals.crossJoin(F.broadcast(p))  # one-row side
     first = F.greatest(F.lit(0), F.ceil((F.col("v") - cutoff * F.col("h") - F.col("lo")) / F.col("step")))

@@ -87,7 +87,8 @@ def position_windows(df: DataFrame, key: str, n_windows: int = 4, salt: str = SA
     """Consecutive chunks of n // n_windows rows; the remainder is dropped."""
     r = exact_rank(df, key, [], salt)
     chunk = F.floor(F.col("group_size") / n_windows)
-    w = F.floor((F.col("rank") - 1) / chunk).cast("int")
+    # fewer rows than windows: no chunk has a row, so nothing is left
+    w = F.floor(F.try_divide(F.col("rank") - 1, chunk)).cast("int")
     return r.withColumn(col, w).where(F.col(col) < n_windows).drop("rank", "group_size")
 
 

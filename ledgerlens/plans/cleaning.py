@@ -78,7 +78,7 @@ dp AS (SELECT v.column_name,
 
 
 def drop_plan(spark, sf_dir, mf=None):
-    mf = mf if mf is not None else model_frame(spark, sf_dir)
+    mf = mf if mf is not None else materialized_model_frame(spark, sf_dir)
     return PR.drop_plan(mf.drop("split"), KEY, TARGET)
 
 
@@ -291,3 +291,83 @@ def q_schema_shrink(spark, sf_dir):
     """Narrowest integer type by min/max, doubles to float (before a write)."""
     li = read_table(spark, sf_dir, "lineitem")
     return PR.shrink_plan(li)
+
+
+# --------------------------------------------------------------------------- the cleaned rows themselves
+
+def _long_rows(df, cols):
+    from ledgerlens.operators.profile import to_long
+    return round_doubles(to_long(df, cols, ids=[KEY]))
+
+
+@query("imputed_rows", sql=f"""{IMPUTE_CTE}
+SELECT c_custkey, column_name, {R('value')} AS value FROM lf""")
+def q_imputed_rows(spark, sf_dir):
+    """F5/F6 applied: every numeric value after filling, train and test rows."""
+    st = cleaned_stages(spark, sf_dir, until="cap")
+    return _long_rows(st["imputed"], st["numeric"])
+
+
+@query("capped_rows", sql=f"""{CAP_CTE}
+SELECT c_custkey, column_name, {R('value')} AS value FROM lc WHERE lower IS NOT NULL""")
+def q_capped_rows(spark, sf_dir):
+    """F8 applied: the capped columns' values."""
+    st = cleaned_stages(spark, sf_dir)
+    return _long_rows(st["capped"], [c for c in PR.CAP_COLUMNS if c in st["numeric"]])
+
+
+@query("logged_rows", sql=f"""{CAP_CTE},
+sk AS (SELECT column_name, {skew_sql('value')} AS skewness FROM lc WHERE split = 'train' GROUP BY column_name),
+mn AS (SELECT column_name, min(value) AS min_value FROM lc GROUP BY column_name),
+ap AS (SELECT column_name FROM sk JOIN mn USING (column_name) WHERE abs(skewness) > {PR.SKEW_LOG} AND min_value >= 0)
+SELECT c_custkey, column_name, {R('ln(1 + value)')} AS value FROM lc WHERE column_name IN (SELECT column_name FROM ap)""")
+def q_logged_rows(spark, sf_dir):
+    """F9 applied: the values of the columns that log1p changes."""
+    st = cleaned_stages(spark, sf_dir)
+    cols = [r["column_name"] for r in st["log"].where("applied").collect()]     # at most one per column
+    if not cols:
+        return _long_rows(st["logged"], st["numeric"][:1]).limit(0)
+    return _long_rows(st["logged"], cols)
+
+
+@query("missing_category", sql="""
+SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'Missing' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+def q_missing_category(spark, sf_dir):
+    """categorical nulls (every 7th segment is taken away) become 'Missing'."""
+    c = read_table(spark, sf_dir, "customer").select(
+        KEY, F.when(F.col(KEY) % 7 != 0, F.col("c_mktsegment")).alias("c_mktsegment"))
+    fills = spark.createDataFrame([], "column_name string, fill_value double")
+    return PR.apply_impute(c, fills, ["c_mktsegment"])
+
+
+@query("xy_split", sql=f"""{FE_CTE}
+SELECT c_custkey, TARGET AS y, {', '.join(f'{R(f"CAST({c} AS DOUBLE)")} AS {c}' for c in FIN_COLS)}
+FROM fe""")
+def q_xy_split(spark, sf_dir):
+    """numeric features and label; the key is kept, other columns and non-numeric ones go."""
+    fe = FE.domain_features(applicant_finance(spark, sf_dir)).select(KEY, TARGET, *FIN_COLS)
+    x, y = PR.split_xy(fe.withColumn("segment", F.lit("text")), KEY, TARGET)
+    return round_doubles(x.join(y, KEY).select(KEY, "y", *[F.col(c).cast("double").alias(c) for c in FIN_COLS]))
+
+
+@query("renamed_columns", sql="""
+SELECT l_orderkey, l_linenumber, l_quantity AS "qty_EUR_", l_tax AS "tax_ _rate_", l_discount AS "a_b_c" FROM lineitem""")
+def q_renamed_columns(spark, sf_dir):
+    """F16: the renamer on a frame whose column names hold brackets, colons and commas."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return PR.clean_names(li.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("qty[EUR]"),
+                                    F.col("l_tax").alias("tax: {rate}"), F.col("l_discount").alias("a:b,c")))
+
+
+@query("shrunk_rows", sql="""
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       round(CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE), 2) AS l_extendedprice, 'tinyint' AS line_type, 'float' AS price_type
+FROM lineitem""")
+def q_shrunk_rows(spark, sf_dir):
+    """A11 applied: lineitem with the narrow types, their names and the values read back as wide ones."""
+    li = read_table(spark, sf_dir, "lineitem")
+    small = PR.apply_shrink(li, PR.shrink_plan(li))
+    kinds = dict(small.dtypes)
+    return small.select(F.col("l_orderkey").cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("long").alias("l_linenumber"),
+                        F.round(F.col("l_extendedprice").cast("double"), 2).alias("l_extendedprice"),
+                        F.lit(kinds["l_linenumber"]).alias("line_type"), F.lit(kinds["l_extendedprice"]).alias("price_type"))

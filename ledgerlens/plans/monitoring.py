@@ -176,8 +176,8 @@ def monitored(spark, sf_dir):
     return materialize(fe.join(wins, KEY, "left"))
 
 
-def feature_psi(spark, sf_dir, cols=MONITOR):
-    m = monitored(spark, sf_dir)
+def feature_psi(spark, sf_dir, cols=MONITOR, m=None):
+    m = m if m is not None else monitored(spark, sf_dir)
     q = [fround(F.col(c).cast("double"), RES).alias(c) for c in cols]
     m = m.select("split", "win", *q)
     ref = P.to_long(m.where(F.col("split") == "train"), cols).withColumnRenamed("column_name", "feature")
@@ -282,9 +282,10 @@ SELECT CAST(n_drifted_features AS BIGINT) AS n_drifted_features, CAST(n_score_wi
        n_drifted_features > 0 OR n_score_windows > 0 AS retrain FROM t""")
 def q_retrain_trigger(spark, sf_dir):
     """Retrain when any feature drifted or any score window has PSI > 0.20."""
-    f = feature_psi(spark, sf_dir).groupBy("feature").agg(F.max(fround("psi")).alias("max_psi"))
-    nf = f.agg(F.count_if(F.col("max_psi") > D.DRIFTED).alias("n_drifted_features"))
-    ns = score_psi(spark, sf_dir).agg(F.count_if(F.col("score_psi") > D.DRIFTED).alias("n_score_windows"))
-    return nf.crossJoin(ns).select(  # one row x one row
+    p = feature_psi(spark, sf_dir, [*MONITOR, "score"])   # the score is a 16th monitored column
+    p = p.select("feature", "win", (fround("psi") > D.DRIFTED).alias("over"))
+    is_score = F.col("feature") == "score"
+    return p.agg(F.count_distinct(F.when(F.col("over") & ~is_score, F.col("feature"))).alias("n_drifted_features"),
+                 F.count_if(F.col("over") & is_score).alias("n_score_windows")).select(
         "n_drifted_features", "n_score_windows",
         ((F.col("n_drifted_features") > 0) | (F.col("n_score_windows") > 0)).alias("retrain"))

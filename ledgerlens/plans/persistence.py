@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.stats import fround
 from ledgerlens.operators import models as MO
 from ledgerlens.plans import evaluation as EV
 from ledgerlens.plans import monitoring as MON
@@ -34,7 +35,11 @@ def q_psi_report_csv(spark, sf_dir):
     return IO.read_csv(spark, path, PSI_SCHEMA)
 
 
-@query("json_meta")
+@query("json_meta", sql=f"""WITH {EV.BEST_CTE},
+bd AS ({EV.BOARD_SQL})
+SELECT (SELECT model FROM bd ORDER BY pr_auc DESC, model LIMIT 1) AS model_name, 'n_chars' AS feature_cols,
+       {EV.R('(SELECT f1_threshold FROM bt)', 6)} AS optimal_threshold, 1 AS n_features, '0,1' AS classes,
+       '0=Non-Default,1=Default' AS class_labels, 'pr_auc' AS primary_metric, 'roc_auc' AS secondary_metric""")
 def q_json_meta(spark, sf_dir):
     """Deployment metadata (nested array / map fields) -> JSON -> typed scan."""
     board = EV.board(spark, sf_dir)
@@ -49,7 +54,12 @@ def q_json_meta(spark, sf_dir):
         F.create_map(F.lit("0"), F.lit("Non-Default"), F.lit("1"), F.lit("Default")).alias("class_labels"),
         F.lit("pr_auc").alias("primary_metric"), F.lit("roc_auc").alias("secondary_metric"))
     path = IO.write_json(meta, IO.run_path(spark, "deployment_meta"))
-    return IO.read_json(spark, path)
+    back = IO.read_json(spark, path)
+    labels = F.transform(F.array_sort(F.map_entries("class_labels")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return back.select("model_name", F.array_join("feature_cols", ",").alias("feature_cols"),
+                       fround("optimal_threshold", 6).alias("optimal_threshold"), "n_features",
+                       F.array_join(F.transform("classes", lambda c: c.cast("string")), ",").alias("classes"),
+                       F.array_join(labels, ",").alias("class_labels"), "primary_metric", "secondary_metric")
 
 
 @query("model_reload")

@@ -11,7 +11,8 @@ from ledgerlens.operators import profile as P
 from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.plans.rollups import APPLICANT_BASE_COLS, APPLICANT_BASE_CTE, applicant_base
 from ledgerlens.plans.sqlgen import R, kurt_sql, name_index, skew_sql, unpivot_lateral
-from ledgerlens.sources.tables import KEY, TABLE_NAMES, TARGET, applicants, read_table
+from ledgerlens.session import materialize
+from ledgerlens.sources.tables import KEY, TABLE_NAMES, TARGET, applicants, read_table, table_registry
 
 BASE_NUMERIC = [c for c, k in APPLICANT_BASE_COLS if k != "str" and c not in (KEY,)]
 BASE_FEATURES = [c for c in BASE_NUMERIC if c != TARGET]
@@ -47,7 +48,6 @@ ROLE_TABLES = {"customer": "application", "orders": "bureau", "lineitem": "burea
     for t, r in ROLE_TABLES.items()))
 def q_scan_tables(spark, sf_dir):
     """A1/A2: the table registry (name -> lazy scan) of the role tables, with row counts."""
-    from ledgerlens.sources.tables import table_registry
     reg = table_registry(spark, sf_dir, tuple(ROLE_TABLES))
     frames = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(t).alias("table_name"), F.lit(ROLE_TABLES[t]).alias("role"), "n_rows") for t, df in reg.items()]
@@ -205,7 +205,8 @@ pr AS (SELECT a.column_name AS x, b.column_name AS y, count(*) AS n_pairs,
 
 
 def corr_long_spark(spark, sf_dir):
-    return P.correlation_long(applicant_base(spark, sf_dir), CORR_COLS)
+    # read twice (means, products), so the roll-up is written once
+    return P.correlation_long(materialize(applicant_base(spark, sf_dir).select(*CORR_COLS)), CORR_COLS)
 
 
 @query("corr_long", sql=f"""{CORR_LONG_CTE}
