@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,7 @@ from pyspark.sql import types as T
 from ledgerlens.functions import stats as S
 from ledgerlens.operators.profile import to_long
 from ledgerlens.operators.rollup import numeric_columns
+from ledgerlens.session import materialize
 
 ID_PATTERNS = ("key", "_id")     # fixed values: identifier-like column names (the SK_ID rule)
 NULL_DROP_PCT = 60.0             # fixed value
@@ -183,15 +183,33 @@ def onehot(df: DataFrame, col: str, drop_first: bool = True) -> DataFrame:
     return df.withColumns(dummies).drop(col)
 
 
+def sorted_labels(df: DataFrame, col: str) -> DataFrame:
+    """(label, idx): the distinct non-null values, numbered from 0 in sorted order.
+
+    A global sort spreads the labels over tasks; what the driver sees is one count per
+    task, from which each task's first number follows."""
+    labels = df.select(F.col(col).cast("string").alias("label")).where(F.col("label").isNotNull()).distinct()
+    labels = materialize(labels.orderBy("label").withColumn("_id", F.monotonically_increasing_id()), "labels")
+    task = F.shiftright("_id", 33).cast("int")
+    firsts, total = [], 0
+    for r in labels.groupBy(task.alias("t")).agg(F.count(F.lit(1)).alias("n")).orderBy("t").collect():
+        firsts += [F.lit(r["t"]), F.lit(total)]
+        total += r["n"]
+    first = F.element_at(F.create_map(*firsts), task) if firsts else F.lit(0)
+    return labels.select("label", (first + F.col("_id").bitwiseAND((1 << 33) - 1)).cast("int").alias("idx"))
+
+
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """index in sorted order (``LabelEncoder``) via StringIndexer(alphabetAsc)."""
+    """index in sorted order (``LabelEncoder``); a null gets the index behind the last."""
     out = out or col
-    tmp = f"{col}__idx"
-    model = StringIndexer(inputCol=col, outputCol=tmp, stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df.select(F.col(col).cast("string").alias(col)))
-    res = model.transform(df.withColumn(col, F.col(col).cast("string")))
-    return res.withColumn(out, F.col(tmp).cast("int")).drop(tmp) if out != col else \
-        res.drop(col).withColumnRenamed(tmp, col).withColumn(col, F.col(col).cast("int"))
+    known = sorted_labels(df, col)
+    n = known.agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    res = (df.withColumn("_label", F.col(col).cast("string"))
+           .join(known.select(F.col("label").alias("_label"), F.col("idx").alias("_idx")), "_label", "left")
+           .crossJoin(F.broadcast(n)))  # one row
+    idx = F.coalesce("_idx", "_n")
+    columns = [idx.alias(out) if c == out else F.col(c) for c in df.columns]
+    return res.select(*columns, *([] if out in df.columns else [idx.alias(out)]))
 
 
 # --------------------------------------------------------------------------- F13-F17

@@ -230,15 +230,20 @@ def q_radar_table(spark, sf_dir):
     return round_doubles(M.to_long(board(spark, sf_dir), M.RADAR))
 
 
-@query("threshold_rows", sql=f"""WITH {BEST_CTE},
-rows AS (SELECT '{PRIMARY} @ F1-Optimal' AS model, f1_threshold AS cutoff FROM bt
+def threshold_rows_sql() -> str:
+    """K12 rows, unrounded; needs ``BEST_CTE``."""
+    return f"""WITH rows AS (SELECT '{PRIMARY} @ F1-Optimal' AS model, f1_threshold AS cutoff FROM bt
          UNION ALL SELECT '{PRIMARY} @ Recall>=0.80', constrained_threshold FROM bt),
 cm AS (SELECT model, cutoff, count_if(label = 0 AND score < cutoff) AS tn, count_if(label = 0 AND score >= cutoff) AS fp,
               count_if(label = 1 AND score < cutoff) AS fn, count_if(label = 1 AND score >= cutoff) AS tp
        FROM d, rows GROUP BY ALL),
-a AS (SELECT {AREAS_SQL} FROM c),
-u AS (SELECT * FROM {eval_record_sql(PRIMARY)}
-      UNION ALL SELECT model, {metrics_sql()}, a.roc_auc, a.pr_auc FROM cm, a)
+a AS (SELECT {AREAS_SQL} FROM c)
+SELECT * FROM {eval_record_sql(PRIMARY)}
+UNION ALL SELECT model, {metrics_sql()}, a.roc_auc, a.pr_auc FROM cm, a"""
+
+
+@query("threshold_rows", sql=f"""WITH {BEST_CTE},
+u AS ({threshold_rows_sql()})
 SELECT model, {_round_metrics(M.METRICS)} FROM u""")
 def q_threshold_rows(spark, sf_dir):
     """The model's record plus rows at its tuned cuts (sharing its areas)."""

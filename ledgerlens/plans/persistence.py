@@ -74,13 +74,40 @@ def q_model_reload(spark, sf_dir):
     return IO.reload_check(lr, loaded, rows, KEY, lambda m, d: MO.probability(m, d, [KEY]))
 
 
-@query("best_run", sql=f"""WITH b AS ({EV.BOARD_SQL})
-SELECT model, {EV._round_metrics(['pr_auc', 'roc_auc', 'recall', 'precision', 'f1_cls1'])}, 0.5 AS threshold,
-       true AS has_model FROM b ORDER BY pr_auc DESC, model LIMIT 1""")
+RUN_METRICS = EV.M.METRICS
+RUN_SQL = f"""WITH {EV.BEST_CTE},
+bd AS ({EV.BOARD_SQL}),
+tr AS ({EV.threshold_rows_sql()}),
+runs AS (SELECT bd.*, true AS has_model FROM bd
+         UNION ALL SELECT tr.*, false FROM tr WHERE model NOT IN (SELECT model FROM bd))"""
+PARAMS_SQL = (f"model AS model_type, {EV.R('(SELECT f1_threshold FROM bt)', 6)} AS optimal_threshold, 1 AS n_features, "
+              "'random_undersampling_2:1' AS imbalance_strategy, 'PR-AUC' AS primary_metric")
+
+
+def run_table(spark, sf_dir):
+    """A10: a row per evaluated model and tuned cut: 8 metrics, 5 params, whether it has a model object."""
+    cut = EV.C.best_threshold(EV.C.threshold_scan(EV.cum(spark, sf_dir)))
+    board = EV.q_leaderboard(spark, sf_dir).select("model", *RUN_METRICS).withColumn("has_model", F.lit(True))
+    cuts = EV.q_threshold_rows(spark, sf_dir).select("model", *RUN_METRICS).withColumn("has_model", F.lit(False))
+    cuts = cuts.join(board.select("model"), "model", "left_anti")
+    runs = board.unionByName(cuts).crossJoin(cut)  # one row
+    runs = runs.select(
+        "model", *RUN_METRICS, "has_model", F.col("model").alias("model_type"),
+        fround("f1_threshold", 6).alias("optimal_threshold"), F.lit(1).alias("n_features"),
+        F.lit("random_undersampling_2:1").alias("imbalance_strategy"), F.lit("PR-AUC").alias("primary_metric"))
+    return IO.append_runs(runs, IO.run_path(spark, "runs"))
+
+
+@query("run_table", sql=f"""{RUN_SQL}
+SELECT model, {EV._round_metrics(RUN_METRICS)}, has_model, {PARAMS_SQL} FROM runs""")
+def q_run_table(spark, sf_dir):
+    """A10: the run log, written and read back."""
+    return run_table(spark, sf_dir)
+
+
+@query("best_run", sql=f"""{RUN_SQL}
+SELECT model, {EV._round_metrics(RUN_METRICS)}, has_model, {PARAMS_SQL} FROM runs WHERE has_model
+ORDER BY runs.pr_auc DESC, model LIMIT 1""")
 def q_best_run(spark, sf_dir):
-    """A10: run table (one row per model: metrics + params) appended to Parquet; best by PR-AUC."""
-    board = EV.q_leaderboard(spark, sf_dir)
-    runs = board.select("model", "pr_auc", "roc_auc", "recall", "precision", "f1_cls1",
-                        F.lit(0.5).alias("threshold"), F.lit(True).alias("has_model"))
-    table = IO.append_runs(runs, IO.run_path(spark, "runs"))
-    return IO.best_run(table)
+    """A10: best run by PR-AUC among those with a model (tuned cuts share its PR-AUC and have none)."""
+    return IO.best_run(run_table(spark, sf_dir))

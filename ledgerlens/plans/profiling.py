@@ -70,6 +70,18 @@ def q_dup_rows(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+WHOLE_ROWS = ["documents", "orders", "lineitem", "events", "labels", "conversations", "pages"]
+
+
+@query("dup_whole_rows", sql=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST((SELECT count(*) FROM {t}) AS BIGINT) AS n_rows, "
+    f"CAST((SELECT count(*) FROM {t}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS BIGINT) AS n_duplicates"
+    for t in WHOLE_ROWS))
+def q_dup_whole_rows(spark, sf_dir):
+    """B2: rows beyond the first copy, over every column of each table."""
+    return reduce(lambda a, b: a.unionByName(b), [P.duplicate_rows(read_table(spark, sf_dir, t), t) for t in WHOLE_ROWS])
+
+
 ALL_BASE = [c for c, _ in APPLICANT_BASE_COLS]
 NULL_PROFILE_SQL = f"""{APPLICANT_BASE_CTE},
 w AS (SELECT count(*) AS n, {', '.join(f'count_if({c} IS NULL) AS {c}' for c in ALL_BASE)} FROM base),
@@ -250,6 +262,25 @@ def q_corr_target_top(spark, sf_dir):
     return t.where(F.col("r").isNotNull()).orderBy(F.desc(F.abs("r")), "column_name").limit(24)
 
 
+@query("corr_submatrix", sql=f"""{TARGET_CORR_CTE},
+tops AS (SELECT column_name FROM tr WHERE r IS NOT NULL ORDER BY abs(r) DESC, column_name LIMIT 24),
+keep AS (SELECT column_name FROM tops UNION ALL SELECT 'TARGET'),
+ix AS ({name_index(CORR_COLS)}),
+lv AS (SELECT u.c_custkey, u.column_name, u.value, ix.idx FROM ({unpivot_lateral('base', CORR_COLS, ids=['c_custkey'])}) u
+       JOIN ix USING (column_name) JOIN keep USING (column_name) WHERE u.value IS NOT NULL)
+SELECT a.column_name AS x, b.column_name AS y,
+       {R('CASE WHEN var_pop(a.value) > 0 AND var_pop(b.value) > 0 THEN greatest(least(covar_pop(a.value, b.value) / sqrt(var_pop(a.value) * var_pop(b.value)), 1.0), -1.0) END')} AS r
+FROM lv a JOIN lv b ON a.c_custkey = b.c_custkey WHERE b.idx - a.idx > 0 GROUP BY 1, 2""")
+def q_corr_submatrix(spark, sf_dir):
+    """The correlations among the 24 features most correlated with TARGET, and TARGET."""
+    base = materialize(applicant_base(spark, sf_dir).select(*CORR_COLS))
+    t = P.correlation_with(base, BASE_FEATURES, TARGET).select("column_name", fround("r").alias("r"))
+    tops = t.where(F.col("r").isNotNull()).orderBy(F.desc(F.abs("r")), "column_name").limit(24).collect()
+    names = {r["column_name"] for r in tops} | {TARGET}
+    c = P.correlation_long(base, [n for n in CORR_COLS if n in names])
+    return round_doubles(c.select("x", "y", "r"))
+
+
 @query("corr_extremes", sql=f"""{TARGET_CORR_CTE}
 (SELECT * FROM tr WHERE r IS NOT NULL ORDER BY r ASC, column_name LIMIT 15)
 UNION
