@@ -39,6 +39,8 @@ from ledgerlens.llm.components import components
 THRESHOLD = 0.93
 PROBES, MISS, BUCKET = 4, 1e-4, 64
 BLOCK = 1024
+#: Pairs and rows that a task compares at a time.
+PAIRS, ROWS = 1 << 20, 1 << 15
 SEED = 42
 HASHED = "label int, key long, at int, rep long, n long, vector array<float>, codes binary"
 FOUND = "rep long, links long, hangs_on long"
@@ -102,31 +104,63 @@ def plan_tables(rows: int, dim: int, threshold: float = THRESHOLD, miss: float =
     return k, max(1, math.ceil(math.log(miss) / math.log(max(1 - met, 1e-9))))
 
 
-def linked_in(x: np.ndarray, codes: np.ndarray, n: np.ndarray, rep: np.ndarray, table: int, code: int,
-              split: int | None, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links within one bucket, or between its rows before and from ``split``."""
+def code_type(k: int, dim: int) -> str:
+    d = 1 << max(1, (dim - 1).bit_length())
+    return "<i4" if (2 * d) ** k < 1 << 31 else "<i8"
+
+
+def pairs_within(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All i < j of each run of rows."""
+    n = size * (size - 1) // 2
+    run = np.repeat(np.arange(len(size)), n)
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    # pairs of a run go by j: 0 before 1, then 0 and 1 before 2, ...
+    j = ((1 + np.sqrt(1 + 8 * k.astype(float))) / 2).astype(np.int64)
+    j -= j * (j - 1) // 2 > k
+    j += j * (j + 1) // 2 <= k
+    i = k - j * (j - 1) // 2
+    return start[run] + i, start[run] + j
+
+
+def linked_pairs(x: np.ndarray, start: np.ndarray, split: np.ndarray, threshold: float):
+    """Pairs at the threshold within runs of rows from ``start``; of a run whose ``split`` isn't -1
+    only pairs across it. Runs up to BUCKET rows are taken together, longer ones by matrix."""
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    m = len(x)
-    a, b = (np.arange(m), np.arange(m)) if split is None else (np.arange(split), np.arange(split, m))
-    links, low = np.zeros(m, np.int64), np.arange(m)
-    pairs = []
-    for at in range(0, len(a), 512):
-        i, j = np.nonzero(unit[a[at:at + 512]] @ unit[b].T >= threshold)
-        i, j = a[at + i], b[j]
-        if split is None:
-            i, j = i[i < j], j[i < j]
-        pairs.append((i, j))
-    i, j = (np.concatenate(p) for p in zip(*pairs))
-    if not len(i):
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    first = np.ones(len(i), bool)        # no bucket before this one has both
+    end = np.append(start[1:], len(x))
+    size = end - start
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    small = (size <= BUCKET) & (split < 0)
+    runs = np.flatnonzero(small & (size > 1))
+    n = np.cumsum(size[runs] * (size[runs] - 1) // 2)
+    for at in range(0, int(n[-1]) if len(n) else 0, PAIRS):
+        some = runs[(n > at) & (n <= at + PAIRS)]
+        i, j = pairs_within(start[some], size[some])
+        for part in range(0, len(i), 1 << 15):
+            a, b = i[part:part + (1 << 15)], j[part:part + (1 << 15)]
+            near = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
+            found.append((a[near], b[near]))
+    for r in np.flatnonzero(~small):
+        lo, hi, cut = start[r], end[r], split[r]
+        left, right = (np.arange(lo, hi),) * 2 if cut < 0 else (np.arange(lo, cut), np.arange(cut, hi))
+        for at in range(0, len(left), 512):
+            i, j = np.nonzero(unit[left[at:at + 512]] @ unit[right].T >= threshold)
+            i, j = left[at + i], right[j]
+            found.append((i[i < j], j[i < j]) if cut < 0 else (i, j))
+    return tuple(np.concatenate(side) for side in zip(*found))
+
+
+def links_of(i: np.ndarray, j: np.ndarray, codes: np.ndarray, n: np.ndarray, rep: np.ndarray, table: int,
+             code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From linked pairs of rows in buckets of one table: (vector, links that no earlier bucket
+    has, a vector that it hangs together with)."""
+    links, low = np.zeros(len(rep), np.int64), np.arange(len(rep))
+    first = np.ones(len(i), bool)
     for at in range(0, len(i), 1 << 16):
         part = slice(at, at + (1 << 16))
-        ci, cj = codes[i[part]], codes[j[part]]
+        ci, cj, own = codes[i[part]], codes[j[part]], code[i[part]]
         for t in range(table):
             first[part] &= ~(ci[:, t, :, None] == cj[:, t, None, :]).any((1, 2))
-        same = (ci[:, table, :, None] == cj[:, table, None, :]) & (ci[:, table, :, None] < code)
+        same = (ci[:, table, :, None] == cj[:, table, None, :]) & (ci[:, table, :, None] < own[:, None, None])
         first[part] &= ~same.any((1, 2))
     np.add.at(links, i[first], n[j[first]])
     np.add.at(links, j[first], n[i[first]])
@@ -176,7 +210,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
                     for p in range(1, PROBES):
                         once[:, :, p] = (codes[:, :, p, None] != codes[:, :, :p]).all(2)
                     row, table, probe = np.nonzero(once)
-                    raw = codes.reshape(len(own), each).astype("<i8")
+                    raw = codes.reshape(len(own), each).astype(code_type(k, int(d)))
                     binary = pa.array([r.tobytes() for r in raw], pa.binary())
                     yield pa.RecordBatch.from_arrays([
                         pa.array(label[own][row], pa.int32()),
@@ -187,50 +221,71 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
 
     hashed = shared.written(reps.select("label", "rep", "n", "vector").mapInArrow(hash_rows, HASHED), "hashed")
     bucket = ["label", "at", "key"]
-    sizes = hashed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    sizes = sizes.withColumn("parts", F.ceil(F.col("size") / block).cast("int")).drop("size")
+    # only buckets over the block size are split: at most rows / block of them
+    large = hashed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > block)
+    large = shared.written(large.select(*bucket, F.ceil(F.col("size") / block).cast("int").alias("parts")), "large")
+    met = hashed.join(large, bucket, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     # a member of part p of a split bucket meets every part, in a group of these two parts
-    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    met = hashed.join(sizes, bucket).withColumn("part", part)
+    met = met.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     met = met.withColumn("a", F.least("part", "other")).withColumn("b", F.greatest("part", "other"))
     group = [*bucket, "a", "b"]
-    met = met.repartition(*group).sortWithinPartitions(*group, "part")
+    met = met.repartition(*group).sortWithinPartitions("at", "label", "key", "a", "b", "part")
 
     def verify(batches):
-        held, now = [], None
+        """Whole groups of one table at a time."""
+        held: list[pa.RecordBatch] = []
 
-        def close():
+        def compare():
             t = pa.Table.from_batches(held).combine_chunks()
-            lists = t["vector"].combine_chunks()
-            d, table = int(t["at"][0].as_py()) >> 8, int(t["at"][0].as_py()) & 255
-            x = lists.flatten().to_numpy().reshape(t.num_rows, d).astype(np.float64)
-            codes = np.frombuffer(b"".join(t["codes"].to_pylist()), "<i8").reshape(t.num_rows, -1, PROBES)
-            own, a, b = t["part"].to_numpy(), t["a"][0].as_py(), t["b"][0].as_py()
-            split = None if a == b else int(np.searchsorted(own, b))
-            out = linked_in(x, codes, t["n"].to_numpy(), t["rep"].to_numpy(), table, t["key"][0].as_py(),
-                            split, threshold)
+            held.clear()
+            at = t["at"][0].as_py()
+            d, table = at >> 8, at & 255
+            k, tables = plans[d]
+            column = {c: t[c].to_numpy() for c in (*group, "part", "n", "rep")}
+            change = np.ones(t.num_rows, bool)
+            change[1:] = False
+            for c in group:
+                change[1:] |= column[c][1:] != column[c][:-1]
+            start = np.flatnonzero(change)
+            across = column["a"][start] != column["b"][start]
+            second = np.cumsum(np.concatenate(([0], column["part"] == column["a"])))
+            firsts = second[np.append(start[1:], t.num_rows)] - second[start]
+            split = np.where(across, start + firsts, -1)
+            x = t["vector"].chunk(0).flatten().to_numpy().reshape(t.num_rows, d).astype(np.float64)
+            i, j = linked_pairs(x, start, split, threshold)
+            seen, of = np.unique(np.concatenate((i, j)), return_inverse=True)
+            raw = t["codes"].take(pa.array(seen)).to_pylist()
+            codes = np.frombuffer(b"".join(raw), code_type(k, d)).reshape(len(seen), tables, PROBES)
+            out = links_of(of[:len(i)], of[len(i):], codes, column["n"][seen], column["rep"][seen], table,
+                           column["key"][seen])
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
                                               names=["rep", "links", "hangs_on"])
 
         for batch in batches:
-            keys = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in group]
-            change = np.zeros(batch.num_rows, bool)
-            for k in keys:
-                change[1:] |= k[1:] != k[:-1]
-            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if lo == hi:
-                    continue
-                key = tuple(k[lo] for k in keys)
-                if now is not None and key != now:
-                    if sum(h.num_rows for h in held) > 1:
-                        yield close()
-                    held = []
-                now = key
-                held.append(batch.slice(lo, hi - lo))
-        if sum(h.num_rows for h in held) > 1:
-            yield close()
+            while batch.num_rows:
+                # up to where the table changes, or where a group ends once there are enough rows
+                keys = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in group]
+                ends = np.zeros(batch.num_rows, bool)
+                for k in keys:
+                    ends[:-1] |= k[:-1] != k[1:]
+                if held:
+                    last = held[-1].slice(held[-1].num_rows - 1)
+                    was = [last.column(last.schema.get_field_index(c))[0].as_py() for c in group]
+                    rows = sum(h.num_rows for h in held)
+                    now = [k[0] for k in keys]
+                    if was[1] != now[1] or rows >= ROWS and was != now:
+                        yield compare()
+                        continue
+                else:
+                    rows = 0
+                at = keys[1]
+                stop = np.flatnonzero(ends & ((np.append(at[1:], at[-1]) != at) | (np.arange(len(at)) + rows >= ROWS)))
+                to = int(stop[0]) + 1 if len(stop) else batch.num_rows
+                held.append(batch.slice(0, to))
+                batch = batch.slice(to)
+        if held:
+            yield compare()
 
     columns = [*group, "part", "rep", "n", "vector", "codes"]
     found = shared.written(met.select(*columns).mapInArrow(verify, FOUND), "links")
