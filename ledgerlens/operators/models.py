@@ -11,7 +11,8 @@ from __future__ import annotations
 import math
 import random
 
-from pyspark.ml import Model, Pipeline
+from pyspark import SparkContext
+from pyspark.ml import Model
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassificationModel, GBTClassifier,
                                        LinearSVC, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -79,8 +80,8 @@ def best_round(losses: list[float], patience: int = PATIENCE) -> int:
 
 def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
     """The model of the first ``n`` boosting rounds."""
-    jvm, whole = model._sc._jvm, model._java_obj
-    gateway = model._sc._gateway
+    sc, whole = SparkContext.getOrCreate(), model._java_obj
+    jvm, gateway = sc._jvm, sc._gateway
     trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
     weights = gateway.new_array(jvm.double, n)
     for i in range(n):
@@ -91,10 +92,19 @@ def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel
 
 def early_stopped(est: GBTClassifier, train: DataFrame, validation: DataFrame,
                   patience: int = PATIENCE) -> GBTClassificationModel:
-    """I8: fit all rounds, evaluate every prefix on the validation slice in one pass (the model's
-    own log loss) and keep the rounds up to the best one."""
-    model = est.fit(train)
-    return first_trees(model, best_round(list(model.evaluateEachIteration(validation)), patience))
+    """I8: boosting that stops ``patience`` rounds after the best one, by the model's own loss on the
+    validation slice (all prefixes in one pass), and keeps the rounds up to the best.
+
+    A round depends on the seed and the rounds before it, not on how many follow, so the fit
+    starts with twice the patience and doubles its rounds until the stop lies within them."""
+    whole = est.getMaxIter()
+    rounds = min(whole, 2 * patience)
+    while True:
+        model = est.copy({est.maxIter: rounds}).fit(train)
+        best = best_round(list(model.evaluateEachIteration(validation)), patience)
+        if rounds >= whole or best + patience <= rounds:
+            return first_trees(model, best)
+        rounds = min(whole, 2 * rounds)
 
 
 def positive_weight(df: DataFrame, label: str = LABEL, col: str = WEIGHT) -> DataFrame:

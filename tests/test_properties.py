@@ -102,3 +102,95 @@ def test_stump_expression_equals_model(spark):
     a = [r.p for r in m.transform(df).select("prediction").withColumnRenamed("prediction", "p").collect()]
     b = [r.p for r in df.select(stump_expr(m).alias("p")).collect()]
     assert a == b
+
+
+def test_best_round_waits_for_its_patience():
+    from ledgerlens.operators.models import best_round
+    assert best_round([3.0, 2.0, 2.5, 2.4, 1.0], patience=2) == 2
+    assert best_round([3.0, 2.0, 2.5, 2.4, 1.0], patience=3) == 5
+    assert best_round([1.0]) == 1 and best_round([2.0, 1.0, 1.0], patience=50) == 2
+
+
+def test_early_stop_equals_the_full_fit(spark):
+    from ledgerlens.operators import models as MO
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 4))
+    y = (x[:, 0] + rng.normal(0, 1.5, 400) > 0).astype(float)
+    df = spark.createDataFrame([(int(i), Vectors.dense(x[i].tolist()), float(y[i]), 1.0) for i in range(400)],
+                               ["id", "features", "label", "weight"])
+    train, val = df.where("id < 300"), df.where("id >= 300")
+    est = MO.boosted(24, 0.3, 3, 0.8, 1, "0.8", weighted=True)
+    full = est.fit(train)
+    losses = list(full.evaluateEachIteration(val))
+    got = MO.early_stopped(est, train, val, patience=4)
+    best = MO.best_round(losses, 4)
+    assert got.getNumTrees == best
+    assert list(got.evaluateEachIteration(val)) == pytest.approx(losses[:best])
+    assert MO.probability(got, val, ["id"]).count() == 100
+
+
+def test_smote_with_few_neighbours_keeps_every_sample(spark):
+    rows = [(i, [float(i), 0.0], int(i < 4)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, y int")
+    assert K.smote(df, "y", 1, k=5).count() == 32
+    with pytest.raises(ValueError):
+        K.smote(df.where("id = 0 or y = 0"), "y", 1)
+
+
+def test_knn_skips_points_without_a_distance(spark):
+    rows = [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, vec array<double>")
+    got = sorted((r.q_id, r.nn_rank, r.nn_id, r.distance) for r in K.knn(df, df, 2).collect())
+    assert got == [(1, 1, 6, 0.0), (1, 2, 2, 1.0), (2, 1, 1, 1.0), (2, 2, 6, 1.0), (6, 1, 1, 0.0), (6, 2, 2, 1.0)]
+
+
+def test_streams_never_return_part_of_their_input(spark, tmp_path):
+    from ledgerlens.streaming.scoring import score_stream
+    src = str(tmp_path / "in")
+    spark.range(0, 400, 1, 20).selectExpr("id", "id * 2.0 as v").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    run = lambda n, **kw: score_stream(spark, src, schema, lambda d: d, str(tmp_path / f"out{n}"),
+                                       str(tmp_path / f"ck{n}"), **kw)
+    assert run(1, files_per_trigger=4).count() == 400
+    with pytest.raises(TimeoutError):
+        run(2, files_per_trigger=1, timeout_s=1)
+
+
+def test_stream_counts_drop_only_late_rows(spark, tmp_path):
+    import datetime as dt
+    from ledgerlens.streaming.drift import windowed_bin_counts
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    src = str(tmp_path / "ev")
+    # the last is late; the watermark that drops it is the one of the batch before the last
+    files = [[(day(1), 0.5), (day(2), 1.5)], [(day(20), 0.5)], [(day(21), 1.5)], [(day(2), 0.5)]]
+    for rows in files:
+        spark.createDataFrame(rows, "ts timestamp, value double").coalesce(1).write.mode("append").parquet(src)
+        import time
+        time.sleep(1.1)                     # files are read in the order of their times
+    edges = spark.createDataFrame([([0.0, 1.0, 2.0],)], "edges array<double>")
+    schema = spark.read.parquet(src).schema
+    out = windowed_bin_counts(spark, src, "*.parquet", schema, edges, str(tmp_path / "sink"), str(tmp_path / "ck"))
+    got = sorted((r.window_start.day, r.bin, r.n) for r in out.collect())
+    assert sum(n for _, _, n in got) == 4 and all(n == 1 for _, _, n in got)
+
+
+def test_constant_columns_and_tiny_inputs(spark):
+    from ledgerlens.operators import profile as P
+    from ledgerlens.operators import split as SP
+    df = spark.createDataFrame([(i, 3.0, "g") for i in range(5)], "id long, v double, g string")
+    h = P.density_histogram(df, "v", 4).orderBy("bin").collect()
+    want, edges = np.histogram([3.0] * 5, 4, density=True)
+    assert [r.density for r in h] == pytest.approx(want.tolist()) and h[0].bin_lo == edges[0]
+    assert sum(r["count"] for r in P.grouped_histogram(df, "v", "g", 4).collect()) == 5
+    assert P.kde_curve(df, "v", 50).count() == 0
+    assert SP.position_windows(df.limit(3), "id", 4).count() == 0
+
+
+def test_sorted_labels_number_all_values(spark):
+    from ledgerlens.operators import prep as PR
+    names = [f"n{(i * 7919) % 3001:05d}" for i in range(6000)] + [None]
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
+    got = {r.label: r.idx for r in PR.sorted_labels(df, "name").collect()}
+    assert got == {n: i for i, n in enumerate(sorted({n for n in names if n}))}
+    enc = PR.label_encode(df, "name").where("name = 3001").count()
+    assert enc == 1
