@@ -20,13 +20,22 @@ from pyspark.sql import functions as F
 F1_EPS = 1e-8  # fixed value: F1 denominator guard of the threshold scan
 
 
-def score_counts(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def score_counts(df: DataFrame, score: str = "score", label: str = "label", by: tuple = ()) -> DataFrame:
+    """(*by, score, pos, neg): all that any threshold metric, curve or area needs."""
     y = F.col(label).cast("long")
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-            .groupBy(F.col(score).cast("double").alias("score"))
+            .groupBy(*by, F.col(score).cast("double").alias("score"))
             .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
 
 
+def confusion_at(counts: DataFrame, cut, by: tuple = ()) -> DataFrame:
+    """K1 at ``cut`` (a number, or a column of ``counts``), from the counts alone."""
+    over = F.col("score") >= (F.lit(cut) if isinstance(cut, (int, float)) else cut)
+    part = lambda c, cond: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
+    return counts.groupBy(*by).agg(part("neg", ~over).alias("tn"), part("neg", over).alias("fp"),
+                                   part("pos", ~over).alias("fn"), part("pos", over).alias("tp"))
+
+
 def _bucket_tree(x: Column, edges: list[float], lo: int, hi: int) -> Column:
     """Bucket index in [lo, hi] = number of edges < x, by binary search."""
     if lo == hi:
@@ -37,33 +46,37 @@ def _bucket_tree(x: Column, edges: list[float], lo: int, hi: int) -> Column:
 
 
 def _n_buckets(spark) -> int:
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, min(256, 4 * n))
+    """Ranges that the running count is split in: as many as a shuffle has tasks, several times."""
+    return max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
 
+def cumulative_counts(counts: DataFrame, buckets: int | None = None, by: tuple = ()) -> DataFrame:
+    """(*by, score, pos, neg) -> + tp, fp: counts of rows with score >= this score.
 
-def cumulative_counts(counts: DataFrame, buckets: int | None = None) -> DataFrame:
-    """(score, pos, neg) -> + tp, fp: counts of rows with score >= this score."""
+    ``by`` (a model's name, say) has few values: each has its own bucket edges."""
     spark = counts.sparkSession
-    b = buckets or _n_buckets(spark)
+    b = min(buckets or _n_buckets(spark), 1024)   # a deeper CASE tree no longer compiles
     probs = [i / b for i in range(1, b)]
-    row = counts.agg(F.percentile_approx("score", probs, 10000).alias("e")).first()
-    edges = sorted(set(row["e"] or []))
-    if edges:
-        bucket = _bucket_tree(F.col("score"), edges, 0, len(edges))
-    else:
-        bucket = F.lit(0)
+    bucket = F.lit(0)
+    for row in counts.groupBy(*by).agg(F.percentile_approx("score", probs, 10000).alias("e")).collect():
+        edges = sorted(set(row["e"] or []))
+        tree = _bucket_tree(F.col("score"), edges, 0, len(edges)) if edges else F.lit(0)
+        own = F.lit(True)
+        for c in by:
+            own = own & F.col(c).eqNullSafe(F.lit(row[c]))
+        bucket = F.when(own, tree).otherwise(bucket) if by else tree
     tagged = counts.withColumn("_b", bucket.cast("int"))
-    totals = tagged.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
+    totals = tagged.groupBy(*by, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     # descending score order = descending bucket; offsets = totals of higher buckets
-    wo = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(  # at most B rows: a bounded, broadcastable side
-        "_b", F.coalesce(F.sum("_bp").over(wo), F.lit(0)).alias("_op"),
+    wo = Window.partitionBy(*by).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(  # at most B rows per value of ``by``: a bounded, broadcastable side
+        *by, "_b", F.coalesce(F.sum("_bp").over(wo), F.lit(0)).alias("_op"),
         F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_on"),
-        F.sum("_bp").over(Window.partitionBy()).alias("P"),
-        F.sum("_bn").over(Window.partitionBy()).alias("N"))
-    wr = Window.partitionBy("_b").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return (tagged.join(F.broadcast(offsets), "_b")
-            .select("score", "pos", "neg", "P", "N",
+        F.sum("_bp").over(Window.partitionBy(*by)).alias("P"),
+        F.sum("_bn").over(Window.partitionBy(*by)).alias("N"))
+    wr = Window.partitionBy(*by, "_b").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    return (tagged.join(F.broadcast(offsets), [*by, "_b"])
+            .select(*by, "score", "pos", "neg", "P", "N",
                     (F.col("_op") + F.sum("pos").over(wr)).alias("tp"),
                     (F.col("_on") + F.sum("neg").over(wr)).alias("fp")))
 
@@ -83,7 +96,7 @@ def pr_points(cum: DataFrame) -> DataFrame:
                       F.try_divide(F.col("tp"), F.col("P")).alias("recall"))
 
 
-def areas(cum: DataFrame) -> DataFrame:
+def areas(cum: DataFrame, by: tuple = ()) -> DataFrame:
     """K3/K4/K5: ROC-AUC, PR-AUC (trapezoids) and the baseline positive rate."""
     tp_prev = F.col("tp") - F.col("pos")
     fp_prev = F.col("fp") - F.col("neg")
@@ -91,7 +104,7 @@ def areas(cum: DataFrame) -> DataFrame:
     prec_prev = F.when(tp_prev + fp_prev == 0, F.lit(1.0)).otherwise(tp_prev / (tp_prev + fp_prev))
     roc_term = F.col("neg") * (F.col("tp") + tp_prev)
     pr_term = F.col("pos") * (prec + prec_prev)
-    return cum.agg(
+    return cum.groupBy(*by).agg(
         F.try_divide(F.sum(roc_term), 2.0 * F.first("P") * F.first("N")).alias("roc_auc"),
         F.try_divide(F.sum(pr_term), 2.0 * F.first("P")).alias("pr_auc"),
         F.try_divide(F.first("P"), (F.first("P") + F.first("N")).cast("double")).alias("baseline_rate"))

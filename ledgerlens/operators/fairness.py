@@ -103,10 +103,9 @@ def equalized_odds(table: DataFrame, tol: float = EO_TOLERANCE) -> DataFrame:
 
 def dir_matrix(table: DataFrame, dimensions: list[str], fill: float = 1.0) -> DataFrame:
     """M7/C4: DIR per (dimension, group) aligned over the union of the group
-    labels of ``dimensions`` (pivot to dimension x group, missing -> 1.0,
-    back to long form)."""
+    labels of ``dimensions``, missing -> 1.0."""
     long = table.where(F.col("dimension").isin(dimensions))
-    wide = long.groupBy("dimension").pivot("group").agg(F.first("disparate_impact_ratio"))
-    groups = [c for c in wide.columns if c != "dimension"]
-    wide = wide.fillna(fill, subset=groups)
-    return wide.unpivot(["dimension"], groups, "group", "dir")
+    groups, dims = long.select("group").distinct(), long.select("dimension").distinct()
+    full = dims.crossJoin(groups)  # a handful of dimensions x their few groups
+    return full.join(long, ["dimension", "group"], "left").select(
+        "dimension", "group", F.coalesce("disparate_impact_ratio", F.lit(fill)).alias("dir"))

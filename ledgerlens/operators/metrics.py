@@ -8,12 +8,11 @@ scored table of any size costs one pass; curve-based areas come from
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import curves as C
+from ledgerlens.session import materialize
 
 METRICS = ["accuracy", "precision", "recall", "f1_cls1", "f1_macro", "f1_weighted", "roc_auc", "pr_auc"]
 RADAR = ["accuracy", "precision", "recall", "f1_cls1", "roc_auc", "pr_auc"]
@@ -75,34 +74,41 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     return cm.select(F.inline(rows))
 
 
+def eval_records(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """K7 for every model of (model, score, pos, neg): threshold metrics + ROC-AUC + PR-AUC."""
+    by = ("model",)
+    m = from_confusion(C.confusion_at(counts, threshold, by), keep=["model"])
+    return m.join(C.areas(C.cumulative_counts(counts, by=by), by), "model").select("model", *METRICS)
+
+
 def eval_record(df: DataFrame, score: str, label: str, model: str, threshold: float = 0.5) -> DataFrame:
-    """K7: the ``evaluate_model`` row: threshold metrics + ROC-AUC + PR-AUC."""
-    scored = df.select(F.col(label).alias("label"), F.col(score).alias("score"))
-    cm = confusion(scored.withColumn("pred", predict("score", threshold)), "label", "pred")
-    m = from_confusion(cm)
-    a = C.areas(C.cumulative_counts(C.score_counts(scored)))
-    return m.crossJoin(a).select(F.lit(model).alias("model"), *METRICS)  # 1 row x 1 row
+    """K7: the ``evaluate_model`` row of one model's scored rows, which are read once."""
+    return eval_records(model_counts(df.select(F.lit(model).alias("model"), F.col(label).alias("label"),
+                                               F.col(score).alias("score"))), threshold)
+
+
+def model_counts(scored: DataFrame) -> DataFrame:
+    """(model, label, score) rows -> (model, score, pos, neg), written once for all that is derived from it."""
+    return materialize(C.score_counts(scored, by=("model",)), "score-counts")
 
 
-def threshold_compare(df: DataFrame, score: str, label: str, cuts: DataFrame) -> DataFrame:
-    """Precision / recall / F1 at each named cut, and deltas vs the first.
+def threshold_compare(counts: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Precision / recall / F1 at each named cut, and deltas vs the first, from
+    (score, pos, neg).
 
     ``cuts`` = (cut_label string, cutoff double, cut_order int): a handful of
-    rows, broadcast; each scored row is counted once per cut."""
-    x = df.select(F.col(label).alias("label"), F.col(score).alias("score")).crossJoin(F.broadcast(cuts))
-    x = x.withColumn("pred", (F.col("score") >= F.col("cutoff")).cast("int"))
-    m = from_confusion(confusion(x, "label", "pred", ["cut_label", "cutoff", "cut_order"]),
-                       keep=["cut_label", "cutoff", "cut_order"])
+    rows, broadcast against the distinct scores."""
+    keep = ["cut_label", "cutoff", "cut_order"]
+    m = from_confusion(C.confusion_at(counts.crossJoin(F.broadcast(cuts)), F.col("cutoff"), keep), keep=keep)
     base = m.where(F.col("cut_order") == 0).select(F.col("recall").alias("_r0"), F.col("f1_cls1").alias("_f0"))
     return m.crossJoin(base).select(  # base is one row
         "cut_label", "cutoff", "precision", "recall", F.col("f1_cls1").alias("f1"),
         (F.col("recall") - F.col("_r0")).alias("recall_delta"), (F.col("f1_cls1") - F.col("_f0")).alias("f1_delta"))
 
 
-def leaderboard(records: list[DataFrame]) -> DataFrame:
+def leaderboard(records: DataFrame) -> DataFrame:
     """All records (deduplicated on model name, X13), best PR-AUC first."""
-    allr = reduce(lambda a, b: a.unionByName(b), records).dropDuplicates(["model"])
-    return allr.orderBy(F.desc("pr_auc"), "model")
+    return records.dropDuplicates(["model"]).orderBy(F.desc("pr_auc"), "model")
 
 
 def best_by(board: DataFrame, metrics=("pr_auc", "roc_auc", "recall")) -> DataFrame:

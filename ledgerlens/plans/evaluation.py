@@ -6,14 +6,13 @@ Scores: deterministic scoring rules over ``documents`` evaluated against
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import curves as C
 from ledgerlens.operators import metrics as M
 from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.plans.sqlgen import R
+from ledgerlens.session import materialize
 from ledgerlens.sources.tables import read_table
 
 # scoring rules: name -> (Spark column, SQL expression over documents d)
@@ -33,8 +32,21 @@ def scored(spark, sf_dir, scorer: str = PRIMARY):
                                            SCORERS[scorer][0]().alias("score"))
 
 
+def all_counts(spark, sf_dir):
+    """(model, score, pos, neg) of every scoring rule, from one scan of the tables."""
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    rules = F.array(*[F.struct(F.lit(n).alias("model"), rule().alias("score")) for n, (rule, _) in SCORERS.items()])
+    return M.model_counts(lab.join(docs, "doc_id").select("label", F.inline(rules)))
+
+
+def counts(spark, sf_dir, scorer: str = PRIMARY):
+    """(score, pos, neg) of one rule, written once."""
+    return materialize(C.score_counts(scored(spark, sf_dir, scorer)), "score-counts")
+
+
 def cum(spark, sf_dir, scorer: str = PRIMARY):
-    return C.cumulative_counts(C.score_counts(scored(spark, sf_dir, scorer)))
+    return C.cumulative_counts(counts(spark, sf_dir, scorer))
 
 
 def curve_cte(scorer: str = PRIMARY, prefix: str = "") -> str:
@@ -175,15 +187,15 @@ SELECT cut_label, {R('cutoff')} AS cutoff, {R('precision')} AS precision, {R('re
        {R('f1_cls1')} AS f1, {R('recall - r0')} AS recall_delta, {R('f1_cls1 - f0')} AS f1_delta FROM m, z""")
 def q_threshold_compare(spark, sf_dir):
     """Metrics at the default, F1-optimal and recall-constrained cuts."""
-    s = scored(spark, sf_dir)
-    best = C.best_threshold(C.threshold_scan(C.cumulative_counts(C.score_counts(s))), 0.80)
+    n = counts(spark, sf_dir)
+    best = C.best_threshold(C.threshold_scan(C.cumulative_counts(n)), 0.80)
     cuts = (spark.range(1).select(F.lit("Default (0.50)").alias("cut_label"), F.lit(0.5).alias("cutoff"),
                                   F.lit(0).alias("cut_order"))
             .unionByName(best.select(F.lit("F1-Optimal").alias("cut_label"), F.col("f1_threshold").alias("cutoff"),
                                      F.lit(1).alias("cut_order")))
             .unionByName(best.select(F.lit("Recall>=0.80").alias("cut_label"),
                                      F.col("constrained_threshold").alias("cutoff"), F.lit(2).alias("cut_order"))))
-    return round_doubles(M.threshold_compare(s, "score", "label", cuts))
+    return round_doubles(M.threshold_compare(n, cuts))
 
 
 @query("nearest_half", sql=f"""WITH {SCAN_CTE}
@@ -194,7 +206,7 @@ def q_nearest_half(spark, sf_dir):
 
 
 def board(spark, sf_dir):
-    return M.leaderboard([M.eval_record(scored(spark, sf_dir, s), "score", "label", s) for s in SCORERS])
+    return M.leaderboard(M.eval_records(all_counts(spark, sf_dir)))
 
 
 BOARD_SQL = " UNION ALL ".join(f"SELECT * FROM {eval_record_sql(s)}" for s in SCORERS)
@@ -247,14 +259,14 @@ u AS ({threshold_rows_sql()})
 SELECT model, {_round_metrics(M.METRICS)} FROM u""")
 def q_threshold_rows(spark, sf_dir):
     """The model's record plus rows at its tuned cuts (sharing its areas)."""
-    s = scored(spark, sf_dir)
-    c = C.cumulative_counts(C.score_counts(s))
+    n = counts(spark, sf_dir)
+    c = C.cumulative_counts(n)
     best = C.best_threshold(C.threshold_scan(c), 0.80)
     areas = C.areas(c).select("roc_auc", "pr_auc")
     cuts = (best.select(F.lit(f"{PRIMARY} @ F1-Optimal").alias("model"), F.col("f1_threshold").alias("cutoff"))
             .unionByName(best.select(F.lit(f"{PRIMARY} @ Recall>=0.80").alias("model"),
                                      F.col("constrained_threshold").alias("cutoff"))))
-    x = s.crossJoin(F.broadcast(cuts)).withColumn("pred", (F.col("score") >= F.col("cutoff")).cast("int"))
-    rows = M.from_confusion(M.confusion(x, "label", "pred", ["model"]), keep=["model"]).crossJoin(areas)
-    base = M.eval_record(s, "score", "label", PRIMARY)
+    cm = C.confusion_at(n.crossJoin(F.broadcast(cuts)), F.col("cutoff"), ("model",))  # two rows
+    rows = M.from_confusion(cm, keep=["model"]).crossJoin(areas)
+    base = M.eval_records(n.withColumn("model", F.lit(PRIMARY)))
     return round_doubles(base.unionByName(rows.select("model", *M.METRICS)))

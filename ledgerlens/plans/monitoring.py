@@ -26,7 +26,7 @@ GROUP_COLS = ["age_group", "gender", "income_quartile", "lang"]
 
 def audited(spark, sf_dir):
     """Scored documents with the class at the F1-optimal cut and the group columns."""
-    s = scored(spark, sf_dir)
+    s = materialize(scored(spark, sf_dir), "scored")   # cut, edges, rates and groups read it
     best = C.best_threshold(C.threshold_scan(C.cumulative_counts(C.score_counts(s))))
     x = s.crossJoin(F.broadcast(best)).withColumn(  # one-row side
         "pred", (F.col("score") >= F.col("f1_threshold")).cast("int"))
