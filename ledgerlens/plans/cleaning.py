@@ -18,7 +18,7 @@ from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.plans.rollups import APPLICANT_BASE_COLS, APPLICANT_BASE_CTE, applicant_base
 from ledgerlens.plans.splits import SPLIT_CTE
 from ledgerlens.plans.sqlgen import R, skew_sql
-from ledgerlens.session import materialize
+from ledgerlens.session import materialize, once
 from ledgerlens.sources.tables import KEY, TARGET, read_table
 
 FIN_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_FAM_MEMBERS",
@@ -46,11 +46,15 @@ def materialized_model_frame(spark, sf_dir):
     """The model frame written to the checkpoint folder. While it is computed,
     the per-order lineitem aggregate feeding both the roll-up and the finance
     columns is cached, so the largest table is scanned and shuffled once."""
+    return once(spark, "model-frame", sf_dir, lambda: _write_model_frame(spark, sf_dir))
+
+
+def _write_model_frame(spark, sf_dir):
     from pyspark import StorageLevel
     from ledgerlens.plans.rollups import lineitem_order_stats
     shared = lineitem_order_stats(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return materialize(model_frame(spark, sf_dir))
+        return materialize(model_frame(spark, sf_dir), "model-frame")
     finally:
         shared.unpersist()
 

@@ -18,7 +18,7 @@ from ledgerlens.plans.features import FEATURE_SQL, FINANCE_CTE, applicant_financ
 from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.plans.splits import SPLIT_CTE
 from ledgerlens.plans.sqlgen import R
-from ledgerlens.session import materialize
+from ledgerlens.session import materialize, once
 from ledgerlens.sources.tables import KEY, TARGET
 
 #: feature: coefficient on the scaled value
@@ -31,9 +31,11 @@ TOP = 5
 
 def _frame(spark, sf_dir):
     """(key, TARGET, split, features with nulls as 0), written once."""
-    fe = FE.domain_features(applicant_finance(spark, sf_dir)).select(
-        KEY, TARGET, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in NAMES])
-    return materialize(SP.stratified_split(fe, KEY, TARGET, 0.2))
+    def write():
+        fe = FE.domain_features(applicant_finance(spark, sf_dir)).select(
+            KEY, TARGET, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in NAMES])
+        return materialize(SP.stratified_split(fe, KEY, TARGET, 0.2), "linear")
+    return once(spark, "linear", sf_dir, write)
 
 
 def _scaled_test(spark, sf_dir):

@@ -8,6 +8,8 @@ test split (property-checked: rows / ranges, not SQL).
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import balance as B
@@ -15,9 +17,10 @@ from ledgerlens.operators import metrics as M
 from ledgerlens.operators import models as MO
 from ledgerlens.operators import prep as PR
 from ledgerlens.operators import split as SP
+from ledgerlens.plans import evaluation as EV
 from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.session import materialize
-from ledgerlens.sources.tables import KEY, TARGET
+from ledgerlens.sources.tables import KEY, TARGET, read_table
 
 _CACHE: dict = {}
 
@@ -68,6 +71,10 @@ def _split(spark, sf_dir):
     return fm.where(F.col("split") == "train"), fm.where(F.col("split") == "test"), names
 
 
+def parallelism(spark) -> int:
+    return max(2, min(16, spark.sparkContext.defaultParallelism))
+
+
 def _record(scored, name):
     return round_doubles(M.eval_record(scored, "score", MO.LABEL, name))
 
@@ -76,6 +83,32 @@ def _n_weight(train):
     return train.agg(F.sum(MO.WEIGHT)).first()[0]
 
 
+@query("cv_rules", sql=f"""WITH d AS (
+  SELECT v.model, v.score, l.toxic AS label, CAST(l.doc_id % 6 AS INTEGER) AS fold FROM labels l JOIN documents d USING (doc_id),
+  LATERAL (VALUES {', '.join(f"('{n}', {e})" for n, (_, e) in EV.SCORERS.items())}) v(model, score)),
+g AS (SELECT model, fold, score, sum(label) AS pos, sum(1 - label) AS neg FROM d GROUP BY ALL),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY model, fold ORDER BY score DESC) AS tp FROM g),
+f AS (SELECT model, fold, sum(neg * (2 * tp - pos)) / (2.0 * sum(pos) * sum(neg)) AS auc FROM c GROUP BY model, fold),
+t AS (SELECT model, avg(auc) FILTER (WHERE fold < 5) AS cv_mean_auc, stddev_pop(auc) FILTER (WHERE fold < 5) AS cv_std,
+             min(auc) FILTER (WHERE fold < 5) AS cv_min, max(auc) FILTER (WHERE fold < 5) AS cv_max,
+             max(auc) FILTER (WHERE fold = 5) AS test_auc FROM f GROUP BY model)
+SELECT model, {', '.join(f'{EV.R(c)} AS {c}' for c in ('cv_mean_auc', 'cv_std', 'cv_min', 'cv_max', 'test_auc'))},
+       {EV.R('abs(cv_mean_auc - test_auc)')} AS overfit_gap,
+       CASE WHEN abs(cv_mean_auc - test_auc) < 0.02 THEN '✅ Generalises' ELSE 'Possible overfit' END AS status FROM t""")
+def q_cv_rules(spark, sf_dir):
+    """I9's table for the scoring rules: AUC on five folds of the documents and on a sixth part as test."""
+    from ledgerlens.operators import curves as C
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(lab, "doc_id")
+    rules = F.array(*[F.struct(F.lit(n).alias("model"), rule().alias("score")) for n, (rule, _) in EV.SCORERS.items()])
+    rows = docs.select((F.col("doc_id") % 6).cast("int").alias("fold"), "label", F.inline(rules))
+    by = ("model", "fold")
+    counts = materialize(C.score_counts(rows, by=by), "fold-counts")
+    auc = C.areas(C.cumulative_counts(counts, by=by), by)
+    return round_doubles(cv_table(auc.select(
+        "model", F.when(F.col("fold") < 5, "fold").otherwise("test").alias("kind"), F.col("roc_auc").alias("auc"))))
+
+
 @query("train_lr")
 def q_train_lr(spark, sf_dir):
     """I1 + J1 + K7: balanced L2 logistic regression (C = 0.1)."""
@@ -169,11 +202,16 @@ def q_cv_summary(spark, sf_dir):
     """5-fold stratified CV ROC-AUC per candidate vs the test ROC-AUC, weighted fits."""
     from ledgerlens.operators import curves as C
     tr, te, _ = _split(spark, sf_dir)
-    rows = []
-    for name, make in CV_CANDIDATES.items():
-        rows += [(name, "fold", a) for a in MO.cv_auc(make(), tr, "fold", 5)]
-        scored = MO.probability(make().fit(tr), te, [MO.LABEL])
-        rows.append((name, "test", C.areas(C.cumulative_counts(C.score_counts(scored))).first()["roc_auc"]))
+    jobs = [(name, k) for name in CV_CANDIDATES for k in (*range(5), None)]   # None: all folds, scored on the test rows
+
+    def auc(job):
+        name, k = job
+        fit_rows, rest = (tr, te) if k is None else (tr.where(F.col("fold") != k), tr.where(F.col("fold") == k))
+        scored = MO.probability(CV_CANDIDATES[name]().fit(fit_rows), rest, [MO.LABEL])
+        return name, "test" if k is None else "fold", C.areas(C.cumulative_counts(C.score_counts(scored))).first()["roc_auc"]
+
+    with ThreadPool(parallelism(spark)) as pool:      # fits wait on the scheduler more than they compute
+        rows = pool.map(auc, jobs)
     return round_doubles(cv_table(spark.createDataFrame(rows, "model string, kind string, auc double")))
 
 
@@ -200,7 +238,7 @@ def _search_query(key):
     def run(spark, sf_dir):
         tr, te, _ = _split(spark, sf_dir)
         tr3 = SP.kfold(tr.drop("fold"), KEY, TARGET, 3, col="fold")
-        cvm = MO.random_search(make(), space, n_iter, tr3, "fold")
+        cvm = MO.random_search(make(), space, n_iter, tr3, "fold", parallelism(spark))
         best = cvm.bestModel
         est = make()
         chosen = {est.getParam(p.name): v for p, v in best.extractParamMap().items() if p.name in space}
@@ -219,9 +257,28 @@ query("search_rf")(_search_query("search_rf"))
 search_query = _search_query
 
 
+#: fixed values: whose importances are shown, the first that was fitted
+IMPORTANCE_ORDER = ["GBT B (Tuned)", "GBT A (Tuned)", "GBT (early stop)", "GBT (positive weight)",
+                    "Random Forest (Tuned)", "Random Forest", "Gradient Boosting"]
+
+
+def first_available(models: dict):
+    """(name, model) of the first fitted model in the stated order, or None."""
+    return next(((n, models[n]) for n in IMPORTANCE_ORDER if n in models), None)
+
+
+def boosted_importance(spark, sf_dir):
+    _, _, names = _split(spark, sf_dir)
+    _, m = first_available({"Gradient Boosting": fitted(spark, sf_dir, "gbt", MO.boosted)})  # train_gbt's fit
+    return MO.importances(m, names).orderBy(F.desc("importance"), "feature")
+
+
+def ranked_features(spark, sf_dir) -> list[str]:
+    """Feature names by falling importance (as many as the matrix is wide)."""
+    return [r["feature"] for r in boosted_importance(spark, sf_dir).collect()]
+
+
 @query("importance")
 def q_importance(spark, sf_dir):
     """Feature importances of the boosted model, top 20."""
-    _, _, names = _split(spark, sf_dir)
-    m = fitted(spark, sf_dir, "gbt", MO.boosted)  # the same fit as train_gbt
-    return MO.importances(m, names).orderBy(F.desc("importance"), "feature").limit(20)
+    return boosted_importance(spark, sf_dir).limit(20)

@@ -16,7 +16,7 @@ from ledgerlens.plans.features import FEATURE_SQL, FINANCE_CTE, applicant_financ
 from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.plans.splits import H_CUST, SPLIT_CTE
 from ledgerlens.plans.sqlgen import R
-from ledgerlens.session import materialize
+from ledgerlens.session import materialize, once
 from ledgerlens.sources.tables import KEY, TARGET, read_table
 
 GROUP_COLS = ["age_group", "gender", "income_quartile", "lang"]
@@ -166,14 +166,17 @@ WINDOW_NAMES = ["month_1", "month_2", "month_3", "month_4"]
 
 
 def monitored(spark, sf_dir):
-    """(key, split, features..., score) with the test rows' position window."""
+    """(key, split, features..., score) with the test rows' position window, written once."""
+    return once(spark, "monitored", sf_dir, lambda: _write_monitored(spark, sf_dir))
+
+
+def _write_monitored(spark, sf_dir):
     fe = FE.domain_features(applicant_finance(spark, sf_dir))
     fe = fe.withColumn("score", F.col("EXT_SOURCE_MEAN"))
     sp = SP.stratified_split(fe.select(KEY, TARGET), KEY, TARGET, 0.2).select(KEY, "split")
     fe = fe.join(sp, KEY)
     wins = SP.position_windows(fe.where(F.col("split") == "test").select(KEY), KEY, 4, col="win")
-    # written once: the reference and window sides and every PSI stage read it
-    return materialize(fe.join(wins, KEY, "left"))
+    return materialize(fe.join(wins, KEY, "left"), "monitored")
 
 
 def feature_psi(spark, sf_dir, cols=MONITOR, m=None):
@@ -207,8 +210,8 @@ pt AS (SELECT feature, {', '.join(f"coalesce(max(CASE WHEN win = {i} THEN {R('ps
 ptm AS (SELECT *, greatest({', '.join(WINDOW_NAMES)}) AS max_psi FROM pt)"""
 
 
-def psi_table(spark, sf_dir):
-    p = feature_psi(spark, sf_dir).withColumn("psi", fround("psi"))
+def psi_table(spark, sf_dir, cols=MONITOR):
+    p = feature_psi(spark, sf_dir, cols).withColumn("psi", fround("psi"))
     wide = p.groupBy("feature").pivot("win", [0, 1, 2, 3]).agg(F.first("psi"))
     wide = wide.select("feature", *[F.coalesce(F.col(str(i)), F.lit(0.0)).alias(w)
                                     for i, w in enumerate(WINDOW_NAMES)])
@@ -227,6 +230,16 @@ def q_psi_table(spark, sf_dir):
     return t.withColumn("drift_class", D.drift_class(F.col("max_psi"))).orderBy(F.desc("max_psi"), "feature")
 
 
+@query("psi_by_importance")
+def q_psi_by_importance(spark, sf_dir):
+    """M9: the table for the 15 monitored columns that matter most to the boosted model."""
+    from ledgerlens.plans.modeling import ranked_features
+    have = set(monitored(spark, sf_dir).columns)
+    cols = [c for c in ranked_features(spark, sf_dir) if c in have][:15]
+    t = psi_table(spark, sf_dir, cols or MONITOR)
+    return t.withColumn("drift_class", D.drift_class(F.col("max_psi"))).orderBy(F.desc("max_psi"), "feature")
+
+
 SCORE_CTE = f"""{MON_CTE},
 ref AS (SELECT 'score' AS feature, {R('score', RES)} AS value FROM m WHERE split = 'train'),
 act AS (SELECT 'score' AS feature, win, {R('score', RES)} AS value FROM m WHERE win IS NOT NULL),

@@ -77,6 +77,18 @@ def materialize(df, name: str = "frame"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+_ONCE: dict = {}
+
+
+def once(spark: SparkSession, name: str, sf_dir: str, make):
+    """``make()``, a written frame or a fit, once per application and input folder: the queries
+    that start from it share it."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _ONCE:
+        _ONCE[key] = make()
+    return _ONCE[key]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table, in this application's own folder
     under the shared checkpoint folder; that folder goes when the session ends."""
