@@ -186,8 +186,9 @@ def keep_mixed(docs: DataFrame, **kw) -> DataFrame:
     factors and once to sample, and never shuffled."""
     counted = shared.written(with_topic(docs, ["source", "lang"]), "mix")
     mix = Mix(counted, DIMS, "n_tokens", **kw)
-    again = with_topic(docs, prefix="_mix_")
-    sampled = draw("doc_id", "text") < mix.probability({"topic": "_mix_topic"})
+    own = shared.free_prefix(docs.columns, "_mix_")
+    again = with_topic(docs, prefix=own)
+    sampled = draw("doc_id", "text") < mix.probability({"topic": f"{own}topic"})
     return again.filter(sampled).select(*docs.columns)
 
 

@@ -196,8 +196,8 @@ def with_score(docs: DataFrame, model: Model, name: str = "score", keep: list[st
 
 def keep_quality(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """The documents that the classifier predicts to be of quality, with their columns."""
-    found = with_score(docs, train(docs, labels, **bounds), "_quality_score")
-    return found.filter(F.col("_quality_score") >= CUT).select(*docs.columns)
+    name = shared.free_prefix(docs.columns, "_quality_score")
+    return with_score(docs, train(docs, labels, **bounds), name).filter(F.col(name) >= CUT).select(*docs.columns)
 
 
 def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,8 +131,9 @@ def choose_cutoffs(holdout: DataFrame, stratum: str, prefix: str = "", alpha: fl
             .select("stratum", "rule", F.element_at(grid, F.col("step") + 1).alias("cutoff")))
 
 
-def verdict(counted: DataFrame, cutoffs: DataFrame, stratum: str, prefix: str = "") -> DataFrame:
-    """``counted`` with ``kept``: false if the base rule or a chosen cutoff rejects."""
+def verdict(counted: DataFrame, cutoffs: DataFrame, stratum: str, prefix: str = "",
+            out: str = "kept") -> DataFrame:
+    """``counted`` with ``out``: false if the base rule or a chosen cutoff rejects."""
     wide = cutoffs.groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(f"{prefix}_cutoffs"))
     wide = shared.written(wide, "rule-cutoffs").withColumnRenamed("stratum", f"{prefix}_stratum")
@@ -143,7 +144,7 @@ def verdict(counted: DataFrame, cutoffs: DataFrame, stratum: str, prefix: str =
     for r in RULES:
         cut = F.col(f"{prefix}_cutoffs").getItem(r)
         over = over | F.coalesce(rule_value(r, prefix) > cut, F.lit(False))
-    return (joined.withColumn("kept", ~base_failed(prefix) & ~over)
+    return (joined.withColumn(out, ~base_failed(prefix) & ~over)
             .drop(f"{prefix}_stratum", f"{prefix}_cutoffs"))
 
 
@@ -167,9 +168,11 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **limits) -
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **limits) -> DataFrame:
     """The documents that no rule rejects, with their columns. The texts are
     counted twice, once for the cutoffs and once to filter, but never shuffled."""
-    counted = shared.written(with_counts(docs, keep=["doc_id", stratum], prefix="_q_"), "rule-features")
-    cutoffs = cutoffs_for(counted, labels, "doc_id", stratum, "_q_", **limits)
-    return verdict(with_counts(docs, prefix="_q_"), cutoffs, stratum, "_q_").filter("kept").select(*docs.columns)
+    q = shared.free_prefix(docs.columns, "_q_")
+    counted = shared.written(with_counts(docs, keep=["doc_id", stratum], prefix=q), "rule-features")
+    cutoffs = cutoffs_for(counted, labels, "doc_id", stratum, q, **limits)
+    kept = verdict(with_counts(docs, prefix=q), cutoffs, stratum, q, f"{q}kept")
+    return kept.filter(F.col(f"{q}kept")).select(*docs.columns)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

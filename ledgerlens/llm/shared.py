@@ -35,6 +35,13 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(columns: list[str], prefix: str) -> str:
+    """``prefix``, or that with more underscores, so that no column begins with it."""
+    while any(c.startswith(prefix) for c in columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -187,9 +187,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
         F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n")).withColumn(
         "rep", F.coalesce("least", F.xxhash64("label", "vector")))
     reps = shared.written(reps, "vectors")
-    sizes = reps.groupBy("label", F.size("vector").alias("d")).count().groupBy("d").agg(F.max("count").alias("m"))
-    plans = {r.d: plan_tables(1 << max(1, (r.m - 1).bit_length()), r.d, threshold)
-             for r in sizes.limit(1000).collect()}
+    most = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 1
+    most = 1 << max(1, (most - 1).bit_length())
+    plan = lambda d: plan_tables(most, d, threshold)  # noqa: E731  the same on every executor
 
     def hash_rows(batches):
         for batch in batches:
@@ -202,7 +202,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
                     own = np.flatnonzero(lengths == d)
                     kept = lists.take(pa.array(own))
                     x = kept.flatten().to_numpy().reshape(len(own), d).astype(np.float64)
-                    k, tables = plans[int(d)]
+                    k, tables = plan(int(d))
                     codes = codes_of(x, k, tables)
                     each = tables * PROBES
                     # the same code can be probed twice only where codes run out
@@ -241,7 +241,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
             held.clear()
             at = t["at"][0].as_py()
             d, table = at >> 8, at & 255
-            k, tables = plans[d]
+            k, tables = plan(d)
             column = {c: t[c].to_numpy() for c in (*group, "part", "n", "rep")}
             change = np.ones(t.num_rows, bool)
             change[1:] = False

@@ -6,7 +6,8 @@ WORD = re.compile("[^\x20\x09-\x0d]+")
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, "
         # names that operators use themselves
         "n_words long, kept string, score string, fp string, component_id string, topic string, "
-        "n_tokens string, weight string, word string, length string, q_n_words long")
+        "n_tokens string, weight string, word string, length string, q_n_words long, "
+        "_q_n_words long, _quality_score string, _mix_topic string")
 
 
 def lower(text):
@@ -27,7 +28,7 @@ def odd_rows():
 
 
 def odd_docs(spark):
-    return spark.createDataFrame([(i, t, la, s, len(t or ""), 7, *["x"] * 9, 9) for i, t, la, s in odd_rows()], DOCS)
+    return spark.createDataFrame([(i, t, la, s, len(t or ""), 7, *["x"] * 9, 9, 9, "x", "x") for i, t, la, s in odd_rows()], DOCS)
 
 
 def no_docs(spark):

@@ -141,5 +141,6 @@ def test_rules_on_odd_rows(spark):
         assert r.kept == (not r.base_failed)          # too few labels to prove a cutoff
     kept = quality_rules.keep_good(odd_docs(spark), labels)
     assert kept.columns == odd_docs(spark).columns and kept.count() == sum(r.kept for r in out)
+    assert {(r["kept"], r["q_n_words"], r["_q_n_words"]) for r in kept.collect()} == {("x", 9, 9)}
     assert quality_rules.judge(no_docs(spark), labels).count() == 0
     assert quality_rules.judge(odd_docs(spark), labels.limit(0)).count() == len(odd_rows())
