@@ -51,35 +51,44 @@ MARK = "▁"
 #: Share of all first probability that single bytes get.
 BYTE_SHARE = 1e-4
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+NONE, PREFIX = -1, -2
 
 
 @dataclass
 class Pieces:
-    """Pieces by the hash of their bytes. The last index is the end of a text."""
+    """Pieces, and beginnings of pieces, by the hash of their bytes. The last index is
+    the end of a text."""
 
     spelled: list[bytes]
     log_p: np.ndarray
 
     def __post_init__(self):
         self.longest = max(map(len, self.spelled))
-        keys = np.array([_hash_of(p) for p in self.spelled], np.uint64)
+        known = {_hash_of(p[:n]): PREFIX for p in self.spelled for n in range(1, len(p))}
+        known |= {_hash_of(p): i for i, p in enumerate(self.spelled)}
+        if len(known) < len({p[:n] for p in self.spelled for n in range(1, len(p) + 1)}):
+            raise ValueError("two pieces or beginnings of pieces have one hash")
+        keys = np.fromiter(known, np.uint64, len(known))
         order = np.argsort(keys)
-        self.keys, self.index = keys[order], order
-        if (np.diff(self.keys) == 0).any():
-            raise ValueError("two pieces have one hash")
+        self.keys, self.index = keys[order], np.fromiter(known.values(), np.int64, len(known))[order]
         # first bits of a key -> where to look, so that a lookup is one or two steps
-        self.shift = np.uint64(64 - 17)
-        self.slot = np.searchsorted(self.keys >> self.shift, np.arange((1 << 17) + 1, dtype=np.uint64))
+        self.shift = np.uint64(64 - 19)
+        self.slot = np.searchsorted(self.keys >> self.shift, np.arange((1 << 19) + 1, dtype=np.uint64))
         self.depth = int(np.diff(self.slot).max())
 
     def find(self, key: np.ndarray) -> np.ndarray:
-        """Index of the piece with each hash, -1 without one."""
-        at = self.slot[(key >> self.shift).astype(np.int64)]
-        out = np.full(len(key), -1, np.int64)
-        for step in range(self.depth):
-            pos = np.minimum(at + step, len(self.keys) - 1)
-            hit = self.keys[pos] == key
-            out[hit] = self.index[pos[hit]]
+        """Index of the piece with each hash, PREFIX where pieces only begin so, else NONE."""
+        bucket = (key >> self.shift).astype(np.int64)
+        at, end = self.slot[bucket], self.slot[bucket + 1]
+        out = np.full(len(key), NONE, np.int64)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            pos = at[left]
+            hit = self.keys[pos] == key[left]
+            out[left[hit]] = self.index[pos[hit]]
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < end[left]]
         return out
 
     @property
@@ -126,14 +135,19 @@ def edges_of(chars: np.ndarray, pieces: Pieces):
     rows, n = chars.shape
     found: list[list] = [[] for _ in range(n + 1)]
     for i in range(n):
-        h = np.zeros(rows, np.uint64)
+        # only rows whose stretch so far begins a piece are followed further
+        alive, h = np.arange(rows), np.zeros(rows, np.uint64)
         for length in range(1, min(pieces.longest, n - i) + 1):
-            h = (h + chars[:, i + length - 1] + np.uint64(1)) * MULTIPLIER
+            h = (h + chars[alive, i + length - 1] + np.uint64(1)) * MULTIPLIER
             h ^= h >> np.uint64(29)
             piece = pieces.find(h)
-            at = np.flatnonzero(piece >= 0)
-            if len(at):
-                found[i + length].append((i, length, at, piece[at]))
+            here = piece >= 0
+            if here.any():
+                found[i + length].append((i, length, alive[here], piece[here]))
+            on = piece != NONE
+            alive, h = alive[on], h[on]
+            if not len(alive):
+                break
     return found
 
 
