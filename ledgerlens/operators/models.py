@@ -223,17 +223,6 @@ class AdaBoostStumps:
 
 # --------------------------------------------------------------------------- CV / search
 
-def cv_auc(estimator, df: DataFrame, fold_col: str = "fold", folds: int = 5) -> list[float]:
-    """ROC-AUC of each fold (fit on the other folds); Spark ML fits, exact AUC."""
-    from ledgerlens.operators import curves as C
-    out = []
-    for k in range(folds):
-        m = estimator.fit(df.where(F.col(fold_col) != k))
-        s = probability(m, df.where(F.col(fold_col) == k), [LABEL])
-        out.append(C.areas(C.cumulative_counts(C.score_counts(s))).first()["roc_auc"])
-    return out
-
-
 def random_param_maps(est, space: dict, n_iter: int, seed: int = SEED):
     """``n_iter`` draws; a space value is a list (choice) or a
     (low, high, 'int'|'float'|'share') range (uniform; a share is passed as text)."""

@@ -65,7 +65,3 @@ def left_join_chain(base: DataFrame, key: str, sides: list[tuple[DataFrame, str]
             side = side.withColumnRenamed(side_key, key)
         out = out.join(side, on=key, how="left")
     return out
-
-
-def added_columns(base: DataFrame, sides: list[tuple[DataFrame, str]]) -> list[tuple[str, int]]:
-    return [(str(i), len(s.columns) - 1) for i, (s, _) in enumerate(sides)]

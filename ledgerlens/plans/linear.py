@@ -171,18 +171,34 @@ def q_lin_beeswarm(spark, sf_dir):
     return round_doubles(X.beeswarm(a, X.global_table(a, 3)), 6)
 
 
-@query("sparse_request_score", sql=f"""{LIN_CTE},
+SPARSE_SQL = f"""{LIN_CTE},
 rq AS (SELECT c_custkey, {', '.join(f"CASE WHEN c_custkey % 4 <> {i % 4} THEN fz.{c} ELSE 0.0 END AS {c}" for i, c in enumerate(NAMES))} FROM fz),
 rx AS (SELECT c_custkey, {', '.join(f'(rq.{c} - {c}_m) / {c}_s AS {c}' for c in NAMES)} FROM rq, pa),
 rs AS (SELECT c_custkey, 1 / (1 + exp(-({INTERCEPT} + {' + '.join(f'{b} * {c}' for c, b in COEF.items())}))) AS score FROM rx)
-SELECT c_custkey, {R('score', 6)} AS default_probability, CAST(score >= {CUT} AS INTEGER) AS predicted_class FROM rs""")
+SELECT c_custkey, {R('score', 6)} AS default_probability, CAST(score >= {CUT} AS INTEGER) AS predicted_class FROM rs"""
+
+
+@query("sparse_request_score", sql=SPARSE_SQL)
 def q_sparse_request_score(spark, sf_dir):
     """J3 from sparse requests: a map with some features -> default fill (F17) -> scale (F15) -> score."""
-    df = _frame(spark, sf_dir)
+    return request_scorer(spark, sf_dir)(requests(spark, sf_dir))
+
+
+def requests(spark, sf_dir):
+    """(key, map of the features that a request gives): every fourth feature is missing."""
     given = F.map_from_entries(F.filter(F.array(*[
         F.struct(F.lit(c).alias("k"), F.when(F.col(KEY) % 4 != i % 4, F.col(c)).alias("v"))
         for i, c in enumerate(NAMES)]), lambda e: e["v"].isNotNull()))
-    request = df.select(KEY, given.alias("request"))
-    filled = PR.default_fill(request, "request", NAMES).drop("request")
-    scored = X.score_output(_probability(PR.apply_scale(filled, PR.scale_params(df, NAMES))), [KEY], CUT)
-    return scored.select(KEY, "default_probability", "predicted_class")
+    return _frame(spark, sf_dir).select(KEY, given.alias("request"))
+
+
+def request_scorer(spark, sf_dir):
+    """The pipeline fitted on the training rows, as a function of requests (a batch or a stream)."""
+    params = PR.scale_params(_frame(spark, sf_dir), NAMES)
+    fitted = spark.createDataFrame(params.collect(), params.schema)     # a row per feature
+
+    def score(request):
+        filled = PR.default_fill(request, "request", NAMES).drop("request")
+        scored = X.score_output(_probability(PR.apply_scale(filled, fitted)), [KEY], CUT)
+        return scored.select(KEY, "default_probability", "predicted_class")
+    return score

@@ -24,10 +24,11 @@ GROUP_COLS = ["age_group", "gender", "income_quartile", "lang"]
 
 # --------------------------------------------------------------------------- fairness
 
-def audited(spark, sf_dir):
-    """Scored documents with the class at the F1-optimal cut and the group columns."""
+def audited(spark, sf_dir, cut=None):
+    """Scored documents with the class at the F1-optimal (or the given) cut and the group columns."""
     s = materialize(scored(spark, sf_dir), "scored")   # cut, edges, rates and groups read it
-    best = C.best_threshold(C.threshold_scan(C.cumulative_counts(C.score_counts(s))))
+    best = C.best_threshold(C.threshold_scan(C.cumulative_counts(C.score_counts(s)))) if cut is None else \
+        spark.range(1).select(F.lit(float(cut)).alias("f1_threshold"))
     x = s.crossJoin(F.broadcast(best)).withColumn(  # one-row side
         "pred", (F.col("score") >= F.col("f1_threshold")).cast("int"))
     x = x.withColumn("age_group", FA.cut(F.col("n_chars") % 100, FA.AGE_EDGES, FA.AGE_LABELS))
@@ -35,13 +36,17 @@ def audited(spark, sf_dir):
     return FA.qcut(x, "n_chars", FA.INCOME_LABELS, "income_quartile")
 
 
-def fairness(spark, sf_dir):
-    return FA.fairness_table(audited(spark, sf_dir), GROUP_COLS, "label", "pred")
+def fairness(spark, sf_dir, cut=None):
+    return FA.fairness_table(audited(spark, sf_dir, cut), GROUP_COLS, "label", "pred")
 
 
-FAIR_CTE = f"""WITH {BEST_CTE},
+STRICT_CUT = 0.9
+
+
+def fair_cte(bt: str = "bt") -> str:
+    return f"""WITH {BEST_CTE},
 x AS (SELECT d.label, CAST(d.score >= bt.f1_threshold AS INTEGER) AS pred, doc.n_chars, doc.lang
-      FROM d JOIN documents doc USING (doc_id), bt),
+      FROM d JOIN documents doc USING (doc_id), {bt} bt),
 qe AS (SELECT quantile_cont(CAST(n_chars AS DOUBLE), [0.0, 0.25, 0.5, 0.75, 1.0]) AS e FROM x),
 xg AS (SELECT x.*,
   CASE WHEN n_chars % 100 > 0 AND n_chars % 100 <= 30 THEN '18-30' WHEN n_chars % 100 > 30 AND n_chars % 100 <= 45 THEN '31-45'
@@ -65,6 +70,16 @@ fair AS (SELECT dimension, grp AS "group", CAST(n AS BIGINT) AS n, {R('ar')} AS
          FROM ft, ov)"""
 
 
+FAIR_CTE = fair_cte()
+
+
+@query("dir_violations_strict", sql=f"""{fair_cte(f"(SELECT CAST({STRICT_CUT} AS DOUBLE) AS f1_threshold)")}
+SELECT * FROM fair WHERE disparate_impact_ratio < 0.8""")
+def q_dir_violations_strict(spark, sf_dir):
+    """M5 at a strict cut, where few are flagged and groups do fall under the floor."""
+    return FA.dir_violations(fairness(spark, sf_dir, STRICT_CUT))
+
+
 @query("fairness_groups", sql=f"{FAIR_CTE} SELECT * FROM fair")
 def q_fairness_groups(spark, sf_dir):
     """Fairness metrics per age band, gender, income quartile and language."""

@@ -156,7 +156,6 @@ SELECT l_orderkey, l_linenumber FROM lineitem
 WHERE (l_quantity BETWEEN 10 AND 20 OR l_discount > 0.08) AND l_returnflag IN ('R', 'A') AND NOT (l_tax = 0)""")
 def q_predicates(spark, sf_dir):
     """Comparisons, between, and/or/not, membership (pushed to the Parquet scan)."""
-    li = read_table(spark, sf_dir, "lineitem", normalise=False)
     cond = ((F.col("l_quantity").between(10, 20) | (F.col("l_discount") > 0.08))
             & F.col("l_returnflag").isin("R", "A") & ~(F.col("l_tax") == 0))
-    return li.where(cond).select("l_orderkey", "l_linenumber")
+    return read_table(spark, sf_dir, "lineitem", where=cond).select("l_orderkey", "l_linenumber")

@@ -27,8 +27,3 @@ def skew_sql(x: str) -> str:
 
 def kurt_sql(x: str) -> str:
     return f"(CASE WHEN count({x}) < 4 THEN NULL WHEN var_pop({x}) = 0 THEN 0.0 ELSE kurtosis({x}) END)"
-
-
-def round_select(cols_kinds, src_alias: str = "") -> str:
-    p = f"{src_alias}." if src_alias else ""
-    return ", ".join(f"{R(p + c)} AS {c}" if k == "dbl" else f"{p}{c}" for c, k in cols_kinds)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import drift as D
+from ledgerlens.plans import linear as LIN
 from ledgerlens.plans import monitoring as MON
 from ledgerlens.plans import scoring as SC
 from ledgerlens.plans.registry import query, round_doubles
@@ -26,6 +27,17 @@ def q_stream_score(spark, sf_dir):
     return round_doubles(out)
 
 
+@query("stream_requests", sql=LIN.SPARSE_SQL)
+def q_stream_requests(spark, sf_dir):
+    """Sparse requests land as files and go through the fitted pipeline (default fill, scale, model),
+    with the result of ``sparse_request_score`` in batch."""
+    base = run_path(spark, "stream_requests")
+    src = f"{base}/inputs"
+    LIN.requests(spark, sf_dir).repartition(4, KEY).write.mode("overwrite").parquet(src)
+    return score_stream(spark, src, spark.read.parquet(src).schema, LIN.request_scorer(spark, sf_dir),
+                        f"{base}/sink", f"{base}/checkpoint")
+
+
 WEEK = MON.WEEK
 
 

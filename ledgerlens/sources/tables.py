@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,9 +39,16 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 _SCANS: dict = {}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, normalise: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, normalise: bool = True,
+               where: Column | None = None) -> DataFrame:
     """Lazy Parquet scan of one table (memoised per session: DataFrames are
-    immutable plans, so reusing one skips repeated file listing and footer reads)."""
+    immutable plans, so reusing one skips repeated file listing and footer reads).
+
+    ``where`` filters twice: on the raw columns, which the scan pushes down, and on the
+    normalised ones, which decides (a raw NaN passes some comparisons that null doesn't)."""
+    if where is not None:
+        raw = read_table(spark, sf_dir, name, False).where(where)
+        return nan_to_null(raw).where(where) if normalise else raw
     path = os.path.join(sf_dir, f"{name}.parquet")
     key = (spark.sparkContext.applicationId, path, normalise)
     if key not in _SCANS:
@@ -65,11 +72,6 @@ def table_registry(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> dict[
     return {n: read_table(spark, sf_dir, n) for n in names}
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:
-    for n, df in table_registry(spark, sf_dir, names).items():
-        df.createOrReplaceTempView(n)
-
-
 # ---------------------------------------------------------------------------
 # Role binding: the credit-risk pipeline's tables on the test data
 # ---------------------------------------------------------------------------
@@ -85,16 +87,3 @@ def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
         KEY, "c_nationkey", "c_mktsegment",
         (F.col("c_acctbal") < 0).cast("int").alias(TARGET),
     )
-
-
-def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Label + deterministic score for evaluation operators.
-
-    label = labels.toxic, score = (n_chars % 997) / 997 (ties on purpose).
-    """
-    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return lab.join(docs, "doc_id").select(
-        "doc_id", "lang", "source", "n_chars", "label",
-        ((F.col("n_chars") % 997) / F.lit(997.0)).alias("score"),
-    )

@@ -173,3 +173,12 @@ def test_grouped_quantiles_match_numpy(spark, seed):
     for g, vals in data.items():
         want = np.quantile(vals, probs)
         assert got[g] == pytest.approx(list(want), rel=1e-12, abs=1e-12)
+
+
+def test_filtered_scan_pushes_down_and_keeps_the_nan_rule(spark, tmp_path):
+    from ledgerlens.sources import tables as TB
+    spark.createDataFrame([(1, 5.0), (2, 50.0), (3, float("nan")), (4, None)], "k long, v double").write.parquet(
+        str(tmp_path / "t.parquet"))
+    out = TB.read_table(spark, str(tmp_path), "t", where=F.col("v") > 10)
+    assert [r.k for r in out.collect()] == [2]
+    assert "GreaterThan(v,10" in out._jdf.queryExecution().toString()
