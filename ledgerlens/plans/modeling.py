@@ -88,7 +88,7 @@ def _n_weight(train):
   LATERAL (VALUES {', '.join(f"('{n}', {e})" for n, (_, e) in EV.SCORERS.items())}) v(model, score)),
 g AS (SELECT model, fold, score, sum(label) AS pos, sum(1 - label) AS neg FROM d GROUP BY ALL),
 c AS (SELECT *, sum(pos) OVER (PARTITION BY model, fold ORDER BY score DESC) AS tp FROM g),
-f AS (SELECT model, fold, sum(neg * (2 * tp - pos)) / (2.0 * sum(pos) * sum(neg)) AS auc FROM c GROUP BY model, fold),
+f AS (SELECT model, fold, sum(neg * (2 * tp - pos)) / nullif(2.0 * sum(pos) * sum(neg), 0) AS auc FROM c GROUP BY model, fold),
 t AS (SELECT model, avg(auc) FILTER (WHERE fold < 5) AS cv_mean_auc, stddev_pop(auc) FILTER (WHERE fold < 5) AS cv_std,
              min(auc) FILTER (WHERE fold < 5) AS cv_min, max(auc) FILTER (WHERE fold < 5) AS cv_max,
              max(auc) FILTER (WHERE fold = 5) AS test_auc FROM f GROUP BY model)
