@@ -9,8 +9,8 @@ Exact ranks without a single-partition window
 ``row_number() over (partition by class order by h)`` puts a whole class in one
 task. Instead rows are spread over 65,536 buckets by the first 4 hex digits of
 the hash (uniform by construction, whatever the key skew): one grouped count
-per (class, bucket) -- at most classes x 65,536 rows, a bounded side that is
-broadcast -- gives each bucket's offset; the rank is offset + row_number inside
+per (class, bucket) -- at most classes x 65,536 rows, broadcast while the classes
+are few -- gives each bucket's offset; the rank is offset + row_number inside
 the bucket, a window over tiny partitions spread across all tasks.
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 SALT = "-42"          # fixed value: seed 42
 BUCKET_HEX = 4        # 16^4 = 65,536 rank buckets
+MAX_GROUPS = 16       # with more groups than this the bucket offsets are joined, not broadcast
 
 
 def hash_order(key: str, salt: str = SALT) -> Column:
@@ -42,8 +43,9 @@ def exact_rank(df: DataFrame, key: str, by: list[str] | None = None, salt: str =
         (F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
         F.sum("_c").over(Window.partitionBy(*by)).alias(size_col))
     offsets = offsets.fillna(0, subset=["_off"])
-    # bounded: (#groups x 65,536) rows of three numbers
-    joined = tmp.join(F.broadcast(offsets), [*by, "_b"])
+    # groups x 65,536 rows of three numbers: sent to every task only if the groups are few
+    few = not by or df.select(*by).distinct().limit(MAX_GROUPS + 1).count() <= MAX_GROUPS
+    joined = tmp.join(F.broadcast(offsets) if few else offsets, [*by, "_b"])
     wr = Window.partitionBy(*by, "_b").orderBy("_h", key)
     return joined.withColumn(rank_col, F.col("_off") + F.row_number().over(wr)).drop("_h", "_b", "_off")
 

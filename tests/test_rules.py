@@ -182,3 +182,11 @@ def test_filtered_scan_pushes_down_and_keeps_the_nan_rule(spark, tmp_path):
     out = TB.read_table(spark, str(tmp_path), "t", where=F.col("v") > 10)
     assert [r.k for r in out.collect()] == [2]
     assert "GreaterThan(v,10" in out._jdf.queryExecution().toString()
+
+
+def test_exact_rank_with_many_groups(spark):
+    df = spark.range(2000).select("id", (F.col("id") % 40).alias("g"))
+    out = SP.exact_rank(df, "id", ["g"]).collect()
+    for g in range(40):
+        assert sorted(r["rank"] for r in out if r.g == g) == list(range(1, 51))
+    assert all(r.group_size == 50 for r in out)
