@@ -3,10 +3,12 @@
 Token totals per cell (source, language, topic) are raked until their marginals
 meet the targets. A cell's factor is the product of one factor per source,
 language and topic; a document is kept with probability scale x factor, so that
-the expected tokens of the sample have the target marginals. The scale is the
-largest one that leaves every probability at 1 or less, or the one that gives the
-``fraction`` asked for, in which case probabilities over 1 count as 1. Whether a
-document is kept depends on its id alone (a hash), not on partitions or retries.
+the expected tokens of the sample have the target marginals. The scale is the one
+that keeps the ``fraction`` of all tokens, where probabilities over 1 count as 1: a
+value with hardly any tokens is then kept whole, and does not set the size of the
+sample. Only targets of the caller's own are met exactly, unless a fraction goes with
+them: the scale is the largest one that leaves every probability at 1 or less. Whether
+a document is kept depends on its id alone (a hash), not on partitions or retries.
 
 What reaches the driver is bounded by parameters: values of a dimension with
 less than ``min_share`` of all tokens are pooled in one, so there are at most
@@ -35,6 +37,8 @@ LONG_WORD = 6
 MIN_SHARE = 1 / 256
 #: Exponent of the query's and the pipeline's targets: share of tokens to this power.
 TEMPER = 0.7
+#: Share of all tokens that is kept, unless the caller says so or has own targets.
+FRACTION = 0.5
 OTHER, MISSING = "\x00other", "\x00null"
 TOLERANCE, MAX_ROUNDS = 1e-10, 2000
 SEED = 42
@@ -127,6 +131,8 @@ class Mix:
                  targets: dict[str, dict] | None = None, temper: float = TEMPER,
                  fraction: float | None = None, min_share: float = MIN_SHARE):
         total = counted.agg(F.sum(tokens)).first()[0] or 0
+        if fraction is None and not targets:
+            fraction = FRACTION
         self.dims, self.own = dims, {}
         for d in dims:
             large = counted.groupBy(_value(d).alias("v")).agg(F.sum(tokens).alias("n"))

@@ -151,3 +151,18 @@ def test_mixing_odd_rows(spark):
     assert kept.columns == odd_docs(spark).columns
     assert sorted(map(str, (r.doc_id for r in out if r.kept))) == sorted(str(r.doc_id) for r in kept.collect())
     assert mixing.keep_mixed(no_docs(spark)).count() == 0 and mixing.mix_report(no_docs(spark)).count() == 0
+
+
+def test_one_rare_document_does_not_shrink_the_sample(spark):
+    schema = "doc_id long, text string, lang string, source string"
+    rows = [(i, " ".join(f"longword{(i + k) % 50}" for k in range(20)), "en" if i % 3 else "de",
+             f"s{i % 4}") for i in range(1500)]
+
+    def share(rows):
+        out = mixing.mix_report(spark.createDataFrame(rows, schema)).toPandas()
+        return (out.n_tokens * out.probability).sum() / out.n_tokens.sum()
+
+    before = share(rows)
+    for lang in ("xx", None):
+        assert share([*rows, (9999, "few words", lang, "s1")]) == pytest.approx(before, abs=0.01)
+    assert before == pytest.approx(mixing.FRACTION, abs=1e-6)
