@@ -166,3 +166,36 @@ def test_one_rare_document_does_not_shrink_the_sample(spark):
     for lang in ("xx", None):
         assert share([*rows, (9999, "few words", lang, "s1")]) == pytest.approx(before, abs=0.01)
     assert before == pytest.approx(mixing.FRACTION, abs=1e-6)
+
+
+def tail_docs(spark):
+    """A third of the rows in one source, the others in 400, which all are far below
+    1/256 of the tokens."""
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"longword{w}" for w in rng.integers(0, 50, rng.integers(1, 6))),
+             ("en", "de", None)[rng.integers(3)], "hot" if i % 3 == 0 else f"s{rng.integers(400)}")
+            for i in range(6000)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+@pytest.mark.parametrize("cells", [mixing.DRIVER_CELLS, 0])
+def test_every_value_of_a_long_tail_meets_its_target(spark, monkeypatch, cells):
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", cells)
+    if not cells:
+        monkeypatch.setattr(mixing, "MAP_VALUES", 100)       # sources are joined, languages sent
+        monkeypatch.setattr(mixing, "TOLERANCE", 1e-5)       # enough for what is asserted
+    out = mixing.mix_report(tail_docs(spark), fraction=0.1).toPandas().fillna({"lang": "-"})
+    assert out.source.nunique() == 401
+    for dim in ("source", "lang", "topic"):
+        share = out.groupby(dim).n_tokens.sum() / out.n_tokens.sum()
+        target = share ** mixing.TEMPER / (share ** mixing.TEMPER).sum()
+        raked = (out.n_tokens * out.weight).groupby(out[dim]).sum() / (out.n_tokens * out.weight).sum()
+        assert raked.to_dict() == pytest.approx(target.to_dict(), rel=1e-2)
+    assert (out.n_tokens * out.probability).sum() / out.n_tokens.sum() == pytest.approx(0.1, rel=1e-6)
+
+
+def test_spread_scale_is_that_of_the_driver(spark):
+    tokens, factor = np.array([10, 20, 30, 5]), np.array([1.0, 2.0, 4.0, 300.0])
+    raked = spark.createDataFrame(list(zip(tokens.tolist(), factor.tolist())), "n long, f double")
+    for fraction in (None, 0.01, 0.3, 0.8, 0.99):
+        assert mixing._scale_spread(raked, fraction) == pytest.approx(mixing.scale_for(tokens, factor, fraction))
