@@ -20,7 +20,8 @@ ends as soon as its rounds no longer change how far the marginals are off.
 A topic is the class that most long words of the whole text hash to. Nulls: a null
 source or language is a value of its own; a null text has no tokens; a null id is
 replaced by the text's hash. Rows that repeat an id stay or go together. Targets
-for values that the data lack are left out, the others scaled up. Values with no
+for values that the data lack are left out, the others scaled up; a value that the
+caller's targets for its dimension do not name has the target 0, and nothing of it is kept. Values with no
 tokens at all keep the factor 1.
 """
 
@@ -236,8 +237,11 @@ class Mix:
             fraction = FRACTION
         cells = shared.written(counted.groupBy(*[_value(d).alias(d) for d in dims])
                                .agg(F.coalesce(F.sum(tokens), F.lit(0)).alias("n")), "mix-cells")
+        # as the cells spell values: a topic may be given as a number, null as None
+        targets = {d: {MISSING if v is None else str(v): float(t) for v, t in own.items()}
+                   for d, own in (targets or {}).items()}
         fit = _fit_here if cells.count() <= DRIVER_CELLS else _fit_spread
-        self.factors, self.scale = fit(cells, dims, targets or {}, temper, fraction)
+        self.factors, self.scale = fit(cells, dims, targets, temper, fraction)
 
     def weighted(self, df: DataFrame, names: dict[str, str] | None = None,
                  weight: str = "weight", probability: str = "probability") -> DataFrame:

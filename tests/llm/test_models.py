@@ -199,3 +199,17 @@ def test_spread_scale_is_that_of_the_driver(spark):
     raked = spark.createDataFrame(list(zip(tokens.tolist(), factor.tolist())), "n long, f double")
     for fraction in (None, 0.01, 0.3, 0.8, 0.99):
         assert mixing._scale_spread(raked, fraction) == pytest.approx(mixing.scale_for(tokens, factor, fraction))
+
+
+@pytest.mark.parametrize("cells", [mixing.DRIVER_CELLS, 0])
+def test_a_target_for_a_rare_value_is_met(spark, monkeypatch, cells):
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", cells)
+    monkeypatch.setattr(mixing, "TOLERANCE", 1e-5)
+    rows = [(i, "longword " * 20, None if i % 2 else "en", "wiki" if i % 1000 < 2 else "hot") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    goal = {"source": {"hot": 0.7, "wiki": 0.3}, "lang": {None: 0.5, "en": 0.5}}
+    out = mixing.mix_report(docs, targets=goal).toPandas()
+    expected = (out.n_tokens * out.probability).groupby(out.source).sum()
+    assert (expected / expected.sum()).to_dict() == pytest.approx(goal["source"], abs=1e-3)
+    wiki = out[out.source == "wiki"]
+    assert len(wiki) == 8 and wiki.kept.all()                # each as likely as can be
