@@ -51,7 +51,10 @@ def duplicate_rows(df: DataFrame, name: str) -> DataFrame:
     collapses copies map-side, and 32 bytes per distinct row are shuffled, however
     long its texts are.
     """
-    row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    # the default formats of timestamps stop at milliseconds
+    row = F.to_json(F.struct(*df.columns), {
+        "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
     g = df.groupBy(F.unhex(F.sha2(row, 256)).alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
     return g.agg(F.sum("_n").alias("n_rows"), F.sum(F.col("_n") - 1).alias("n_duplicates")).select(
         F.lit(name).alias("table_name"),

@@ -190,3 +190,11 @@ def test_exact_rank_with_many_groups(spark):
     for g in range(40):
         assert sorted(r["rank"] for r in out if r.g == g) == list(range(1, 51))
     assert all(r.group_size == 50 for r in out)
+
+
+def test_rows_a_microsecond_apart_are_no_duplicates(spark):
+    from ledgerlens.operators import profile
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.sql(f"SELECT cast(t AS {kind}) AS ts, 1 AS n FROM VALUES ('2024-01-01 00:00:00.000001'), "
+                       "('2024-01-01 00:00:00.000002'), ('2024-01-01 00:00:00.000002') AS x(t)")
+        assert profile.duplicate_rows(df, "x").first().n_duplicates == 1, kind
