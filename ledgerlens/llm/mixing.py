@@ -17,8 +17,9 @@ back to the documents by a join, of which sides up to MAP_VALUES rows go to ever
 Where the targets contradict each other (say, a source has one language only), raking
 ends as soon as its rounds no longer change how far the marginals are off.
 
-A topic is the class that most long words of the whole text hash to. Nulls: a null
-source or language is a value of its own; a null text has no tokens; a null id is
+A topic is the class that most long words of the whole text hash to: a class of
+vocabulary, not a subject. Nulls: a null
+source or language is a value of its own; a null text has its end id only; a null id is
 replaced by the text's hash. Rows that repeat an id stay or go together. Targets
 for values that the data lack are left out, the others scaled up; a value that the
 caller's targets for its dimension do not name has the target 0, and nothing of it is kept. Values with no
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import shared
 from ledgerlens.llm.textbytes import slices, words_of
+from ledgerlens.llm.tokens import ids_of
 
 TOPICS = 8
 LONG_WORD = 6
@@ -53,15 +55,18 @@ SEED = 42
 
 
 def with_topic(docs: DataFrame, keep: list[str] | None = None, topics: int = TOPICS,
-               prefix: str = "") -> DataFrame:
-    """``keep`` columns (all by default), ``n_tokens`` (words of the whole text) and
-    ``topic``: of the words of at least LONG_WORD bytes, the most frequent class
+               prefix: str = "", count: bool = True) -> DataFrame:
+    """``keep`` columns (all by default), ``n_tokens`` (if ``count``: ids of the whole
+    text with its end id, as they are packed) and ``topic``: of the words of at least LONG_WORD bytes, the most frequent class
     (the lowest among equals; 0 if there are none)."""
     keep = docs.columns if keep is None else keep
-    names = [f"{prefix}n_tokens", f"{prefix}topic"]
+    names = [f"{prefix}n_tokens", f"{prefix}topic"][not count:]
     if set(names) & set(keep):
         raise ValueError(f"columns {names} are there already")
-    schema = docs.select(*keep).schema.add(names[0], "long").add(names[1], "integer")
+    schema = docs.select(*keep).schema
+    if count:
+        schema = schema.add(names[0], "long")
+    schema = schema.add(names[-1], "integer")
 
     def topic_of(batches):
         for batch, texts in slices(batches, "text"):
@@ -72,10 +77,10 @@ def with_topic(docs: DataFrame, keep: list[str] | None = None, topics: int = TOP
             long = words.ends - words.starts >= LONG_WORD
             votes = np.bincount(words.doc[long] * topics + classes[codes[long]].astype(np.int64),
                                 minlength=n * topics).reshape(n, topics)
+            tokens = [pa.array([len(ids_of(t.as_py())) for t in batch.column("text")], pa.int64())] if count else []
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in keep]
-                + [pa.array(np.bincount(words.doc, minlength=n).astype(np.int64)),
-                   pa.array(votes.argmax(1).astype(np.int32))], names=[*keep, *names])
+                + [*tokens, pa.array(votes.argmax(1).astype(np.int32))], names=[*keep, *names])
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(topic_of, schema)
 
@@ -276,7 +281,7 @@ def keep_mixed(docs: DataFrame, **kw) -> DataFrame:
     counted = shared.written(with_topic(docs, ["source", "lang"]), "mix")
     mix = Mix(counted, DIMS, "n_tokens", **kw)
     own = shared.free_prefix(docs.columns, "_mix_")
-    again = mix.weighted(with_topic(docs, prefix=own), {"topic": f"{own}topic"},
+    again = mix.weighted(with_topic(docs, prefix=own, count=False), {"topic": f"{own}topic"},
                          f"{own}weight", f"{own}probability")
     sampled = draw("doc_id", "text") < F.col(f"{own}probability")
     return again.filter(sampled).select(*docs.columns)

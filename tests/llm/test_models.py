@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerlens.llm import mixing, pu_quality, subword_lm
+from ledgerlens.llm import mixing, pu_quality, subword_lm, tokens
 
 from .helpers import WORD, lower, no_docs, odd_docs, odd_rows
 
@@ -213,3 +213,8 @@ def test_a_target_for_a_rare_value_is_met(spark, monkeypatch, cells):
     assert (expected / expected.sum()).to_dict() == pytest.approx(goal["source"], abs=1e-3)
     wiki = out[out.source == "wiki"]
     assert len(wiki) == 8 and wiki.kept.all()                # each as likely as can be
+
+
+def test_weights_are_the_ids_that_are_packed(spark):
+    out = mixing.with_topic(odd_docs(spark).select("doc_id", "text"), prefix="_").collect()
+    assert len(out) == len(odd_rows()) and all(r._n_tokens == len(tokens.ids_of(r.text)) for r in out)
