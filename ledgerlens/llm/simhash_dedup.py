@@ -10,7 +10,8 @@ distance, and joined to components.
 
 Nulls: a null text is empty and has fingerprint zero, as any text without words.
 A document with a null id gets a fingerprint and the component of its class, null
-if no document there has an id. Rows that repeat an id stay as they are.
+if no document there has an id. Rows that repeat an id with another text are
+documents of their own.
 """
 
 from __future__ import annotations
@@ -108,24 +109,35 @@ def link_fingerprints(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return components(edges, "rep", "rep2").withColumnRenamed("node", "rep")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """docs (doc_id, text, ...) -> doc_id, fp (long), component_id."""
-    marked = shared.written(with_fingerprint(docs, keep=["doc_id"], name="fp", size=size), "fingerprints")
-    classes = marked.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
+def _found(docs: DataFrame, size: int, radius: int) -> DataFrame:
+    """doc_id, fp, row, first of every row. ``row`` is (doc_id, hash of the text), so that
+    an id with several texts links nothing; ``first`` is the smallest row of the component."""
+    row = F.struct("doc_id", F.xxhash64("text").alias("digest"))
+    keyed = docs.select("doc_id", "text", row.alias("row"))
+    marked = shared.written(with_fingerprint(keyed, keep=["doc_id", "row"], name="fp", size=size), "fingerprints")
+    classes = marked.filter("doc_id is not null").groupBy("fp").agg(F.min("row").alias("rep"))
     classes = shared.written(classes, "fingerprint-classes")
     linked = link_fingerprints(classes, radius)
-    ids = classes.join(linked, "rep", "left").select(
-        "fp", F.coalesce("component_id", "rep").alias("component_id"))
-    return marked.join(ids, "fp", "left").select("doc_id", "fp", "component_id")
+    ids = classes.join(linked, "rep", "left").select("fp", F.coalesce("component_id", "rep").alias("first"))
+    return marked.join(ids, "fp", "left")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """docs (doc_id, text, ...) -> doc_id, fp (long), component_id."""
+    return _found(docs, size, radius).select("doc_id", "fp", F.col("first.doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest id of every component, with its columns.
-    Rows that repeat an id count as one document; those without id all stay."""
-    found = near_duplicates(docs, size, radius)
-    lost = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.filter("doc_id is not null").join(lost, "doc_id", "left_anti")
-    return left.dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.filter("doc_id is null"))
+    """The document with the smallest id of every component, with its columns. Rows that
+    repeat an id and its text count as one document, those that repeat an id with another
+    text as documents of their own; those without id all stay."""
+    lost = (_found(docs, size, radius).filter("doc_id is not null and row <> first")
+            .select("row.doc_id", "row.digest").distinct())
+    own = shared.free_prefix(docs.columns, "_digest")
+    left = (docs.filter("doc_id is not null").withColumn(own, F.xxhash64("text"))
+            .join(lost.withColumnRenamed("digest", own), ["doc_id", own], "left_anti"))
+    return (left.dropDuplicates(["doc_id", own]).select(*docs.columns)
+            .union(docs.filter("doc_id is null")))
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

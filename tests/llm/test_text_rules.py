@@ -144,3 +144,15 @@ def test_rules_on_odd_rows(spark):
     assert {(r["kept"], r["q_n_words"], r["_q_n_words"]) for r in kept.collect()} == {("x", 9, 9)}
     assert quality_rules.judge(no_docs(spark), labels).count() == 0
     assert quality_rules.judge(odd_docs(spark), labels.limit(0)).count() == len(odd_rows())
+
+
+def test_texts_that_share_an_id_are_judged_on_their_own(spark):
+    a, b, c = ("alpha beta gamma delta " * 9, "one two three four five " * 9, "unique words stand here " * 9)
+    rows = [(1, a), (5, a), (5, c), (6, a), (6, b), (7, b), (7, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = [brute_fingerprint(t) for t in (a, b, c)]
+    assert all((x ^ y).bit_count() > 4 for x in fps for y in fps if x != y)
+    kept = sorted((r.doc_id, r.text) for r in simhash_dedup.keep_first(docs).collect())
+    assert kept == [(1, a), (5, c), (6, b)]
+    found = {(r.doc_id, r.component_id) for r in simhash_dedup.near_duplicates(docs).collect()}
+    assert found == {(1, 1), (5, 1), (5, 5), (6, 1), (6, 6), (7, 6)}
