@@ -19,6 +19,7 @@ MODULES = {
     "op8_warc_dict": "warc_dict",
     "op9_mixing": "mixing",
     "op10_pu_quality": "pu_quality",
+    "op11_weighted_sampling": "weighted_sampling",
 }
 QUERIES: dict[str, Callable] = {
     name: getattr(import_module(f"ledgerlens.llm.{module}"), name) for name, module in MODULES.items()}
