@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-from ledgerlens.llm import lexical_search, preference_format, vector_dedup, warc_dict
+from ledgerlens.llm import collocations, lexical_search, preference_format, vector_dedup, warc_dict
 
 #: query: module
 MODULES = {
@@ -21,6 +21,7 @@ MODULES = {
     "op10_pu_quality": "pu_quality",
     "op11_weighted_sampling": "weighted_sampling",
     "op12_lexical_search": "lexical_search",
+    "op13_collocations": "collocations",
 }
 QUERIES: dict[str, Callable] = {
     name: getattr(import_module(f"ledgerlens.llm.{module}"), name) for name, module in MODULES.items()}
@@ -29,4 +30,5 @@ ORACLES: dict[str, str] = {
     "op5_preference_format": preference_format.OP5_SQL,
     "op8_warc_dict": warc_dict.OP8_SQL,
     "op12_lexical_search": lexical_search.OP12_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
