@@ -123,8 +123,9 @@ def longest_of(part: Slice, kept: np.ndarray, longest: int) -> Iterator[pa.Recor
     alive = on.copy()
     for k in range(1, longest):
         length[alive] += 1
-        alive[:n - k] &= on[k:]
-        alive[n - k:] = False
+        rest = max(n - k, 0)
+        alive[:rest] &= on[k:k + rest]
+        alive[rest:] = False
     # all words one space apart: a gram is a stretch of that
     size = part.words.ends - part.words.starts
     ends = np.cumsum(size + 1) - 1
