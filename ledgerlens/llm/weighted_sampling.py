@@ -45,45 +45,51 @@ SAMPLES = 128
 TERM_BYTES = 16
 SEED = 42
 #: Text bytes that a task works on at a time, and rows of draws and of terms held in one array.
-SLICE, DRAWS, ROWS = 8 << 20, 1 << 13, 1 << 13
+SLICE, DRAWS, ROWS = 8 << 20, 1 << 8, 1 << 9
 FIRST, LAST = "first", "last"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    """A well-spread 64-bit function of ``x`` (in place)."""
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
+    """A well-spread 32-bit function of ``x`` (in place)."""
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
     return x
 
 
 @lru_cache(maxsize=4)
 def _salts(samples: int) -> np.ndarray:
-    return np.random.default_rng(SEED).integers(0, 1 << 64, size=(3, samples), dtype=np.uint64)
+    return np.random.default_rng(SEED).integers(0, 1 << 32, size=(5, samples), dtype=np.uint32)
 
 
-def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two uniform numbers in (0, 1) from the halves of each hash."""
-    return ((x >> np.uint64(32)) + 0.5) * 2.0 ** -32, ((x & np.uint64(0xFFFFFFFF)) + 0.5) * 2.0 ** -32
+def _uniform(half: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    """Numbers strictly between 0 and 1, a step of 2**-23 apart, for each row and salt."""
+    x = _mixed(half[:, None] ^ salts)
+    x >>= np.uint32(9)
+    u = x.astype(np.float32)
+    u += np.float32(0.5)
+    u *= np.float32(2.0 ** -23)
+    return u
 
 
 def draws_of(term: np.ndarray, weight: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     """(rows, samples) keys of terms (64-bit hashes) with their weights; the least key of a
     text's terms is its sample. Upper bits order by ln a, the lowest 16 are the code."""
-    salts = _salts(samples)
-    u1, u2 = _halves(_mixed(term[:, None] ^ salts[0]))
-    r = -np.log(u1 * u2)
-    u3, u4 = _halves(_mixed(term[:, None] ^ salts[1]))
-    b, _ = _halves(_mixed(term[:, None] ^ salts[2]))
-    t = np.floor(np.log(weight)[:, None] / r + b)
-    ln_a = np.log(-np.log(u3 * u4)) - r * (t - b + 1)
+    salts, low, high = _salts(samples), term.astype(np.uint32), (term >> np.uint64(32)).astype(np.uint32)
+    r = -np.log(_uniform(low, salts[0]) * _uniform(high, salts[1]))
+    c = -np.log(_uniform(low, salts[2]) * _uniform(high, salts[3]))
+    b = _uniform(low, salts[4])
+    t = np.floor(np.log(weight).astype(np.float32)[:, None] / r + b)
+    ln_a = np.log(c) - r * (t - b + 1)
     # floats as whole numbers of the same order
-    order = ln_a.astype(np.float32).view(np.int32).astype(np.int64)
-    order = np.where(order < 0, -(order & 0x7FFFFFFF), order)
-    code = _mixed(term[:, None] + t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return (order << 16) | (1 + (code >> np.uint64(48)) % np.uint64(0xFFFF)).astype(np.int64)
+    order = ln_a.view(np.int32)
+    order ^= (order >> np.int32(31)) & np.int32(0x7FFFFFFF)
+    code = term[:, None] + t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    code *= np.uint64(0xD6E8FEB86659FD93)
+    code >>= np.uint64(48)
+    return (order.astype(np.int64) << 16) | np.maximum(code, np.uint64(1)).astype(np.int64)
 
 
 def terms_of(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -124,7 +130,7 @@ def fingerprints_of(texts, samples: int = SAMPLES) -> np.ndarray:
         return out
     keys = np.empty((len(term), samples), np.int64)
     for k in range(0, len(term), DRAWS):
-        keys[k:k + DRAWS] = draws_of(term[k:k + DRAWS], weight[k:k + DRAWS].astype(float), samples)
+        keys[k:k + DRAWS] = draws_of(term[k:k + DRAWS], weight[k:k + DRAWS], samples)
     least = np.full((len(texts), samples), np.iinfo(np.int64).max)
     # factorize lists the terms text by text
     for k in range(0, len(doc), ROWS):
@@ -159,11 +165,9 @@ def _codes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), ">u2").astype(np.uint16).reshape(len(column), -1)
 
 
-def _rows(ids: pa.Array, texts: list[str], marks: np.ndarray, following: list[str],
+def _rows(ids: pa.Array, texts: list[str], marks: np.ndarray, other: list[str], other_marks: np.ndarray,
           next_marks: np.ndarray) -> dict:
-    """Result columns of texts and the texts that follow them."""
-    other = [edited(a, b) for a, b in zip(texts, following)]
-    other_marks = _marks(other)
+    """Result columns of texts, their edited texts and what follows them."""
     return {"doc_id": ids, "n_chars": pa.array([len(t) for t in texts], pa.int64()),
             "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in other], pa.string()),
             "fp": _binary(marks), "edited_fp": _binary(other_marks),
@@ -205,21 +209,25 @@ def with_next(docs: DataFrame) -> DataFrame:
             .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
 
     def run(batches):
-        held = None                  # last row so far: part, id, text, fingerprint
+        held = None                  # last row so far: id, text, fingerprint
         for part, ids, texts in _some_texts(batches):
-            marks = _marks(texts)
+            old = [] if held is None else [held[1]]
+            whole = old + texts
+            other = [edited(a, b) for a, b in zip(whole, whole[1:])]
+            # texts and edited texts share most terms, and so their draws
+            marks = _marks(texts + other)
+            marks, other_marks = marks[:len(texts)], marks[len(texts):]
             if held is None:
                 yield edge(part, FIRST, ids[:1], texts[0], marks[:1])
             else:
-                ids = pa.concat_arrays([held[1], ids])
-                texts, marks = [held[2], *texts], np.concatenate((held[3], marks))
-            n = len(texts) - 1
+                ids, marks = pa.concat_arrays([held[0], ids]), np.concatenate((held[2], marks))
+            n = len(whole) - 1
             if n:
-                found = _rows(ids[:n], texts[:n], marks[:n], texts[1:], marks[1:])
+                found = _rows(ids[:n], whole[:n], marks[:n], other, other_marks, marks[1:])
                 yield batch_of(found, n, part, None, None)
-            held = (part, ids[n:], texts[n], marks[n:])
+            held = (ids[n:], whole[n], marks[n:])
         if held is not None:
-            yield edge(held[0], LAST, held[1], held[2], held[3])
+            yield edge(part, LAST, *held)
 
     def edge(part, kind, ids, text, mark):
         found = {"doc_id": ids, "fp": _binary(mark)}
@@ -250,8 +258,10 @@ def with_next(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                found = _rows(row.column(0), row.column(1).to_pylist(), _codes(row.column(2)),
-                              row.column(3).to_pylist(), _codes(row.column(4)))
+                text = row.column(1).to_pylist()
+                other = [edited(text[0], row.column(3)[0].as_py())]
+                found = _rows(row.column(0), text, _codes(row.column(2)), other, _marks(other),
+                              _codes(row.column(4)))
                 yield pa.RecordBatch.from_arrays([found[c] for c in names], names=names)
 
     return found.filter("edge is null").select(*names).union(pairs.mapInArrow(close, result))
