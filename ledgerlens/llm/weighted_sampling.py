@@ -45,7 +45,7 @@ SAMPLES = 128
 TERM_BYTES = 16
 SEED = 42
 #: Text bytes that a task works on at a time, and rows of draws and of terms held in one array.
-SLICE, DRAWS, ROWS = 8 << 20, 1 << 8, 1 << 9
+SLICE, DRAWS, ROWS = 4 << 20, 1 << 8, 1 << 9
 FIRST, LAST = "first", "last"
 
 
