@@ -2,7 +2,8 @@
 
 * Linear models: the exact Shapley value with an independent background is
   ``coef_j * (x_j - mean_j)`` -- one projection per row.
-* Any model (trees): permutation Shapley as a scoring job. For each explained
+* Trees: exact path-dependent Shapley values (``treeshap``).
+* Any other model: permutation Shapley as a scoring job. For each explained
   row, each of k seeded feature orders and each step t = 0..F, the vector
   z_t has the first t features of the order taken from the row and the rest
   from the background; all z_t are scored in ONE ``model.transform`` over the
@@ -32,10 +33,11 @@ def linear_attributions(df: DataFrame, key: str, features_col: str, names: list[
                         coef: list[float], mean: list[float]) -> DataFrame:
     """L1 (linear): long table (key, feature, input_value, attribution)."""
     x = vector_to_array(features_col)
-    items = F.array(*[F.struct(F.lit(n).alias("feature"), x[i].alias("input_value"),
-                               (F.lit(float(coef[i])) * (x[i] - F.lit(float(mean[i])))).alias("attribution"))
-                      for i, n in enumerate(names)])
-    return df.select(key, F.inline(items))
+    # arrays against literal arrays: the generated code doesn't grow with the number of features
+    centred = F.zip_with("_x", F.lit([float(m) for m in mean]), lambda v, m: v - m)
+    share = F.zip_with(F.lit([float(c) for c in coef]), centred, lambda c, v: c * v)
+    items = F.arrays_zip(F.lit(names).alias("feature"), F.col("_x").alias("input_value"), share.alias("attribution"))
+    return df.select(key, x.alias("_x")).select(key, F.inline(items))
 
 
 def permutation_attributions(model, df: DataFrame, key: str, features_col: str, names: list[str],

@@ -10,7 +10,7 @@ adds up the tasks' tables and finds the best split there. The driver sees one sp
 A wave asks for more leaves than best-first order is sure to need: it replays the order with
 what is known, takes unknown gains as none, and expands every leaf it meets. When a replay meets
 only leaves that are known, it is the true best-first order, and leaves outside it are dropped.
-So a tree takes about as many jobs as it is deep, not as many as it has leaves.
+So a tree takes about as many waves as it is deep, not as many as it has leaves.
 
 Rows never leave their blocks. The models' margins are kept beside the blocks, in a
 persisted RDD that is made anew from the blocks and all trees every REFRESH rounds; a lost executor
@@ -39,6 +39,10 @@ BLOCK_ROWS = 1 << 16
 PIECE_ROWS = 1 << 12
 #: Rounds after which the margins are written beside the blocks again.
 REFRESH = 10
+#: Rows that are worth a task of their own; blocks hold no more.
+TASK_ROWS = BLOCK_ROWS
+#: Sums of a wave up to this size are added up on the driver, larger ones by a shuffle.
+DRIVER_BYTES = 8 << 20
 BLOCK_SCHEMA = "block long, n int, bins binary, label binary, group binary, keys array<long>"
 
 
@@ -94,8 +98,7 @@ def binned(df: DataFrame, features: str, label: str, key: str, group, edges: lis
         raise ValueError("bins must fit a byte")
     edges = bin_edges(df, features, bins) if edges is None else edges
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(label).cast("int").alias("label"),
-                     group.cast("int").alias("group"), vector_to_array(features).alias("x"),
-                     F.spark_partition_id().alias("part"))
+                     group.cast("int").alias("group"), vector_to_array(features).alias("x"))
 
     def pack(batches: Iterator[pa.RecordBatch]):
         seen = 0
@@ -115,8 +118,10 @@ def binned(df: DataFrame, features: str, label: str, key: str, group, edges: lis
                      pa.array([b.column(0).to_pylist()], pa.list_(pa.int64()))],
                     names=["block", "n", "bins", "label", "group", "keys"])
 
-    blocks = materialize(rows.mapInArrow(pack, BLOCK_SCHEMA), "binned")
     counts = {(r["group"], r["label"]): r["count"] for r in rows.groupBy("group", "label").count().collect()}
+    few = max(1, math.ceil(sum(counts.values()) / TASK_ROWS))
+    blocks = materialize(rows.coalesce(few).withColumn("part", F.spark_partition_id())
+                         .mapInArrow(pack, BLOCK_SCHEMA), "binned")
     return Binned(blocks, edges, counts)
 
 
@@ -404,24 +409,42 @@ def _tables(ask: _Ask, block: int, bins, label, group, margin, width: int) -> It
         yield (ask.number, node), table
 
 
-def train(table: Binned, fits: list[Fit], parallelism: int | None = None) -> list[Boosted]:
-    """All ``fits`` together; they share every scan of the blocks."""
-    base, runs = table.rdd(), [_Run(f, table) for f in fits]
-    sc = base.ctx
-    width = max((len(e) for e in table.edges), default=0) + 1
-    parts = base.getNumPartitions()
-    # few blocks and many models: the models are dealt out as well
-    lots = max(1, min(len(fits), (parallelism or sc.defaultParallelism) // max(parts, 1)))
-    lot_of = [i % lots for i in range(len(fits))]
-    starts, written = [r.start for r in runs], 0          # trees that the margins hold
-    margins = None
-
-    def with_margins():
-        """Blocks with the margins of each lot's models, from the blocks and all trees."""
-        made = []
-        for lot in range(lots):
-            mine = [(starts[i], list(runs[i].trees)) for i in range(len(fits)) if lot_of[i] == lot]
-            sent = sc.broadcast(mine)
+class _Here:
+    """Blocks that one task holds: margins are kept up to date in its memory."""
+
+    lots = 1
+
+    def __init__(self, blocks: list, runs: list[_Run], width: int):
+        self.blocks = [(*b, np.repeat(np.array([[r.start] for r in runs]), len(b[2]), axis=1)) for b in blocks]
+        self.width, self.held = width, [0] * len(runs)
+
+    def begin_round(self, runs: list[_Run]) -> None:
+        for i, r in enumerate(runs):
+            for t in r.trees[self.held[i]:]:
+                for _, bins, _, _, f in self.blocks:
+                    f[i] += t.value[t.walk(bins)]
+            self.held[i] = len(r.trees)
+
+    def wave(self, asks: list[list[_Ask]]) -> list[tuple]:
+        return [_decided(item, asks) for item in _sums(asks[0], self.blocks, self.width).items()]
+
+
+class _Spread:
+    """Blocks all over the cluster: a wave is a job. The persisted margins lag up to REFRESH rounds behind."""
+
+    def __init__(self, base, runs: list[_Run], width: int, parallelism: int):
+        self.base, self.width, self.parts = base, width, base.getNumPartitions()
+        # few blocks and many models: the models are dealt out as well
+        self.lots = max(1, min(len(runs), parallelism // self.parts))
+        self.rows, self.written, self.held = None, 0, [0] * len(runs)
+
+    def begin_round(self, runs: list[_Run]) -> None:
+        step = max(len(r.trees) for r in runs)
+        if self.rows is not None and step - self.written < REFRESH:
+            return
+        old, made = self.rows, []
+        for lot in range(self.lots):
+            sent = self.base.ctx.broadcast([(r.start, list(r.trees)) for r in runs[lot::self.lots]])
 
             def add(b, sent=sent):
                 out = np.empty((len(sent.value), len(b[2])))
@@ -431,21 +454,57 @@ def train(table: Binned, fits: list[Fit], parallelism: int | None = None) -> lis
                         out[k] += t.value[t.walk(b[1])]
                 return (*b, out)
 
-            made.append(base.map(add))
-        return sc.union(made).persist(StorageLevel.MEMORY_AND_DISK)
-
+            made.append(self.base.map(add))
+        self.rows = self.base.ctx.union(made).persist(StorageLevel.MEMORY_AND_DISK)
+        self.written, self.held = step, [len(r.trees) for r in runs]
+        if old is not None:
+            old.unpersist()
+
+    def wave(self, asks: list[list[_Ask]]) -> list[tuple]:
+        width, parts = self.width, self.parts
+
+        def work(index, blocks):
+            return _sums(asks[index // parts], blocks, width).items()
+
+        tables = self.rows.mapPartitionsWithIndex(work)
+        leaves = sum(len(a.nodes) for lot in asks for a in lot)
+        size = parts * 24 * width * sum(len(a.nodes) * len(a.columns) for lot in asks for a in lot if a.nodes)
+        if size > DRIVER_BYTES:
+            return tables.reduceByKey(np.add, min(parts, leaves + 1)).map(lambda item: _decided(item, asks)).collect()
+        sums: dict = {}
+        for key, part in tables.collect():
+            sums[key] = sums[key] + part if key in sums else part
+        return [_decided(item, asks) for item in sums.items()]
+
+
+def _sums(mine: list[_Ask], blocks, width: int) -> dict:
+    sums: dict = {}
+    for number, bins, label, group, f in blocks:
+        for ask in mine:
+            for key, part in _tables(ask, number, bins, label, group, f[ask.place], width):
+                sums[key] = sums[key] + part if key in sums else part
+    return sums
+
+
+def _decided(item: tuple, asks: list[list[_Ask]]) -> tuple:
+    """((model, node), (totals, split)) of a leaf's table, ((model, -1), loss sums)."""
+    (model, node), sums = item
+    if node == -1:
+        return (model, node), sums
+    ask = next(a for lot in asks for a in lot if a.number == model)
+    return (model, node), best_split(sums, ask.columns, ask.p)
+
+
+def _grow(runs: list[_Run], source, features: int) -> None:
+    """All rounds of all runs: waves of leaves until every tree's best-first order is known."""
     while any(not r.done or len(r.losses) < len(r.trees) and r.fit.watch for r in runs):
-        step = max(len(r.trees) for r in runs)
-        if margins is None or step - written >= REFRESH:
-            old, margins, written = margins, with_margins(), step
-            if old is not None:
-                old.unpersist()
+        source.begin_round(runs)
         for r in runs:
             if not r.done:
-                r.begin(table.width)
+                r.begin(features)
         first = True
         while True:
-            asks: list[list[_Ask]] = [[] for _ in range(lots)]
+            asks: list[list[_Ask]] = [[] for _ in range(source.lots)]
             for i, r in enumerate(runs):
                 nodes = r.growing.waiting() if r.growing else []
                 watch = first and r.fit.watch and len(r.losses) < len(r.trees)
@@ -456,68 +515,59 @@ def train(table: Binned, fits: list[Fit], parallelism: int | None = None) -> lis
                     partial = r.growing.tree()
                     slots = np.full(len(r.growing.nodes), -1)
                     slots[nodes] = np.arange(len(nodes))
-                asks[lot_of[i]].append(_Ask(
-                    i, i // lots, r.p, r.weight, np.array(sorted(r.fit.train)),
-                    np.array(sorted(r.fit.watch)) if watch else None, r.trees[min(written, len(r.trees)):], partial, slots,
+                asks[i % source.lots].append(_Ask(
+                    i, i // source.lots, r.p, r.weight, np.array(sorted(r.fit.train)),
+                    np.array(sorted(r.fit.watch)) if watch else None, r.trees[source.held[i]:], partial, slots,
                     nodes, r.growing.columns if nodes else None, len(r.trees)))
             first = False
             if not any(asks):
                 break
-            for (i, node), found in _wave(margins, asks, parts, width):
+            for (i, node), found in source.wave(asks):
                 r = runs[i]
                 if node == -1:
-                    if found[1]:
-                        r.heard(found[0] / found[1])
-                    else:
-                        r.losses.append(math.inf)
+                    r.heard(found[0] / found[1] if found[1] else math.inf)
                 else:
                     n = r.growing.nodes[node]
                     n.asked = True
                     total, n.split = found
                     n.total = n.total or total
-            for i, r in enumerate(runs):
+            for r in runs:
+                if r.growing and r.done:
+                    r.growing = None                      # its patience ended with the last tree
                 if r.growing:
-                    for node in r.growing.waiting():     # no row reached it
+                    for node in r.growing.waiting():      # no row reached it
                         r.growing.nodes[node].asked = True
-                    if r.done:
-                        r.growing = None                  # its patience ended with the last tree
-                        continue
-                    while r.growing and not r.growing.waiting():
-                        missing = r.growing.replay()[1]
-                        r.growing.expand(missing)
-                        if not missing:
-                            r.finish()
-    if margins is not None:
-        margins.unpersist()
-    return [r.model(table.edges) for r in runs]
-
-
-def _wave(margins, asks: list[list[_Ask]], parts: int, width: int) -> list[tuple]:
-    """((model, node), (totals, split)) of all leaves that wait, ((model, -1), loss sums)."""
-    settings = {a.number: (a.p, a.columns) for lot in asks for a in lot}
-    sent = margins.ctx.broadcast((asks, settings))
-
-    def work(index, blocks):
-        mine, sums = sent.value[0][index // parts], {}
-        for number, bins, label, group, f in blocks:
-            for ask in mine:
-                for key, part in _tables(ask, number, bins, label, group, f[ask.place], width):
-                    sums[key] = sums[key] + part if key in sums else part
-        return sums.items()
-
-    def decide(item):
-        (model, node), sums = item
-        if node == -1:
-            return (model, node), sums
-        p, columns = sent.value[1][model]
-        return (model, node), best_split(sums, columns, p)
-
-    tables = margins.mapPartitionsWithIndex(work)
-    if parts > 1:
-        tables = tables.reduceByKey(np.add, min(parts, sum(len(a.nodes) for lot in asks for a in lot) + 1))
-    found = tables.map(decide).collect()
-    sent.unpersist()
-    return found
+                while r.growing and not r.growing.waiting():
+                    missing = r.growing.replay()[1]
+                    r.growing.expand(missing)
+                    if not missing:
+                        r.finish()
+
+
+def train(table: Binned, fits: list[Fit], parallelism: int | None = None) -> list[Boosted]:
+    """All ``fits`` together; they share every scan of the blocks.
+
+    Rows that fill no more than one block are grown where the block is, the models dealt out over tasks: the
+    same waves without a job each. More blocks take a job per wave."""
+    base, width = table.rdd(), max((len(e) for e in table.edges), default=0) + 1
+    cores, features, edges = parallelism or base.ctx.defaultParallelism, table.width, table.edges
+    runs = [_Run(f, table) for f in fits]
+    if sum(table.counts.values()) > TASK_ROWS or base.getNumPartitions() > 1:
+        source = _Spread(base, runs, width, cores)
+        _grow(runs, source, features)
+        source.rows.unpersist()
+        return [r.model(edges) for r in runs]
+    lots = max(1, min(len(fits), cores))
+
+    def whole(index, blocks):
+        mine = runs[index::lots]
+        _grow(mine, _Here(list(blocks), mine, width), features)
+        yield index, [(r.trees, r.losses) for r in mine]
+
+    for index, grown in base.ctx.union([base] * lots).mapPartitionsWithIndex(whole).collect():
+        for r, (r.trees, r.losses) in zip(runs[index::lots], grown):
+            pass
+    return [r.model(edges) for r in runs]
 
 
 # --------------------------------------------------------------------------- scoring

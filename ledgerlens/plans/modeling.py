@@ -8,11 +8,14 @@ test split (property-checked: rows / ranges, not SQL).
 
 from __future__ import annotations
 
+import random
+from dataclasses import replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import balance as B
+from ledgerlens.operators import histtrees as H
 from ledgerlens.operators import metrics as M
 from ledgerlens.operators import models as MO
 from ledgerlens.operators import prep as PR
@@ -170,20 +173,81 @@ def q_train_gbt_weighted(spark, sf_dir):
     return _record(MO.probability(m, te, [MO.LABEL]), "GBT (positive weight)")
 
 
+#: Groups of the binned rows: test rows, and training rows by 5-fold, 3-fold and validation slice.
+TEST_GROUP = -1
+
+
+def _group(fold: int, fold3: int, tail: int) -> int:
+    return (fold * 3 + fold3) * 2 + tail
+
+
+def groups_where(keep) -> frozenset:
+    """Groups of training rows with ``keep(fold, fold3, tail)``."""
+    return frozenset(_group(f, g, t) for f in range(5) for g in range(3) for t in range(2) if keep(f, g, t))
+
+
+ALL_TRAIN = groups_where(lambda f, g, t: True)
+
+
+def binned_matrix(spark, sf_dir) -> H.Binned:
+    """The feature matrix as written blocks of bytes, once per session: every boosted fit below reads it.
+    Bins come from training rows."""
+    ck = ("binned", spark.sparkContext.applicationId, sf_dir)
+    if ck not in _CACHE:
+        tr, te, _ = _split(spark, sf_dir)
+        fold3 = SP.kfold(tr.select(KEY, TARGET), KEY, TARGET, 3, col="fold3").select(KEY, "fold3")
+        keep = [KEY, MO.LABEL, MO.FEATURES]
+        group = (F.col("fold") * 3 + F.col("fold3")) * 2 + F.col("is_validation").cast("int")
+        rows = tr.join(fold3, KEY).select(*keep, group.alias("group")).union(
+            te.select(*keep, F.lit(TEST_GROUP).alias("group")))
+        _CACHE[ck] = H.binned(rows, MO.FEATURES, MO.LABEL, KEY, F.col("group"), H.bin_edges(tr, MO.FEATURES))
+    return _CACHE[ck]
+
+
+#: fixed values: the two boosted candidates. A is limited by depth, B by leaves and depth.
+GBT_A = H.Params(rounds=300, rate=0.05, max_leaves=64, max_depth=6, min_leaf=1, min_hessian=1.0, l2=1.0,
+                 rows=0.8, columns=0.8, balance="positive")
+GBT_B = H.Params(rounds=500, rate=0.05, max_leaves=63, max_depth=7, min_leaf=20, rows=0.8, columns=0.8,
+                 balance="balanced")
+PATIENCE = 50   # fixed value
+
+
+def early_fit() -> H.Fit:
+    return H.Fit(replace(GBT_B, patience=PATIENCE), groups_where(lambda f, g, t: not t), groups_where(lambda f, g, t: t))
+
+
+def fitted_early(spark, sf_dir) -> H.Boosted:
+    """I8's model, fitted once per session and scale factor."""
+    ck = ("leafwise", spark.sparkContext.applicationId, sf_dir)
+    if ck not in _CACHE:
+        _CACHE[ck], = H.train(binned_matrix(spark, sf_dir), [early_fit()], parallelism(spark))
+    return _CACHE[ck]
+
+
+def _block_scores(table, models, names, groups):
+    """(model, group, key, label, score) of the given rows."""
+    return H.block_margins(table, models, names, groups).withColumn("score", 1 / (1 + F.exp(-F.col("margin"))))
+
+
 @query("train_gbt_early")
 def q_train_gbt_early(spark, sf_dir):
-    """I8: boosted trees up to 500 x depth 7, lr 0.05, row/column sampling 0.8, balanced class
-    weights, stopped at the best round of the tail 15 % validation slice (patience 50)."""
-    fit_rows, tail, te = _held_out_tail(spark, sf_dir)
-    m = MO.early_stopped(MO.boosted(500, 0.05, 7, 0.8, 20, "0.8", weighted=True), fit_rows, tail)
-    return _record(MO.probability(m, te, [MO.LABEL]), "GBT (early stop)")
+    """I8: leaf-wise boosted trees, up to 500 x 63 leaves x depth 7, lr 0.05, row/column sampling 0.8, balanced
+    class weights, stopped at the best round of the tail 15 % validation slice (patience 50)."""
+    table = binned_matrix(spark, sf_dir)
+    scored = _block_scores(table, [fitted_early(spark, sf_dir)], ["m"], [{TEST_GROUP}])
+    return _record(scored.withColumnRenamed("label", MO.LABEL), "GBT (early stop)")
+
+
+@query("leafwise_trees")
+def q_leafwise_trees(spark, sf_dir):
+    """I8: the fitted trees: leaves, depth, gain and training rows of each round, and the loss on the watched rows."""
+    m = fitted_early(spark, sf_dir)
+    rows = [(k + 1, int((t.feature < 0).sum()), int(t.depth), float(t.gain.sum()), int(t.rows[0]), float(loss))
+            for k, (t, loss) in enumerate(zip(m.trees, m.losses))]
+    return round_doubles(spark.createDataFrame(
+        rows, "round int, leaves int, depth int, gain double, n_rows long, validation_loss double"), 6)
 
 
-CV_CANDIDATES = {
-    "GBT (early stop)": lambda: MO.boosted(500, 0.05, 7, 0.8, 20, "0.8", weighted=True),
-    "GBT (positive weight)": lambda: MO.boosted(300, 0.05, 6, 0.8, 1, "0.8", weighted=True),
-    "Random Forest": lambda: MO.forest(),
-}
 GAP_OK, GAP_TEXTS = 0.02, ("✅ Generalises", "Possible overfit")  # fixed values
 
 
@@ -198,37 +262,51 @@ def cv_table(folds):
                     F.when(gap < GAP_OK, GAP_TEXTS[0]).otherwise(GAP_TEXTS[1]).alias("status"))
 
 
+@query("cv_summary")
 def q_cv_summary(spark, sf_dir):
-    """5-fold stratified CV ROC-AUC per candidate vs the test ROC-AUC, weighted fits."""
+    """5-fold stratified CV ROC-AUC of three candidates vs their test ROC-AUC. The ten boosted fold
+    models, and the two that the test rows are scored with, are trained together on the binned blocks."""
     from ledgerlens.operators import curves as C
+    table = binned_matrix(spark, sf_dir)
     tr, te, _ = _split(spark, sf_dir)
-    jobs = [(name, k) for name in CV_CANDIDATES for k in (*range(5), None)]   # None: all folds, scored on the test rows
-
-    def auc(job):
-        name, k = job
+    fits, names, held = [], [], []
+    for name, p in (("GBT (early stop)", GBT_B), ("GBT (positive weight)", GBT_A)):
+        for k in range(5):
+            fits.append(H.Fit(p, groups_where(lambda f, g, t, k=k: f != k)))
+            names.append(f"{name}|fold")
+            held.append(groups_where(lambda f, g, t, k=k: f == k))
+        # the models that are evaluated on the test rows learn without the validation slice
+        early = name == "GBT (early stop)"
+        fits.append(early_fit() if early else H.Fit(p, groups_where(lambda f, g, t: not t)))
+        names.append(f"{name}|test")
+        held.append({TEST_GROUP})
+    models = H.train(table, fits, parallelism(spark))
+    at = F.split("model", r"\|")
+    boosted = _block_scores(table, models, names, held).select(
+        at[0].alias("model"), F.concat_ws("-", at[1], F.when(at[1] == "fold", F.floor(F.col("group") / 6))).alias("part"),
+        "label", "score")
+
+    def forest(k):
         fit_rows, rest = (tr, te) if k is None else (tr.where(F.col("fold") != k), tr.where(F.col("fold") == k))
-        scored = MO.probability(CV_CANDIDATES[name]().fit(fit_rows), rest, [MO.LABEL])
-        return name, "test" if k is None else "fold", C.areas(C.cumulative_counts(C.score_counts(scored))).first()["roc_auc"]
+        return MO.probability(MO.forest().fit(fit_rows), rest, [MO.LABEL]).select(
+            F.lit("Random Forest").alias("model"), F.lit("test" if k is None else f"fold-{k}").alias("part"),
+            F.col(MO.LABEL).cast("int").alias("label"), "score")
 
     with ThreadPool(parallelism(spark)) as pool:      # fits wait on the scheduler more than they compute
-        rows = pool.map(auc, jobs)
-    return round_doubles(cv_table(spark.createDataFrame(rows, "model string, kind string, auc double")))
+        rows = boosted
+        for scored in pool.map(forest, (*range(5), None)):
+            rows = rows.union(scored)
+    by = ("model", "part")
+    counts = materialize(C.score_counts(rows, by=by), "fold-counts")
+    auc = C.areas(C.cumulative_counts(counts, by=by), by)
+    return round_doubles(cv_table(auc.select(
+        "model", F.element_at(F.split("part", "-"), 1).alias("kind"), F.col("roc_auc").alias("auc"))))
 
 
 SEARCHES = {
     "search_rf": ("Random Forest (Tuned)", lambda: MO.forest(n_trees=50), 10,
                   {"maxDepth": (5, 12, "int"), "minInstancesPerNode": (20, 100, "int"),
                    "featureSubsetStrategy": ["sqrt", "log2", "0.3"]}, {"numTrees": 250}),
-    "search_gbt_a": ("GBT A (Tuned)", lambda: MO.boosted(50, 0.05, 6, 0.8, 1, "0.8", weighted=True), 20,
-                     {"stepSize": (0.01, 0.11, "float"), "maxDepth": (4, 9, "int"),
-                      "subsamplingRate": (0.6, 0.95, "float"), "featureSubsetStrategy": (0.6, 0.95, "share"),
-                      "minInstancesPerNode": (5, 30, "int"),
-                      "minInfoGain": (0.0, 0.5, "float")}, {"maxIter": 400}),
-    "search_gbt_b": ("GBT B (Tuned)", lambda: MO.boosted(50, 0.05, 7, 0.8, 20, "0.8", weighted=True), 20,
-                     {"stepSize": (0.01, 0.11, "float"), "maxDepth": (4, 10, "int"),
-                      "subsamplingRate": (0.6, 0.95, "float"), "featureSubsetStrategy": (0.6, 0.95, "share"),
-                      "minInstancesPerNode": (20, 100, "int")},
-                     {"maxIter": 500}),
 }
 
 
@@ -250,11 +328,85 @@ def _search_query(key):
     return run
 
 
-# the RF search (30 small fits) is registered; the two 20-draw boosted searches
-# (60 fits of 50 rounds each, then a 400/500-round refit) and the 5-fold CV of
-# three boosted candidates stay library calls: q_cv_summary, search_query(key)
 query("search_rf")(_search_query("search_rf"))
-search_query = _search_query
+
+#: fixed values: (base of the draws, ranges, rounds of the refit). Ranges are (low, width) of a uniform draw
+#: or (low, high) of a whole number below high.
+BOOSTED_SEARCHES = {
+    "search_gbt_a": ("GBT A (Tuned)", replace(GBT_A, rounds=50, rows=1.0, columns=1.0),
+                     {"rate": (0.01, 0.1), "max_depth": (4, 9), "rows": (0.6, 0.35), "columns": (0.6, 0.35),
+                      "min_hessian": (5, 30), "min_gain": (0.0, 0.5)}, 400),
+    "search_gbt_b": ("GBT B (Tuned)", replace(GBT_B, rounds=50, max_depth=0),
+                     {"rate": (0.01, 0.1), "max_depth": (4, 10), "max_leaves": (31, 127), "rows": (0.6, 0.35),
+                      "columns": (0.6, 0.35), "min_leaf": (20, 100)}, 500),
+}
+DRAWS = 20   # fixed value
+
+
+def drawn_params(key: str) -> list[H.Params]:
+    _, base, space, _ = BOOSTED_SEARCHES[key]
+    rng, out = random.Random(MO.SEED), []
+    for _ in range(DRAWS):
+        draw = {n: rng.randrange(lo, hi) if isinstance(hi, int) else rng.uniform(lo, lo + hi) for n, (lo, hi) in space.items()}
+        if "max_leaves" not in draw:
+            draw["max_leaves"] = 1 << draw["max_depth"]        # depth alone limits such a tree
+        out.append(replace(base, **draw))
+    return out
+
+
+def searched(spark, sf_dir, key: str):
+    """Mean 3-fold ROC-AUC of every draw, from one training of all draws and folds: (draw, auc)."""
+    from ledgerlens.operators import curves as C
+    table, draws = binned_matrix(spark, sf_dir), drawn_params(key)
+    fits = [H.Fit(p, groups_where(lambda f, g, t, k=k: g != k)) for p in draws for k in range(3)]
+    names = [f"{d}" for d in range(DRAWS) for _ in range(3)]
+    held = [groups_where(lambda f, g, t, k=k: g == k) for _ in draws for k in range(3)]
+    scored = _block_scores(table, H.train(table, fits, parallelism(spark)), names, held).select(
+        "model", F.pmod(F.floor(F.col("group") / 2), F.lit(3)).alias("part"), "label", "score")
+    by = ("model", "part")
+    counts = materialize(C.score_counts(scored, by=by), "draw-counts")
+    auc = C.areas(C.cumulative_counts(counts, by=by), by)
+    return auc.groupBy(F.col("model").cast("int").alias("draw")).agg(F.avg("roc_auc").alias("auc"))
+
+
+def fitted_search(spark, sf_dir, key: str) -> tuple[H.Boosted, list]:
+    """The best draw refitted on all training rows with its full number of rounds, and all draws' means."""
+    ck = (key, spark.sparkContext.applicationId, sf_dir)
+    if ck not in _CACHE:
+        means = sorted(searched(spark, sf_dir, key).collect(), key=lambda r: (-r["auc"], r["draw"]))
+        best = replace(drawn_params(key)[means[0]["draw"]], rounds=BOOSTED_SEARCHES[key][3])
+        model, = H.train(binned_matrix(spark, sf_dir), [H.Fit(best, ALL_TRAIN)], parallelism(spark))
+        _CACHE[ck] = model, means
+    return _CACHE[ck]
+
+
+def _boosted_search(key):
+    def run(spark, sf_dir):
+        model, _ = fitted_search(spark, sf_dir, key)
+        scored = _block_scores(binned_matrix(spark, sf_dir), [model], ["m"], [{TEST_GROUP}])
+        return _record(scored.withColumnRenamed("label", MO.LABEL), BOOSTED_SEARCHES[key][0])
+    run.__name__ = f"q_{key}"
+    run.__doc__ = f"I11 / I12: random search ({DRAWS} draws, 3-fold CV on ROC-AUC), refit of the best."
+    return run
+
+
+for _key in BOOSTED_SEARCHES:
+    query(_key)(_boosted_search(_key))
+
+
+@query("search_draws")
+def q_search_draws(spark, sf_dir):
+    """Every draw's parameters and mean 3-fold ROC-AUC, best first."""
+    rows = []
+    for key in BOOSTED_SEARCHES:
+        draws = drawn_params(key)
+        for place, r in enumerate(fitted_search(spark, sf_dir, key)[1]):
+            p = draws[r["draw"]]
+            rows.append((key, place + 1, r["draw"], p.rate, p.max_depth, p.max_leaves, p.rows, p.columns, p.min_leaf,
+                         p.min_hessian, p.min_gain, r["auc"]))
+    return round_doubles(spark.createDataFrame(
+        rows, "search string, place int, draw int, rate double, max_depth int, max_leaves int, row_share double, "
+              "column_share double, min_leaf int, min_hessian double, min_gain double, cv_mean_auc double"), 6)
 
 
 #: fixed values: whose importances are shown, the first that was fitted

@@ -61,7 +61,7 @@ def naive_tree(bins, g, h, p, columns):
     H.Params(rounds=2, max_leaves=9, max_depth=0, min_leaf=1, l2=1.0, min_hessian=2.0, rate=0.5, balance="positive"),
     H.Params(rounds=2, max_leaves=31, max_depth=4, min_leaf=20, columns=0.5, min_gain=0.4),
 ])
-def test_trees_equal_best_first_growth(spark, p):
+def test_trees_equal_best_first_growth(spark, p, spread):
     x, y = data()
     table = H.binned(frame(spark, x, y, np.zeros(500)), "features", "label", "id", F.col("grp"))
     model, = H.train(table, [H.Fit(p, frozenset({0}))])
@@ -89,14 +89,23 @@ def test_trees_equal_best_first_growth(spark, p):
     assert len(model.trees) == p.rounds
 
 
-def test_many_models_train_as_each_alone(spark):
+@pytest.fixture(params=["one block", "blocks", "blocks, sums shuffled"])
+def spread(request, monkeypatch):
+    """Small tables as one block, as several, and with sums too large for the driver."""
+    if request.param != "one block":
+        monkeypatch.setattr(H, "TASK_ROWS", 128)
+    if "shuffled" in request.param:
+        monkeypatch.setattr(H, "DRIVER_BYTES", 0)
+
+
+def test_many_models_train_as_each_alone(spark, spread):
     x, y = data(400, 5)
     group = np.arange(400) % 4
     table = H.binned(frame(spark, x, y, group, 2), "features", "label", "id", F.col("grp"), bins=16)
-    fits = [H.Fit(H.Params(rounds=12, max_leaves=8, max_depth=d, min_leaf=3, rows=0.7, columns=0.8, rate=0.2),
+    fits = [H.Fit(H.Params(rounds=4, max_leaves=8, max_depth=d, min_leaf=3, rows=0.7, columns=0.8, rate=0.2),
                   frozenset(range(4)) - {k}) for d in (2, 3) for k in range(4)]
     together = H.train(table, fits)
-    for fit, model in zip(fits[::3], together[::3]):
+    for fit, model in zip(fits[::5], together[::5]):
         alone, = H.train(table, [fit], parallelism=1)
         for a, b in zip(alone.trees, model.trees):
             assert a.feature.tolist() == b.feature.tolist() and a.value == pytest.approx(b.value)
@@ -104,7 +113,7 @@ def test_many_models_train_as_each_alone(spark):
                              [{k} for _ in (2, 3) for k in range(4)]).collect()
     assert len(scored) == 2 * 400 and {(r.model, r.group) for r in scored} == {
         (f"m{i}", i % 4) for i in range(8)}
-    assert np.mean([(r.margin > 0) == r.label for r in scored]) > 0.65
+    assert np.mean([(r.margin > 0) == r.label for r in scored]) > 0.6
 
 
 def test_patience_keeps_the_best_round(spark):
