@@ -403,7 +403,7 @@ def q_search_draws(spark, sf_dir):
         for place, r in enumerate(fitted_search(spark, sf_dir, key)[1]):
             p = draws[r["draw"]]
             rows.append((key, place + 1, r["draw"], p.rate, p.max_depth, p.max_leaves, p.rows, p.columns, p.min_leaf,
-                         p.min_hessian, p.min_gain, r["auc"]))
+                         float(p.min_hessian), p.min_gain, r["auc"]))
     return round_doubles(spark.createDataFrame(
         rows, "search string, place int, draw int, rate double, max_depth int, max_leaves int, row_share double, "
               "column_share double, min_leaf int, min_hessian double, min_gain double, cv_mean_auc double"), 6)
