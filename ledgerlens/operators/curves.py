@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Leaves of all bucket trees together; more no longer compile.
+MAX_LEAVES = 1024
 F1_EPS = 1e-8  # fixed value: F1 denominator guard of the threshold scan
 
 
@@ -55,17 +57,26 @@ def cumulative_counts(counts: DataFrame, buckets: int | None = None, by: tuple =
 
     ``by`` (a model's name, say) has few values: each has its own bucket edges."""
     spark = counts.sparkSession
-    b = min(buckets or _n_buckets(spark), 1024)   # a deeper CASE tree no longer compiles
+    b = min(buckets or _n_buckets(spark), MAX_LEAVES)
     probs = [i / b for i in range(1, b)]
-    bucket = F.lit(0)
-    for row in counts.groupBy(*by).agg(F.percentile_approx("score", probs, 10000).alias("e")).collect():
-        edges = sorted(set(row["e"] or []))
-        tree = _bucket_tree(F.col("score"), edges, 0, len(edges)) if edges else F.lit(0)
-        own = F.lit(True)
-        for c in by:
-            own = own & F.col(c).eqNullSafe(F.lit(row[c]))
-        bucket = F.when(own, tree).otherwise(bucket) if by else tree
-    tagged = counts.withColumn("_b", bucket.cast("int"))
+    found = counts.groupBy(*by).agg(F.array_distinct(F.percentile_approx("score", probs, 10000)).alias("_e"))
+    own = [(row, sorted(row["_e"] or [])) for row in found.collect()]
+    if sum(len(edges) for _, edges in own) <= MAX_LEAVES:
+        bucket = F.lit(0)
+        for row, edges in own:
+            tree = _bucket_tree(F.col("score"), edges, 0, len(edges)) if edges else F.lit(0)
+            mine = F.lit(True)
+            for c in by:
+                mine = mine & F.col(c).eqNullSafe(F.lit(row[c]))
+            bucket = F.when(mine, tree).otherwise(bucket) if by else tree
+        tagged = counts.withColumn("_b", bucket.cast("int"))
+    else:
+        # many values of ``by``: their edges as a table (a row each, of at most B numbers)
+        e = counts.sparkSession.createDataFrame([(*[row[c] for c in by], edges) for row, edges in own],
+                                                found.schema).toDF(*[f"_by_{c}" for c in by], "_e")
+        same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+        below = F.size(F.filter("_e", lambda x: x < F.col("score")))
+        tagged = counts.join(F.broadcast(e), same).select(*counts.columns, below.alias("_b"))
     totals = tagged.groupBy(*by, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     # descending score order = descending bucket; offsets = totals of higher buckets
     wo = Window.partitionBy(*by).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)

@@ -8,7 +8,6 @@ class weights -> ``weightCol``, ``min_samples_leaf`` -> ``minInstancesPerNode``,
 
 from __future__ import annotations
 
-import math
 import random
 
 from pyspark import SparkContext
@@ -134,36 +133,6 @@ def minmax_margin(model: Model, df: DataFrame, keep: list[str], out: str = "scor
     return minmax(m, "_m", keep, out)
 
 
-class CalibratedSVC:
-    """K LinearSVC fits on k-1 folds, each with a sigmoid (Platt) map fitted
-    on its held-out fold; the probability is the mean of the k calibrated models."""
-
-    def __init__(self, n_weight: float, C: float = 0.1, folds: int = 3, max_iter: int = 2000):
-        self.n_weight, self.C, self.folds, self.max_iter = n_weight, C, folds, max_iter
-        self.parts = []
-
-    def fit(self, df: DataFrame, fold_col: str = "fold"):
-        for k in range(self.folds):
-            tr, ho = df.where(F.col(fold_col) != k), df.where(F.col(fold_col) == k)
-            svc = LinearSVC(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT,
-                            regParam=1.0 / (self.C * self.n_weight), maxIter=self.max_iter,
-                            standardization=False, tol=1e-4).fit(tr)
-            margins = svc.transform(ho).select(LABEL, vector_to_array("rawPrediction")[1].alias("m"))
-            platt = LogisticRegression(featuresCol="mv", labelCol=LABEL, regParam=0.0).fit(
-                assemble(margins, ["m"], "mv"))
-            self.parts.append((svc, float(platt.coefficients[0]), float(platt.intercept)))
-        return self
-
-    def score(self, df: DataFrame, keep: list[str], out: str = "score") -> DataFrame:
-        x = df
-        probs = []
-        for i, (svc, a, b) in enumerate(self.parts):
-            x = svc.transform(x).withColumn(f"_m{i}", vector_to_array("rawPrediction")[1]).drop(
-                "rawPrediction", "prediction")
-            probs.append(1 / (1 + F.exp(-(F.lit(a) * F.col(f"_m{i}") + F.lit(b)))))
-        return x.select(*keep, (sum(probs[1:], probs[0]) / len(probs)).alias(out))
-
-
 def stump_expr(stump, features_col: str = FEATURES):
     """A fitted depth-1 tree as a column expression (prediction 0/1): the split's
     feature index, threshold and leaf predictions are read from the model, so
@@ -177,50 +146,6 @@ def stump_expr(stump, features_col: str = FEATURES):
         F.lit(float(root.rightChild().prediction())))
 
 
-class AdaBoostStumps:
-    """Discrete SAMME boosting of depth-1 trees. Each round is one weighted
-    stump fit plus one aggregate of the weighted error; the stump itself is
-    evaluated as a column expression, the weight update is a projection, and
-    the weighted frame is materialised every ``checkpoint_every`` rounds to cut
-    lineage."""
-
-    def __init__(self, n_rounds: int = 200, lr: float = 0.1, checkpoint_every: int = 10):
-        self.n_rounds, self.lr, self.every = n_rounds, lr, checkpoint_every
-        self.stumps: list[tuple] = []
-
-    def fit(self, df: DataFrame):
-        from ledgerlens.session import materialize
-        n = df.count()
-        cur = materialize(df.select(FEATURES, LABEL).withColumn("_w", F.lit(1.0 / n)))
-        for r in range(self.n_rounds):
-            stump = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol="_w",
-                                           maxDepth=1, seed=SEED).fit(cur)
-            miss = stump_expr(stump) != F.col(LABEL)
-            st = cur.agg(F.sum(F.when(miss, F.col("_w")).otherwise(0.0)).alias("e"), F.sum("_w").alias("t")).first()
-            err = (st["e"] or 0.0) / st["t"]
-            if err <= 0:
-                self.stumps.append((stump, 1.0))
-                break
-            if err >= 0.5:
-                if not self.stumps:
-                    self.stumps.append((stump, 1.0))
-                break
-            alpha = self.lr * math.log((1 - err) / err)
-            self.stumps.append((stump, alpha))
-            cur = cur.select(FEATURES, LABEL, F.when(miss, F.col("_w") * math.exp(alpha))
-                             .otherwise(F.col("_w")).alias("_w"))
-            if (r + 1) % self.every == 0:
-                cur = materialize(cur)
-        return self
-
-    def score(self, df: DataFrame, keep: list[str], out: str = "score") -> DataFrame:
-        """P(class 1) = sigmoid of twice the normalised vote (SAMME, two classes)."""
-        votes = [F.lit(alpha) * (2 * stump_expr(stump) - 1) for stump, alpha in self.stumps]
-        total = sum(a for _, a in self.stumps)
-        decision = sum(votes[1:], votes[0]) / total
-        return df.select(*keep, (1 / (1 + F.exp(-2 * decision))).alias(out))
-
-
 # --------------------------------------------------------------------------- CV / search
 
 def random_param_maps(est, space: dict, n_iter: int, seed: int = SEED):
@@ -251,9 +176,8 @@ def random_search(est, space: dict, n_iter: int, df: DataFrame, fold_col: str =
     return cv.fit(df)
 
 
-def importances(model, names: list[str]) -> DataFrame:
+def importances(values, names: list[str]) -> DataFrame:
     """Feature importances as a (feature, importance) DataFrame."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    vals = model.featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(names, [float(v) for v in vals])), "feature string, importance double")
+    return spark.createDataFrame(list(zip(names, [float(v) for v in values])), "feature string, importance double")

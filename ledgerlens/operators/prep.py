@@ -109,10 +109,13 @@ def impute_params(df: DataFrame, cols: list[str], fit_on: str = "train",
                     F.when(med, F.col("_median")).otherwise(F.col("_mean")).alias("fill_value"))
 
 
-def apply_impute(df: DataFrame, params: DataFrame, categorical: list[str] = ()) -> DataFrame:
-    """Numeric fills from the params table; categorical nulls -> 'Missing'."""
-    fills = {r["column_name"]: r["fill_value"] for r in params.collect()  # one row per column
-             if r["fill_value"] is not None}
+def fill_values(params: DataFrame) -> dict:
+    return {r["column_name"]: r["fill_value"] for r in params.collect()  # one row per column
+            if r["fill_value"] is not None}
+
+
+def fill_with(df: DataFrame, fills: dict, categorical: list[str] = ()) -> DataFrame:
+    """Numeric fills by column; categorical nulls -> 'Missing'."""
     types = {f.name: f.dataType for f in df.schema.fields}
     out = df.select(*[F.coalesce(F.col(c), F.lit(fills[c]).cast(types[c])
                                  if isinstance(types[c], T.FractionalType)
@@ -123,6 +126,11 @@ def apply_impute(df: DataFrame, params: DataFrame, categorical: list[str] = ())
     return out
 
 
+def apply_impute(df: DataFrame, params: DataFrame, categorical: list[str] = ()) -> DataFrame:
+    """Numeric fills from the params table; categorical nulls -> 'Missing'."""
+    return fill_with(df, fill_values(params), categorical)
+
+
 # --------------------------------------------------------------------------- F8-F9
 
 def cap_params(df: DataFrame, cols: list[str], fit_on: str = "train", k: float = IQR_K) -> DataFrame:
@@ -143,12 +151,19 @@ def capped_counts(df: DataFrame, params: DataFrame) -> DataFrame:
     return wide.unpivot([], list(bounds), "column_name", "n_capped")
 
 
-def apply_cap(df: DataFrame, params: DataFrame) -> DataFrame:
-    bounds = {r["column_name"]: (r["lower"], r["upper"]) for r in params.collect()}
+def cap_bounds(params: DataFrame) -> dict:
+    return {r["column_name"]: (r["lower"], r["upper"]) for r in params.collect()}
+
+
+def cap_with(df: DataFrame, bounds: dict) -> DataFrame:
     return df.withColumns({c: F.least(F.greatest(F.col(c).cast("double"), F.lit(lo)), F.lit(hi))
                            for c, (lo, hi) in bounds.items()})
 
 
+def apply_cap(df: DataFrame, params: DataFrame) -> DataFrame:
+    return cap_with(df, cap_bounds(params))
+
+
 def log_params(df: DataFrame, cols: list[str], fit_on: str = "train",
                threshold: float = SKEW_LOG) -> DataFrame:
     """|skew| on the fit rows > threshold, and min over all rows >= 0."""
@@ -159,11 +174,18 @@ def log_params(df: DataFrame, cols: list[str], fit_on: str = "train",
         ((F.abs(F.col("skewness")) > threshold) & (F.col("min_value") >= 0)).alias("applied"))
 
 
-def apply_log(df: DataFrame, params: DataFrame) -> DataFrame:
-    cols = [r["column_name"] for r in params.where("applied").collect()]
+def log_columns(params: DataFrame) -> list[str]:
+    return [r["column_name"] for r in params.where("applied").collect()]
+
+
+def log_with(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.log1p(F.col(c).cast("double")) for c in cols})
 
 
+def apply_log(df: DataFrame, params: DataFrame) -> DataFrame:
+    return log_with(df, log_columns(params))
+
+
 # --------------------------------------------------------------------------- F10-F12
 
 def cardinality(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -173,14 +195,23 @@ def cardinality(df: DataFrame, cols: list[str]) -> DataFrame:
         F.count_distinct("value").alias("n_unique"))
 
 
+def onehot_values(df: DataFrame, col: str, drop_first: bool = True) -> list:
+    """the values that get a column; the alphabetically first one is dropped. The < 10 rule is
+    checked here: a column with more values is an error, found by reading one value too many."""
+    values = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(CARD_ONEHOT).collect())
+    if len(values) >= CARD_ONEHOT:
+        raise ValueError(f"{col} has {CARD_ONEHOT} values or more: label-encode it")
+    return values[1:] if drop_first else values
+
+
+def onehot_with(df: DataFrame, col: str, values: list) -> DataFrame:
+    """``{col}_{value}`` int8 columns; null where the value is null, 0 in all for any other value."""
+    return df.withColumns({f"{col}_{v}": (F.col(col) == F.lit(v)).cast("tinyint") for v in values}).drop(col)
+
+
 def onehot(df: DataFrame, col: str, drop_first: bool = True) -> DataFrame:
-    """``get_dummies(drop_first=True)`` for a low-cardinality column:
-    ``{col}_{value}`` int8 columns, the alphabetically first value dropped.
-    The value list is bounded by the < 10 cardinality rule."""
-    values = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
-    keep = values[1:] if drop_first else values
-    dummies = {f"{col}_{v}": (F.col(col) == F.lit(v)).cast("tinyint") for v in keep}
-    return df.withColumns(dummies).drop(col)
+    """``get_dummies(drop_first=True)`` for a low-cardinality column."""
+    return onehot_with(df, col, onehot_values(df, col, drop_first))
 
 
 def sorted_labels(df: DataFrame, col: str) -> DataFrame:
@@ -199,10 +230,9 @@ def sorted_labels(df: DataFrame, col: str) -> DataFrame:
     return labels.select("label", (first + F.col("_id").bitwiseAND((1 << 33) - 1)).cast("int").alias("idx"))
 
 
-def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """index in sorted order (``LabelEncoder``); a null gets the index behind the last."""
+def label_with(df: DataFrame, col: str, known: DataFrame, out: str | None = None) -> DataFrame:
+    """index from ``known`` (label, idx); a null or unseen value gets the index behind the last."""
     out = out or col
-    known = sorted_labels(df, col)
     n = known.agg(F.count(F.lit(1)).cast("int").alias("_n"))
     res = (df.withColumn("_label", F.col(col).cast("string"))
            .join(known.select(F.col("label").alias("_label"), F.col("idx").alias("_idx")), "_label", "left")
@@ -212,6 +242,11 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     return res.select(*columns, *([] if out in df.columns else [idx.alias(out)]))
 
 
+def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """index in sorted order (``LabelEncoder``); a null gets the index behind the last."""
+    return label_with(df, col, sorted_labels(df, col), out)
+
+
 # --------------------------------------------------------------------------- F13-F17
 
 def split_xy(df: DataFrame, key: str, target: str) -> tuple[DataFrame, DataFrame]:
@@ -222,13 +257,20 @@ def split_xy(df: DataFrame, key: str, target: str) -> tuple[DataFrame, DataFrame
     return df.select(key, *numeric), df.select(key, F.col(target).alias("y"))
 
 
+def without_inf(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.withColumns({c: F.when(~F.col(c).cast("double").isin(float("inf"), float("-inf")),
+                                     F.col(c).cast("double")) for c in cols})
+
+
+def medians(df: DataFrame, cols: list[str]) -> dict:
+    """each column's median without its infinite values."""
+    med = S.grouped_quantiles(to_long(without_inf(df, cols), cols), "column_name", "value", [0.5])
+    return {r["column_name"]: r["q"][0] for r in med.collect() if r["q"] and r["q"][0] is not None}
+
+
 def inf_to_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """+-inf -> null, then every null -> the column median over all rows."""
-    cleaned = df.withColumns({c: F.when(~F.col(c).cast("double").isin(float("inf"), float("-inf")),
-                                        F.col(c).cast("double")) for c in cols})
-    med = S.grouped_quantiles(to_long(cleaned, cols), "column_name", "value", [0.5])
-    fills = {r["column_name"]: r["q"][0] for r in med.collect() if r["q"] and r["q"][0] is not None}
-    return cleaned.fillna(fills)
+    return without_inf(df, cols).fillna(medians(df, cols))
 
 
 def scale_params(df: DataFrame, cols: list[str], fit_on: str = "train") -> DataFrame:
@@ -239,9 +281,16 @@ def scale_params(df: DataFrame, cols: list[str], fit_on: str = "train") -> DataF
                     F.when(F.col("_sd") == 0, F.lit(1.0)).otherwise(F.col("_sd")).alias("scale"))
 
 
+def scales(params: DataFrame) -> dict:
+    return {r["column_name"]: (r["mean"], r["scale"]) for r in params.collect()}
+
+
+def scale_with(df: DataFrame, by: dict) -> DataFrame:
+    return df.withColumns({c: (F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in by.items()})
+
+
 def apply_scale(df: DataFrame, params: DataFrame) -> DataFrame:
-    p = {r["column_name"]: (r["mean"], r["scale"]) for r in params.collect()}
-    return df.withColumns({c: (F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in p.items()})
+    return scale_with(df, scales(params))
 
 
 def clean_name(name: str) -> str:

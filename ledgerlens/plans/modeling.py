@@ -20,6 +20,7 @@ from ledgerlens.operators import metrics as M
 from ledgerlens.operators import models as MO
 from ledgerlens.operators import prep as PR
 from ledgerlens.operators import split as SP
+from ledgerlens.operators import stages as ST
 from ledgerlens.plans import evaluation as EV
 from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.session import materialize
@@ -119,13 +120,20 @@ def q_train_lr(spark, sf_dir):
     return _record(MO.probability(fitted_lr(spark, sf_dir), te, [MO.LABEL]), "Logistic Regression")
 
 
+def fitted_svm(spark, sf_dir) -> ST.CalibratedSVCModel:
+    ck = ("svm", spark.sparkContext.applicationId, sf_dir)
+    if ck not in _CACHE:
+        tr, _, _ = _split(spark, sf_dir)
+        tr3 = SP.kfold(tr, KEY, TARGET, 3, col="fold3")
+        _CACHE[ck] = ST.CalibratedSVC(_n_weight(tr), fold_col="fold3").fit(tr3)
+    return _CACHE[ck]
+
+
 @query("train_svm")
 def q_train_svm(spark, sf_dir):
     """Linear SVM (C = 0.1) with 3-fold sigmoid calibration."""
-    tr, te, _ = _split(spark, sf_dir)
-    tr3 = SP.kfold(tr, KEY, TARGET, 3, col="fold3")
-    m = MO.CalibratedSVC(_n_weight(tr)).fit(tr3, "fold3")
-    return _record(m.score(te, [MO.LABEL]), "SVM (Linear)")
+    _, te, _ = _split(spark, sf_dir)
+    return _record(fitted_svm(spark, sf_dir).transform(te).select(MO.LABEL, "score"), "SVM (Linear)")
 
 
 @query("train_tree")
@@ -138,16 +146,22 @@ def q_train_tree(spark, sf_dir):
 @query("train_rf")
 def q_train_rf(spark, sf_dir):
     """I4: random forest 200 x depth 12, 50 per leaf, sqrt features."""
-    tr, te, _ = _split(spark, sf_dir)
-    return _record(MO.probability(MO.forest().fit(tr), te, [MO.LABEL]), "Random Forest")
+    _, te, _ = _split(spark, sf_dir)
+    return _record(MO.probability(fitted(spark, sf_dir, "rf", MO.forest), te, [MO.LABEL]), "Random Forest")
+
+
+def fitted_ada(spark, sf_dir) -> ST.AdaBoostModel:
+    ck = ("ada", spark.sparkContext.applicationId, sf_dir)
+    if ck not in _CACHE:
+        _CACHE[ck] = ST.AdaBoostModel.of(H.train_stumps(binned_matrix(spark, sf_dir), ALL_TRAIN, 200, 0.1))
+    return _CACHE[ck]
 
 
 @query("train_ada")
 def q_train_ada(spark, sf_dir):
     """AdaBoost (SAMME) of 200 stumps, learning rate 0.1."""
-    tr, te, _ = _split(spark, sf_dir)
-    m = MO.AdaBoostStumps(200, 0.1).fit(tr)
-    return _record(m.score(te, [MO.LABEL]), "AdaBoost")
+    _, te, _ = _split(spark, sf_dir)
+    return _record(fitted_ada(spark, sf_dir).transform(te).select(MO.LABEL, "score"), "AdaBoost")
 
 
 @query("train_gbt")
@@ -419,18 +433,44 @@ def first_available(models: dict):
     return next(((n, models[n]) for n in IMPORTANCE_ORDER if n in models), None)
 
 
-def boosted_importance(spark, sf_dir):
+def importance_sources(spark, sf_dir) -> dict:
+    """How each of the models gives its importances: splits for B, gain for A, Spark's own for the others."""
+    spark_ml = {"Random Forest": ("rf", MO.forest), "Gradient Boosting": ("gbt", MO.boosted)}
+    return {
+        "GBT B (Tuned)": lambda: fitted_search(spark, sf_dir, "search_gbt_b")[0].splits(),
+        "GBT A (Tuned)": lambda: fitted_search(spark, sf_dir, "search_gbt_a")[0].gains(),
+        "GBT (early stop)": lambda: fitted_early(spark, sf_dir).splits(),
+        **{n: lambda k=k, make=make: fitted(spark, sf_dir, k, make).featureImportances.toArray()
+           for n, (k, make) in spark_ml.items()},
+    }
+
+
+def ranked_importance(spark, sf_dir):
     _, _, names = _split(spark, sf_dir)
-    _, m = first_available({"Gradient Boosting": fitted(spark, sf_dir, "gbt", MO.boosted)})  # train_gbt's fit
-    return MO.importances(m, names).orderBy(F.desc("importance"), "feature")
+    _, values = first_available(importance_sources(spark, sf_dir))
+    return MO.importances(values(), names).orderBy(F.desc("importance"), "feature")
 
 
-def ranked_features(spark, sf_dir) -> list[str]:
+def ranked_features(spark, sf_dir, n: int | None = None) -> list[str]:
     """Feature names by falling importance (as many as the matrix is wide)."""
-    return [r["feature"] for r in boosted_importance(spark, sf_dir).collect()]
+    rows = ranked_importance(spark, sf_dir)
+    return [r["feature"] for r in (rows.limit(n) if n else rows).collect()]
 
 
 @query("importance")
 def q_importance(spark, sf_dir):
-    """Feature importances of the boosted model, top 20."""
-    return boosted_importance(spark, sf_dir).limit(20)
+    """Feature importances of the first fitted model in the stated order, top 20."""
+    return ranked_importance(spark, sf_dir).limit(20)
+
+
+@query("importance_all")
+def q_importance_all(spark, sf_dir):
+    """The three most important features of every model in that order, with the model's place."""
+    _, _, names = _split(spark, sf_dir)
+    sources = importance_sources(spark, sf_dir)
+    rows = []
+    for place, name in enumerate([n for n in IMPORTANCE_ORDER if n in sources]):
+        top = sorted(zip(map(float, sources[name]()), names), key=lambda r: (-r[0], r[1]))[:3]
+        rows += [(name, place + 1, k + 1, f, v) for k, (v, f) in enumerate(top)]
+    return round_doubles(spark.createDataFrame(
+        rows, "model string, place int, rank int, feature string, importance double"), 6)

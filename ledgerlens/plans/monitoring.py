@@ -225,8 +225,8 @@ pt AS (SELECT feature, {', '.join(f"coalesce(max(CASE WHEN win = {i} THEN {R('ps
 ptm AS (SELECT *, greatest({', '.join(WINDOW_NAMES)}) AS max_psi FROM pt)"""
 
 
-def psi_table(spark, sf_dir, cols=MONITOR):
-    p = feature_psi(spark, sf_dir, cols).withColumn("psi", fround("psi"))
+def psi_table(spark, sf_dir, cols=MONITOR, m=None):
+    p = feature_psi(spark, sf_dir, cols, m).withColumn("psi", fround("psi"))
     wide = p.groupBy("feature").pivot("win", [0, 1, 2, 3]).agg(F.first("psi"))
     wide = wide.select("feature", *[F.coalesce(F.col(str(i)), F.lit(0.0)).alias(w)
                                     for i, w in enumerate(WINDOW_NAMES)])
@@ -247,11 +247,17 @@ def q_psi_table(spark, sf_dir):
 
 @query("psi_by_importance")
 def q_psi_by_importance(spark, sf_dir):
-    """M9: the table for the 15 monitored columns that matter most to the boosted model."""
-    from ledgerlens.plans.modeling import ranked_features
-    have = set(monitored(spark, sf_dir).columns)
-    cols = [c for c in ranked_features(spark, sf_dir) if c in have][:15]
-    t = psi_table(spark, sf_dir, cols or MONITOR)
+    """M9: the table for the 15 columns of the model's own matrix that matter most to it: the training rows
+    against four position windows of the test rows."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ledgerlens.plans import modeling as MD
+    fm, names = MD.feature_matrix(spark, sf_dir)
+    cols = MD.ranked_features(spark, sf_dir, 15)
+    wins = SP.position_windows(fm.where(F.col("split") == "test").select(KEY), KEY, 4, col="win")
+    x = vector_to_array(MD.MO.FEATURES)
+    m = fm.select(KEY, "split", *[x[names.index(c)].alias(c) for c in cols]).join(wins, KEY, "left")
+    t = psi_table(spark, sf_dir, cols, m)
     return t.withColumn("drift_class", D.drift_class(F.col("max_psi"))).orderBy(F.desc("max_psi"), "feature")
 
 

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import (DecisionTreeClassificationModel, LogisticRegression, LogisticRegressionModel,
+                                       RandomForestClassificationModel)
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.stats import fround
 from ledgerlens.operators import models as MO
+from ledgerlens.operators import prep as PR
+from ledgerlens.operators import stages as ST
 from ledgerlens.plans import evaluation as EV
 from ledgerlens.plans import monitoring as MON
+from ledgerlens.plans.cleaning import CATEGORICAL, materialized_model_frame
 from ledgerlens.plans.registry import query
+from ledgerlens.plans.splits import SPLIT_CTE
 from ledgerlens.sources import io as IO
-from ledgerlens.sources.tables import KEY
+from ledgerlens.session import once
+from ledgerlens.sources.tables import KEY, TARGET
 
 BOARD_SCHEMA = ("model string, accuracy double, precision double, recall double, f1_cls1 double, "
                 "f1_macro double, f1_weighted double, roc_auc double, pr_auc double")
@@ -74,6 +81,52 @@ def q_model_reload(spark, sf_dir):
     return IO.reload_check(lr, loaded, rows, KEY, lambda m, d: MO.probability(m, d, [KEY]))
 
 
+def full_pipeline() -> Pipeline:
+    """From raw rows (key, target, split, numeric and text columns) to a score, as one object."""
+    keep = [KEY, TARGET, "split"]
+    return Pipeline(stages=[
+        ST.Cleaning(keep, CATEGORICAL, PR.CAP_COLUMNS), ST.OneHot("c_mktsegment"), ST.Labels("n_name"),
+        ST.Scaling(keep), ST.Assembling(keep),
+        LogisticRegression(featuresCol=MO.FEATURES, labelCol=TARGET, regParam=0.01, maxIter=100)])
+
+
+def _reloads(spark, sf_dir):
+    """(name, fitted model, its class, rows, scoring) of every kind of model the library fits."""
+    from ledgerlens.plans import modeling as MD
+    _, te, _ = MD._split(spark, sf_dir)
+    own = lambda m, d: m.transform(d).select(KEY, "score")            # noqa: E731
+    ml = lambda m, d: MO.probability(m, d, [KEY])                       # noqa: E731
+    raw = materialized_model_frame(spark, sf_dir)
+    fitted = once(spark, "pipeline", sf_dir, lambda: full_pipeline().fit(raw.where(F.col("split") == "train")))
+    return [
+        ("Logistic Regression", MD.fitted_lr(spark, sf_dir), LogisticRegressionModel, te, ml),
+        ("SVM (Linear)", MD.fitted_svm(spark, sf_dir), ST.CalibratedSVCModel, te, own),
+        ("Decision Tree", MD.fitted(spark, sf_dir, "tree", MO.tree), DecisionTreeClassificationModel, te, ml),
+        ("Random Forest", MD.fitted(spark, sf_dir, "rf", MO.forest), RandomForestClassificationModel, te, ml),
+        ("AdaBoost", MD.fitted_ada(spark, sf_dir), ST.AdaBoostModel, te, own),
+        ("GBT (early stop)", ST.BoostedModel.of(MD.fitted_early(spark, sf_dir)), ST.BoostedModel, te, own),
+        ("Pipeline", fitted, PipelineModel, raw.where(F.col("split") == "test"), ml),
+    ]
+
+
+RELOADED = ("Logistic Regression", "SVM (Linear)", "Decision Tree", "Random Forest", "AdaBoost", "GBT (early stop)",
+            "Pipeline")
+
+
+@query("models_reload", sql=f"""{SPLIT_CTE}
+SELECT model, (SELECT count(*) FROM s WHERE split = 'test') AS n_checked, CAST(0 AS BIGINT) AS n_mismatch
+FROM (VALUES {', '.join(f"('{n}')" for n in RELOADED)}) v(model)""")
+def q_models_reload(spark, sf_dir):
+    """Every model, and the pipeline from raw columns to the score, saved, loaded and scored again on
+    all test rows: no row differs."""
+    out = None
+    for name, model, cls, rows, score in _reloads(spark, sf_dir):
+        loaded = cls.load(IO.save_model(model, IO.run_path(spark, "model")))
+        found = IO.reload_check(model, loaded, rows, KEY, score).select(F.lit(name).alias("model"), "*")
+        out = found if out is None else out.union(found)
+    return out
+
+
 RUN_METRICS = EV.M.METRICS
 RUN_SQL = f"""WITH {EV.BEST_CTE},
 bd AS ({EV.BOARD_SQL}),

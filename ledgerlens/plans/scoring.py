@@ -11,10 +11,12 @@ from ledgerlens.operators import explain as X
 from ledgerlens.operators import features as FE
 from ledgerlens.operators import models as MO
 from ledgerlens.operators import split as SP
+from ledgerlens.operators import treeshap as TS
 from ledgerlens.plans.features import FEATURE_SQL, FINANCE_CTE, applicant_finance
 from ledgerlens.plans.modeling import _split, fitted_lr
 from ledgerlens.plans.registry import query, round_doubles
 from ledgerlens.plans.sqlgen import R
+from ledgerlens.session import materialize, once
 from ledgerlens.sources.tables import KEY
 
 
@@ -183,3 +185,64 @@ def q_shap_perm(spark, sf_dir):
     bg = feature_means(tr)
     rows = explained_rows(spark, sf_dir)
     return round_doubles(X.permutation_attributions(model, rows, KEY, MO.FEATURES, names, bg, orders=4), 6)
+
+
+# --------------------------------------------------------------------------- exact attributions of the boosted trees
+
+def tree_paths(spark, sf_dir):
+    from ledgerlens.plans.modeling import fitted_early
+    return TS.of_boosted(fitted_early(spark, sf_dir))
+
+
+def tree_attr(spark, sf_dir):
+    """L1 on the sampled test rows, written once: five tables read it."""
+    def write():
+        _, _, names = _split(spark, sf_dir)
+        rows = explained_rows(spark, sf_dir)
+        return materialize(TS.attributions(tree_paths(spark, sf_dir), rows, KEY, MO.FEATURES, names), "tree-attr")
+    return once(spark, "tree_attr", sf_dir, write)
+
+
+@query("shap_tree")
+def q_shap_tree(spark, sf_dir):
+    """L1 (trees, exact): path-dependent Shapley values of the leaf-wise model's log odds; a row's values
+    and the base value add up to its log odds."""
+    return round_doubles(tree_attr(spark, sf_dir), 6)
+
+
+@query("shap_tree_check")
+def q_shap_tree_check(spark, sf_dir):
+    """L1: per explained row the base value plus all attributions, and the model's own score of it."""
+    from ledgerlens.operators import stages as ST
+    from ledgerlens.plans.modeling import fitted_early
+    base = tree_paths(spark, sf_dir).base
+    sums = tree_attr(spark, sf_dir).groupBy(KEY).agg((F.sum("attribution") + F.lit(base)).alias("log_odds"))
+    scored = ST.BoostedModel.of(fitted_early(spark, sf_dir)).transform(explained_rows(spark, sf_dir)).select(KEY, "score")
+    return round_doubles(sums.join(scored, KEY).select(KEY, (1 / (1 + F.exp(-F.col("log_odds")))).alias("from_parts"), "score"), 6)
+
+
+@query("shap_tree_global")
+def q_shap_tree_global(spark, sf_dir):
+    """L2 for the trees: top 20 by mean |value|."""
+    return round_doubles(X.global_table(tree_attr(spark, sf_dir)), 5)
+
+
+@query("shap_tree_drivers")
+def q_shap_tree_drivers(spark, sf_dir):
+    """L3 for the trees: top-5 drivers with direction."""
+    return round_doubles(X.drivers(X.global_table(tree_attr(spark, sf_dir))), 5)
+
+
+@query("shap_tree_waterfall")
+def q_shap_tree_waterfall(spark, sf_dir):
+    """L4 for the trees: the row of the highest log odds (first key on ties)."""
+    a = tree_attr(spark, sf_dir)
+    top = a.groupBy(KEY).agg(F.sum("attribution").alias("s")).orderBy(F.desc("s"), KEY).limit(1).first()[KEY]
+    return round_doubles(X.waterfall(a, KEY, top, tree_paths(spark, sf_dir).base), 6)
+
+
+@query("shap_tree_beeswarm")
+def q_shap_tree_beeswarm(spark, sf_dir):
+    """L5 for the trees."""
+    a = tree_attr(spark, sf_dir)
+    return round_doubles(X.beeswarm(a, X.global_table(a)), 6)
