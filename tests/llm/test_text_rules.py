@@ -106,24 +106,45 @@ def test_binomial_tail_is_exact():
 
 
 def test_cutoffs_are_strictest_safe_ones(spark):
-    # 2000 good documents per stratum; symbol ratios so that a known share exceeds each cutoff
+    # 2000 good documents per stratum; symbol and doubled-word ratios so that a known share exceeds each cutoff
     rows = []
     for i in range(2000):
-        rows.append((i, "en", 100, 0 if i >= 3 else 90))
-        rows.append((10_000 + i, None, 100, 0 if i >= 1500 else 90))
-    rows += [(50_000, "few", 100, 0)]
-    names = [c for c in quality_rules.COUNT_COLUMNS if c not in ("n_words", "n_symbols")]
+        rows.append((i, "en", 100, 0 if i >= 3 else 90, 0 if i < 1990 else 32))
+        rows.append((10_000 + i, None, 100, 0 if i >= 1500 else 90, 0))
+    rows += [(50_000 + i, "few", 100, 0, 0) for i in range(20)]
+    names = [c for c in quality_rules.COUNT_COLUMNS if c not in ("n_words", "n_symbols", "n_doubled")]
     df = spark.createDataFrame([(*r, *[0] * len(names)) for r in rows],
-                               "doc_id long, lang string, n_words long, n_symbols long, "
+                               "doc_id long, lang string, n_words long, n_symbols long, n_doubled long, "
                                + ", ".join(f"{c} long" for c in names))
-    alpha, delta = 0.14, 0.05
-    got = {(r.stratum, r.rule): r.cutoff
+    alpha, delta = 0.01, 0.05
+    got = {r.stratum: (r.cutoff, r.n_good, r.n_rejected)
            for r in quality_rules.choose_cutoffs(df, "lang", alpha=alpha, delta=delta).collect()}
-    level = delta / (len(quality_rules.RULES) * 3)
-    assert quality_rules.binomial_at_most(3, 2000, alpha / 7) <= level
-    assert got["en", "symbols"] == 0.05
-    assert got[None, "symbols"] == 0.9      # beyond it three quarters would go
-    assert not any(s == "few" for s, _ in got)
+    level = delta / 3
+    assert quality_rules.binomial_at_most(3, 2000, alpha) <= level < quality_rules.binomial_at_most(13, 2000, alpha)
+    # 3 documents over 0.35, 13 over 0.3 or either rule; beyond 0.9 three quarters would go; 20 prove nothing
+    assert got == {"en": (0.35, 2000, 3), None: (0.9, 2000, 0)}
+
+
+@pytest.mark.parametrize("copies", [1, 4000])
+def test_copies_prove_nothing(spark, copies):
+    """One good document without symbols, however often it occurs, is one trial."""
+    prose = " ".join(f"w{i}" for i in range(80))
+    junk = " ".join(f"#{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, prose, "en")] * copies + [(2, junk, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1)] * 3, "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(docs, labels).collect()}
+    assert kept == {1: True, 2: True}
+
+
+def test_equal_texts_of_many_ids_are_one_trial_and_enough_texts_prove(spark):
+    prose = " ".join(f"w{i}" for i in range(80))
+    junk = " ".join(f"#{i}" for i in range(80))
+    for same, wanted in ((True, True), (False, False)):
+        rows = [(i, prose + ("" if same else f" v{i}"), "en") for i in range(300)] + [(999, junk, "en")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+        kept = {r.doc_id: r.kept for r in quality_rules.judge(docs, labels).collect()}
+        assert kept[999] is wanted and all(kept[i] for i in range(300))
 
 
 def test_rules_on_odd_rows(spark):
