@@ -160,17 +160,22 @@ def fit(x_p: np.ndarray, x_u: np.ndarray) -> Model:
 
 def draw_sample(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
                 unlabelled: int = UNLABELLED) -> tuple[np.ndarray, np.ndarray]:
-    """Features of about so many positives and unlabelled training documents."""
-    part = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull() & ~held_out())
+    """Features of about so many positives and unlabelled training documents, each id and text once."""
+    own = shared.free_prefix(docs.columns, "_digest")
+    part = lambda salt: F.pmod(F.xxhash64("doc_id", own, F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias(own)).filter(F.col("doc_id").isNotNull() & ~held_out())
+    # rows that repeat an id and its text are one document, an id's other texts are others
+    pairs = shared.written(texts.select("doc_id", own).distinct(), "training-rows")
     good = labels.select("doc_id", "quality").filter(~held_out()).filter("quality = 1").select("doc_id").distinct()
-    n_good, n_ids = good.count(), ids.count()
-    good = good.filter(part("p") < positives / max(n_good, 1)).withColumn("_kind", F.lit(1))
-    some = ids.distinct().filter(part("u") < unlabelled / max(n_ids, 1)).withColumn("_kind", F.lit(0))
-    # about positives + unlabelled ids of 16 bytes, however large the tables are
-    picked = good.union(some).groupBy("doc_id").agg(F.max("_kind").alias("_p"), (1 - F.min("_kind")).alias("_u"))
-    chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    rows = with_counts(chosen, keep=["_p", "_u"]).toArrow()
+    trusted = pairs.join(good, "doc_id", "left_semi")
+    n_good, n_pairs = trusted.count(), pairs.count()
+    trusted = trusted.filter(part("p") < positives / max(n_good, 1)).withColumn("_kind", F.lit(1))
+    some = pairs.filter(part("u") < unlabelled / max(n_pairs, 1)).withColumn("_kind", F.lit(0))
+    # about positives + unlabelled rows of 24 bytes, however large the tables are
+    picked = trusted.union(some).groupBy("doc_id", own).agg(F.max("_kind").alias("_p"), (1 - F.min("_kind")).alias("_u"))
+    chosen = texts.join(F.broadcast(picked), ["doc_id", own])
+    kept = ["doc_id", own, "_p", "_u"]
+    rows = with_counts(chosen, keep=kept).dropDuplicates(["doc_id", own]).toArrow()
     counts = {c: rows[c].to_numpy() for c in COUNT_COLUMNS}
     x = features(counts) if rows.num_rows else np.zeros((0, len(FEATURES)))
     return x[rows["_p"].to_numpy() == 1], x[rows["_u"].to_numpy() == 1]

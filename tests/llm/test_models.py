@@ -218,3 +218,17 @@ def test_a_target_for_a_rare_value_is_met(spark, monkeypatch, cells):
 def test_weights_are_the_ids_that_are_packed(spark):
     out = mixing.with_topic(odd_docs(spark).select("doc_id", "text"), prefix="_").collect()
     assert len(out) == len(odd_rows()) and all(r._n_tokens == len(tokens.ids_of(r.text)) for r in out)
+
+
+def test_a_hot_id_does_not_fill_the_sample(spark):
+    """An id on thousands of rows, with one text or many, stays within the bound."""
+    words = [f"w{i}" for i in range(50)]
+    rows = [(i, " ".join(words[:5 + i % 40])) for i in range(600)]
+    rows += [(7, "hot text that repeats")] * 5000 + [(9, f"hot id with text {i}") for i in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 1) for i in (1, 2, 3, 4, 7, 9)], "doc_id long, quality int")
+    x_p, x_u = pu_quality.draw_sample(docs, labels, 400, 400)
+    assert 320 <= len(x_p) <= 480 and 320 <= len(x_u) <= 480
+    once = spark.createDataFrame(list(dict.fromkeys(rows)), "doc_id long, text string")
+    y_p, y_u = pu_quality.draw_sample(once, labels, 400, 400)
+    assert sorted(map(tuple, x_p)) == sorted(map(tuple, y_p)) and sorted(map(tuple, x_u)) == sorted(map(tuple, y_u))
