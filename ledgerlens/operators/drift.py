@@ -37,8 +37,10 @@ def decile_edges(ref_long: DataFrame, by: list[str], buckets: int = 10, exact: b
     key = F.concat_ws("\u0001", *[F.col(b).cast("string") for b in by])
     keyed = ref_long.select(*by, key.alias("_k"), v.alias("value"))
     q = S.grouped_quantiles(keyed, "_k", "value", probs)
-    names = keyed.select(*by, "_k").distinct()
-    return names.join(q, "_k").select(*by, F.array_sort(F.array_distinct("q")).alias("edges"))
+    # a feature's names come from its key, not from one more scan of the rows
+    part = F.split("_k", "\u0001", -1)
+    names = [part[i].cast(ref_long.schema[b].dataType).alias(b) for i, b in enumerate(by)]
+    return q.select(*names, F.array_sort(F.array_distinct("q")).alias("edges"))
 
 
 def psi(ref_long: DataFrame, act_long: DataFrame, by: list[str], window: str = "window",

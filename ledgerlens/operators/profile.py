@@ -286,57 +286,68 @@ def box_by_group(df: DataFrame, col: str, group: str, lo: float = 0.01, hi: floa
 
 # --------------------------------------------------------------------------- B15-B19
 
-def _gram_partials(cols: list[str], shift: dict):
-    """mapInPandas body: pairwise-complete sums of centred values per batch."""
+def _moment_partials(cols: list[str]):
+    """mapInPandas body: a task's pairwise-complete means and co-moments, under a shift of its own (the
+    means of its first batch)."""
     k = len(cols)
-    center = np.array([shift.get(c) or 0.0 for c in cols])
 
     def run(batches):
-        acc = None
+        acc, shift = None, None
         for pdf in batches:
-            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan) - center
+            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
             m = ~np.isnan(x)
-            x0 = np.where(m, x, 0.0)
+            if shift is None:
+                shift = np.where(m, x, 0.0).sum(0) / np.maximum(m.sum(0), 1)
+            x0 = np.where(m, x - shift, 0.0)
             mf = m.astype("float64")
             part = (mf.T @ mf, x0.T @ mf, (x0 * x0).T @ mf, x0.T @ x0)
             acc = part if acc is None else tuple(a + b for a, b in zip(acc, part))
         if acc is None:
             return
-        n, sx, sxx, sxy = acc
         ii, jj = np.triu_indices(k, 1)
+        n = acc[0][ii, jj]
+        some = n > 0
+        ii, jj, n = ii[some], jj[some], n[some]
+        sx, sy = acc[1][ii, jj], acc[1][jj, ii]
         yield pd.DataFrame({
-            "i": ii.astype("int32"), "j": jj.astype("int32"),
-            "n": n[ii, jj], "sx": sx[ii, jj], "sy": sx[jj, ii],
-            "sxx": sxx[ii, jj], "syy": sxx[jj, ii], "sxy": sxy[ii, jj]})
+            "i": ii.astype("int32"), "j": jj.astype("int32"), "n": n, "mx": shift[ii] + sx / n, "my": shift[jj] + sy / n,
+            "xx": acc[2][ii, jj] - sx * sx / n, "yy": acc[2][jj, ii] - sy * sy / n, "xy": acc[3][ii, jj] - sx * sy / n})
     return run
 
 
+def _chan(a, b):
+    """Two parts' counts, means and co-moments as those of their union."""
+    n = a["n"] + b["n"]
+    dx, dy, share = b["mx"] - a["mx"], b["my"] - a["my"], a["n"] * b["n"] / n
+    return F.struct(
+        n.alias("n"), (a["mx"] + dx * b["n"] / n).alias("mx"), (a["my"] + dy * b["n"] / n).alias("my"),
+        (a["xx"] + b["xx"] + dx * dx * share).alias("xx"), (a["yy"] + b["yy"] + dy * dy * share).alias("yy"),
+        (a["xy"] + b["xy"] + dx * dy * share).alias("xy"))
+
+
 def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for every column pair (x before y).
+    """Pairwise-complete Pearson r for every column pair (x before y), in one pass.
 
-    One small job fetches the column means (k doubles) used as shifts; each
-    task then folds its rows into k x k sufficient statistics with two matrix
-    products (Arrow batches, numpy), emits k(k-1)/2 rows, and a grouped sum
-    merges them. Shuffle volume = tasks x k^2, independent of the row count.
+    Each task folds its rows into k x k co-moments about a shift of its own with two matrix
+    products (Arrow batches, numpy) and emits k(k-1)/2 rows; a pair's rows, one per task, merge by
+    Chan's rule, which loses nothing to the size of the means. Shuffle volume = tasks x k^2, independent of the row count.
     """
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first().asDict()
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(
-        _gram_partials(cols, means), schema)
-    tot = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    schema = "i int, j int, n double, mx double, my double, xx double, yy double, xy double"
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(_moment_partials(cols), schema)
+    own = F.array_sort(F.collect_list(F.struct("n", "mx", "my", "xx", "yy", "xy")))     # a row per task
+    none = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mx", "my", "xx", "yy", "xy")])
+    tot = parts.groupBy("i", "j").agg(F.aggregate(own, none, _chan).alias("t"))
+    # pairs that no row has both values of
+    spark = df.sparkSession
+    pairs = spark.createDataFrame([(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))], "i int, j int")
+    tot = pairs.join(tot, ["i", "j"], "left").select("i", "j", F.coalesce("t", none).alias("t")).select("i", "j", "t.*")
     n = F.col("n")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
     # a column constant on the pairwise rows has zero variance up to rounding
-    # noise; the tolerance is relative to the raw magnitude sum((x0 + shift)^2)
-    shifts = F.array(*[F.lit(float(means.get(c) or 0.0)) for c in cols])
-    mx = F.element_at(shifts, F.col("i") + 1)
-    my = F.element_at(shifts, F.col("j") + 1)
-    tol_x = 1e-12 * (F.col("sxx") + 2 * mx * F.col("sx") + n * mx * mx)
-    tol_y = 1e-12 * (F.col("syy") + 2 * my * F.col("sy") + n * my * my)
-    r = F.when((vx > tol_x) & (vy > tol_y), cov / F.sqrt(vx * vy))
-    names = F.array(*[F.lit(c) for c in cols])
+    # noise: a deviation of less than 1e-12 of the mean counts as none
+    tol_x = 1e-24 * (F.col("xx") + n * F.col("mx") * F.col("mx"))
+    tol_y = 1e-24 * (F.col("yy") + n * F.col("my") * F.col("my"))
+    r = F.when((F.col("xx") > tol_x) & (F.col("yy") > tol_y), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))
+    names = F.lit(list(cols))
     return tot.select(
         F.element_at(names, F.col("i") + 1).alias("x"),
         F.element_at(names, F.col("j") + 1).alias("y"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.stats import fround
+from ledgerlens.operators import cells as C
 from ledgerlens.operators import knn as K
 from ledgerlens.plans.sqlgen import R
 from ledgerlens.plans.registry import query
@@ -67,3 +68,14 @@ def q_smote(spark, sf_dir):
     out = K.smote(points(spark, sf_dir), "y", MINORITY, k=5)
     return out.select("sample_id", "base_id", "nn_id", fround("gap", 6).alias("gap"),
                       fround(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 6).alias("vec_sum"), "y")
+
+
+@query("knn_cells", sql="""SELECT CAST(5 * count(*) AS BIGINT) AS n_pairs, true AS recall_over_90 FROM embeddings
+WHERE embedding IS NOT NULL AND vec_id IS NOT NULL""")
+def q_knn_cells(spark, sf_dir):
+    """H4/H5 at scale: five neighbours of every vector by an inverted file, as many cells looked into as a sample
+    of queries needs, and their recall against the exact way."""
+    p = points(spark, sf_dir)
+    cells = C.build(p, cell=128)
+    found = C.neighbours(cells, p, 5, C.probes_for(cells, p, 5))
+    return C.recall(found, K.knn(p, p, 5)).select("n_pairs", (F.col("recall") > 0.9).alias("recall_over_90"))

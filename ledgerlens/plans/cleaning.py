@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.stats import fround
 from ledgerlens.operators import features as FE
 from ledgerlens.operators import prep as PR
+from ledgerlens.operators import sketches as SK
 from ledgerlens.operators import split as SP
 from ledgerlens.plans.features import FEATURE_SQL, FINANCE_CTE, applicant_finance
 from ledgerlens.plans.registry import query, round_doubles
@@ -224,6 +225,22 @@ def q_cardinality(spark, sf_dir):
     return PR.cardinality(c.join(n, "c_nationkey", "left"), ["c_mktsegment", "n_name"])
 
 
+SKETCHED = ["o_orderkey", "o_custkey", "o_orderpriority"]
+
+
+@query("cardinality_hll", sql=f"""{' UNION ALL '.join(f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS n_unique, true AS close FROM orders" for c in SKETCHED)}""")
+def q_cardinality_hll(spark, sf_dir):
+    """D5, approximate option: sketches per order month, written, merged over the months; close: within three
+    standard errors of the exact count."""
+    orders = read_table(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    parts = materialize(SK.distinct_sketches(orders, SKETCHED, ("month",)), "hll")
+    about = SK.distinct_counts(parts).withColumnRenamed("n_unique", "about")
+    exact = PR.cardinality(orders, SKETCHED)
+    error = 3 * 1.04 / 2 ** (SK.LG_K / 2)
+    return exact.join(about, "column_name").select(
+        "column_name", "n_unique", (F.abs(F.col("about") - F.col("n_unique")) <= error * F.col("n_unique") + 1).alias("close"))
+
+
 NULLABLE = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "DAYS_EMPLOYED_CLEAN", "YEARS_EMPLOYED",
             "EMPLOYMENT_LIFE_FRACTION", "EXT_SOURCE_MEAN", "EXT_SOURCE_STD", "EXT_SOURCE_WEIGHTED"]
 FE_CTE = f"""WITH {FINANCE_CTE[5:]},

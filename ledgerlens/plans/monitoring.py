@@ -10,6 +10,7 @@ from ledgerlens.operators import drift as D
 from ledgerlens.operators import fairness as FA
 from ledgerlens.operators import features as FE
 from ledgerlens.operators import profile as P
+from ledgerlens.operators import sketches as SK
 from ledgerlens.operators import split as SP
 from ledgerlens.plans.evaluation import BEST_CTE, scored
 from ledgerlens.plans.features import FEATURE_SQL, FINANCE_CTE, applicant_finance
@@ -174,6 +175,27 @@ def q_psi_feature(spark, sf_dir):
     return round_doubles(D.psi(ref, ev, ["feature"], "win"))
 
 
+@query("psi_sketches", sql=f"""SELECT *, true AS sketches_agree FROM ({ORACLE_PSI_FEATURE})""")
+def q_psi_sketches(spark, sf_dir):
+    """M8 from stored sketches: a sketch of events.value per day is written; the first week's merge to the reference,
+    each week's to a window, and no row is read again. They agree with the exact PSI up to the sketches' rank error."""
+    ev = read_table(spark, sf_dir, "events").select(
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"), F.lit("value").alias("feature"), "value")
+    days = materialize(SK.value_sketches(ev.withColumn("day", F.floor(F.col("s") / 86400)), ("day",)), "kll")
+    days = days.withColumn("win", F.floor(F.col("day") / 7).cast("bigint"))
+    first = days.agg(F.min("win").alias("_w0"))
+    ref = days.join(F.broadcast(first), F.col("win") == F.col("_w0")).drop("_w0")  # one-row side
+    edges = materialize(SK.sketch_edges(ref), "edges")
+    about = D.psi_from_counts(edges, SK.sketch_counts(ref, edges).withColumnRenamed("n", "e_n"),
+                              SK.sketch_counts(days, edges, ("win",)).withColumnRenamed("n", "a_n"),
+                              days.select("feature", "win").distinct(), ["feature"], "win")
+    both = q_psi_feature(spark, sf_dir).join(about.withColumnRenamed("psi", "_about"), ["feature", "win"])
+    return both.select("feature", "win", "psi", (F.abs(F.col("psi") - F.col("_about")) <= PSI_ERROR).alias("sketches_agree"))
+
+
+#: How far the PSI of stored sketches may be from that of the rows (their rank error is under half a percent).
+PSI_ERROR = 0.02
+
 MONITOR = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_FAM_MEMBERS",
            "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_REGISTRATION", "DAYS_ID_PUBLISH", "EXT_SOURCE_1",
            "EXT_SOURCE_2", "EXT_SOURCE_3", "DEBT_BURDEN_RATIO", "CREDIT_INCOME_RATIO", "ANNUITY_CREDIT_RATIO"]

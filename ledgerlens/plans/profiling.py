@@ -217,8 +217,7 @@ pr AS (SELECT a.column_name AS x, b.column_name AS y, count(*) AS n_pairs,
 
 
 def corr_long_spark(spark, sf_dir):
-    # read twice (means, products), so the roll-up is written once
-    return P.correlation_long(materialize(applicant_base(spark, sf_dir).select(*CORR_COLS)), CORR_COLS)
+    return P.correlation_long(applicant_base(spark, sf_dir).select(*CORR_COLS), CORR_COLS)
 
 
 @query("corr_long", sql=f"""{CORR_LONG_CTE}
