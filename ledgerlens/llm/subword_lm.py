@@ -46,8 +46,9 @@ VOCABULARY = "piece_bpe_32k.model"
 FOLDS, HELD = 7, 2
 BLOCK_BYTES = 16 << 20
 ROUNDS, PRIOR = 2, 10_000.0
-#: The mark of a word's begin, as in the vocabulary file.
-MARK = "▁"
+#: The mark of a word's begin, as in the vocabulary file, and its symbol in a lattice: not a byte, so that
+#: the same character inside a word is spelled as any other.
+MARK, BEGIN = "▁", 256
 #: Share of all first probability that single bytes get.
 BYTE_SHARE = 1e-4
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -59,7 +60,7 @@ class Pieces:
     """Pieces, and beginnings of pieces, by the hash of their bytes. The last index is
     the end of a text."""
 
-    spelled: list[bytes]
+    spelled: list[tuple[int, ...]]      # bytes, or BEGIN and bytes
     log_p: np.ndarray
 
     def __post_init__(self):
@@ -96,7 +97,7 @@ class Pieces:
         return len(self.spelled)
 
 
-def _hash_of(piece: bytes) -> int:
+def _hash_of(piece: tuple[int, ...]) -> int:
     h = 0
     for b in piece:
         h = ((h + b + 1) * int(MULTIPLIER)) & ((1 << 64) - 1)
@@ -104,6 +105,11 @@ def _hash_of(piece: bytes) -> int:
     return h
 
 
+def symbols_of(word: str) -> tuple[int, ...]:
+    """A word as its lattice reads it."""
+    return (BEGIN, *word.encode())
+
+
 def load_pieces(name: str = VOCABULARY) -> Pieces:
     """Pieces of a sentencepiece file and their first probabilities."""
     import sentencepiece
@@ -116,14 +122,17 @@ def load_pieces(name: str = VOCABULARY) -> Pieces:
         text = model.id_to_piece(i)
         # the mark within a piece stands for a space, which no word has
         if MARK not in text[1:] and len(text.encode()) > 1:
-            spelled.append(text.encode())
+            spelled.append(symbols_of(text[1:]) if text[:1] == MARK else tuple(text.encode()))
             score.append(model.get_score(i))
         elif len(text.encode()) == 1:
             continue                      # single bytes are pieces below
+    if (BEGIN,) not in spelled:               # a word's first piece may be any
+        spelled.append((BEGIN,))
+        score.append(min(score))
     score = np.array(score)
     ranks = (score == np.round(score)).all()
     weight = 1 / (2.7 - score) if ranks else np.exp(score - score.max())
-    spelled += [bytes([b]) for b in range(256)]
+    spelled += [(b,) for b in range(256)]
     first = np.concatenate((weight / weight.sum() * (1 - BYTE_SHARE), np.full(256, BYTE_SHARE / 256)))
     first = np.concatenate((first * (1 - 1e-3), [1e-3]))
     return Pieces(spelled, np.log(first))
@@ -172,7 +181,6 @@ def backward(found: list[list], rows: int, log_p: np.ndarray) -> np.ndarray:
 
 def by_length(words: pa.Array, most: int = 1 << 21):
     """(rows, characters) of equally long words with the mark before them."""
-    mark = np.frombuffer(MARK.encode(), np.uint8)
     offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
     data = np.frombuffer(words.buffers()[2], np.uint8)
     size = np.diff(offsets)
@@ -181,9 +189,9 @@ def by_length(words: pa.Array, most: int = 1 << 21):
         step = max(1, most // ((int(n) + 3) * 8))
         for k in range(0, len(own), step):
             rows = own[k:k + step]
-            chars = np.empty((len(rows), n + len(mark)), np.uint64)
-            chars[:, :len(mark)] = mark
-            chars[:, len(mark):] = data[offsets[rows][:, None] + np.arange(n)]
+            chars = np.empty((len(rows), n + 1), np.uint64)
+            chars[:, 0] = BEGIN
+            chars[:, 1:] = data[offsets[rows][:, None] + np.arange(n)]
             yield rows, chars
 
 
@@ -324,7 +332,10 @@ def score_documents(docs: DataFrame, pieces: Pieces | None = None, rounds: int =
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=["word", "c", "log_p"])
 
     figures = words.mapInArrow(spell, "word string, c long, log_p double")
-    rows = blocks.join(figures, "word", "left").select("block", "c", "log_p", "docs")
+    # listings have no word and take no part in the join
+    listings = blocks.filter("word is null").select("block", F.lit(None).cast("long").alias("c"),
+                                                    F.lit(None).cast("double").alias("log_p"), "docs")
+    rows = blocks.filter("word is not null").join(figures, "word").select("block", "c", "log_p", "docs").union(listings)
 
     def add_up(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.combine_chunks()

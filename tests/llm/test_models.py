@@ -31,16 +31,37 @@ def test_forward_sums_all_segmentations():
     words = ["a", "the", "then", "théo", "漢", "x1", "the", "hello"]
     got = subword_lm.word_log_p(pa.array(words), pieces)
     for w, lp in zip(words, got):
-        assert lp == pytest.approx(math.log(sum(segmentations((subword_lm.MARK + w).encode(), p))), abs=1e-9)
+        assert lp == pytest.approx(math.log(sum(segmentations(subword_lm.symbols_of(w), p))), abs=1e-9)
     assert np.exp(pieces.log_p).sum() == pytest.approx(1)
 
 
+def test_the_mark_inside_a_word_begins_no_piece(spark):
+    pieces = subword_lm.load_pieces()
+    p = dict(zip(pieces.spelled, np.exp(pieces.log_p)))
+    assert all(subword_lm.BEGIN not in s[1:] for s in p)
+    one, a, the = subword_lm.word_log_p(pa.array(["a▁the", "a", "the"]), pieces)
+    assert one == pytest.approx(math.log(sum(segmentations(subword_lm.symbols_of("a▁the"), p))))
+    assert one < a + the - 1
+
+
+def test_scores_end_to_end_equal_listed_segmentations(spark):
+    """Without fitting, a text's score is the product over its words and the end."""
+    pieces = subword_lm.load_pieces()
+    p = dict(zip(pieces.spelled, np.exp(pieces.log_p)))
+    texts = {1: "The  then\tthe", 2: "a▁b", 3: "théo x1 the", 4: None, 5: "漢"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    end = float(pieces.log_p[pieces.end])
+    for r in subword_lm.score_documents(docs, rounds=0).collect():
+        logs = [math.log(sum(segmentations(subword_lm.symbols_of(w), p))) for w in WORD.findall(lower(texts[r.doc_id] or ""))]
+        assert r.score == pytest.approx((math.fsum(logs) + end) / math.log(10))
+
+
 def test_expected_counts_spell_the_words():
     pieces = subword_lm.load_pieces()
     words, times = pa.array(["the", "then", "漢字", "x" * 50]), np.array([3.0, 1.0, 2.0, 1.0])
     got = subword_lm.expected_counts(words, times, pieces)
     size = np.array([len(s) for s in pieces.spelled] + [0])
-    want = sum(t * len((subword_lm.MARK + w).encode()) for w, t in zip(words.to_pylist(), times))
+    want = sum(t * len(subword_lm.symbols_of(w)) for w, t in zip(words.to_pylist(), times))
     assert (got * size).sum() == pytest.approx(want)
 
 
