@@ -30,6 +30,8 @@ from ledgerlens.llm.textbytes import slices, words_of
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 VOTE_ROWS = 1 << 15
+#: Text bytes that a task hashes at a time; a longer text is read whole.
+SLICE = 1 << 20
 
 
 def fingerprints_of(texts, size: int = SHINGLE) -> np.ndarray:
@@ -68,7 +70,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", keep: list[str] | None
     schema = docs.select(*keep).schema.add(name, "long")
 
     def mark(batches):
-        for batch, texts in slices(batches, text):
+        for batch, texts in slices(batches, text, SLICE):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in keep]
                 + [pa.array(fingerprints_of(texts, size).view(np.int64))], names=[*keep, name])
