@@ -94,11 +94,3 @@ def domain_features(df: DataFrame, groups=tuple(GROUPS)) -> DataFrame:
     for g in groups:
         new.update(GROUPS[g](cols))
     return df.withColumns(new)
-
-
-def feature_names(df: DataFrame, groups=tuple(GROUPS)) -> list[str]:
-    cols = set(df.columns)
-    names = []
-    for g in groups:
-        names += list(GROUPS[g](cols))
-    return names

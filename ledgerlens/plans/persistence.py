@@ -133,6 +133,7 @@ bd AS ({EV.BOARD_SQL}),
 tr AS ({EV.threshold_rows_sql()}),
 runs AS (SELECT bd.*, true AS has_model FROM bd
          UNION ALL SELECT tr.*, false FROM tr WHERE model NOT IN (SELECT model FROM bd))"""
+# fixed values: the run log's imbalance and metric labels, the same for every run
 PARAMS_SQL = (f"model AS model_type, {EV.R('(SELECT f1_threshold FROM bt)', 6)} AS optimal_threshold, 1 AS n_features, "
               "'random_undersampling_2:1' AS imbalance_strategy, 'PR-AUC' AS primary_metric")
 
