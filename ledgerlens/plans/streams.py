@@ -9,10 +9,12 @@ from ledgerlens.plans import linear as LIN
 from ledgerlens.plans import monitoring as MON
 from ledgerlens.plans import scoring as SC
 from ledgerlens.plans.registry import query, round_doubles
+from ledgerlens.session import materialize
 from ledgerlens.sources.io import run_path
 from ledgerlens.sources.tables import KEY, read_table
 from ledgerlens.streaming.drift import windowed_bin_counts
 from ledgerlens.streaming.scoring import score_stream
+from ledgerlens.streaming.windows import closed_windows
 
 
 @query("stream_score", sql=SC.ORACLE_RULE_SCORE)
@@ -41,10 +43,8 @@ def q_stream_requests(spark, sf_dir):
 WEEK = MON.WEEK
 
 
-@query("stream_psi", sql=MON.ORACLE_PSI_FEATURE)
-def q_stream_psi(spark, sf_dir):
-    """Events.value binned against the first week's decile edges in a
-    watermarked 7-day event-time aggregation; PSI per window from the counts."""
+def _reference(spark, sf_dir):
+    """(events by week, the first week's decile edges, its counts per bin)."""
     ev = MON.events_windows(spark, sf_dir)
     first = ev.agg(F.min("win").alias("_w0"))
     ref = ev.join(F.broadcast(first), F.col("win") == F.col("_w0")).select("feature", "value")  # one-row side
@@ -52,6 +52,14 @@ def q_stream_psi(spark, sf_dir):
     ref_c = (ref.join(F.broadcast(edges), "feature")
              .select("feature", D.bin_index(F.col("value"), F.col("edges")).alias("bin"))
              .where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("e_n")))
+    return ev, edges, ref_c
+
+
+@query("stream_psi", sql=MON.ORACLE_PSI_FEATURE)
+def q_stream_psi(spark, sf_dir):
+    """Events.value binned against the first week's decile edges in a
+    watermarked 7-day event-time aggregation; PSI per window from the counts."""
+    ev, edges, ref_c = _reference(spark, sf_dir)
     base = run_path(spark, "stream_psi")
     schema = read_table(spark, sf_dir, "events", normalise=False).schema
     counts = windowed_bin_counts(spark, sf_dir, "events.parquet", schema, edges.select("edges"),
@@ -61,3 +69,19 @@ def q_stream_psi(spark, sf_dir):
                           "bin", F.col("n").alias("a_n"))
     keys = ev.select("feature", "win").distinct()
     return round_doubles(D.psi_from_counts(edges, ref_c, act_c, keys, ["feature"], "win"))
+
+
+@query("stream_psi_closed", sql=f"""SELECT * FROM ({MON.ORACLE_PSI_FEATURE}) p
+WHERE (win + 1) * {WEEK} <= (SELECT epoch(max(ts)) - 86400 FROM events)""")
+def q_stream_psi_closed(spark, sf_dir):
+    """W2 with managed state: the PSI of the weeks that the watermark (one day) has passed."""
+    ev, edges, ref_c = _reference(spark, sf_dir)
+    base = run_path(spark, "stream_psi_closed")
+    schema = read_table(spark, sf_dir, "events", normalise=False).schema
+    counts, _ = closed_windows(spark, sf_dir, "events.parquet", schema, edges.select("edges"), f"{base}/counts",
+                               f"{base}/checkpoint")
+    act_c = materialize(counts.select(F.lit("value").alias("feature"),
+                                      F.floor(F.unix_seconds("window_start") / WEEK).cast("bigint").alias("win"),
+                                      "bin", F.col("n").alias("a_n")), "closed")
+    keys = act_c.select("feature", "win").distinct()
+    return round_doubles(D.psi_from_counts(edges, ref_c, act_c, keys, ["feature"], "win"))
