@@ -9,8 +9,9 @@ hash of itself and k alone, r and c from Gamma(2, 1) and b uniformly; then
 
 and the term with the least a gives the sample (term, t). Two texts have equal samples
 with probability sum(min(S1, S2)) / sum(max(S1, S2)), their generalised Jaccard
-similarity. A fingerprint holds SAMPLES of them, each as a 16-bit code of (term, t);
-code 0 is kept for texts without terms. The share of equal codes is the likeness.
+similarity. A fingerprint holds SAMPLES of them, each as an 8-bit code of (term, t); code 0 is kept
+for texts without terms. Different samples share a code once in CODES times, so the share s of equal
+codes gives the likeness (s - 1 / CODES) / (1 - 1 / CODES), and 0 where that is negative.
 
 At scale: draws are made once per distinct (term, weight) of a slice of texts, not per
 text. Documents meet the next one in ascending doc_id order by one range shuffle; a
@@ -41,11 +42,11 @@ from pyspark.sql import types as T
 from ledgerlens.llm import shared
 from ledgerlens.llm.textbytes import texts_of, words_of
 
-SAMPLES = 128
+SAMPLES, CODES = 128, 255
 TERM_BYTES = 16
 SEED = 42
 #: Text bytes that a task works on at a time, and rows of draws and of terms held in one array.
-SLICE, DRAWS, ROWS = 4 << 20, 1 << 8, 1 << 9
+SLICE, DRAWS, ROWS = 1 << 20, 1 << 8, 1 << 9
 FIRST, LAST = "first", "last"
 
 
@@ -123,9 +124,9 @@ def terms_of(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def fingerprints_of(texts, samples: int = SAMPLES) -> np.ndarray:
-    """(texts, samples) 16-bit codes."""
+    """(texts, samples) codes: 0 without terms, else 1 to CODES."""
     doc, kind, term, weight = terms_of(texts)
-    out = np.zeros((len(texts), samples), np.uint16)
+    out = np.zeros((len(texts), samples), np.uint8)
     if not len(doc):
         return out
     keys = np.empty((len(term), samples), np.int64)
@@ -139,12 +140,13 @@ def fingerprints_of(texts, samples: int = SAMPLES) -> np.ndarray:
         best = np.minimum.reduceat(keys[kind[k:k + ROWS]], cut, axis=0)
         least[own[cut]] = np.minimum(least[own[cut]], best)
     some = np.bincount(doc, minlength=len(texts)) > 0
-    out[some] = (least[some] & 0xFFFF).astype(np.uint16)
+    out[some] = 1 + (least[some] & 0xFFFF) % CODES
     return out
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).mean(axis=-1)
+    share = (a == b).mean(axis=-1)
+    return np.clip((share - 1 / CODES) / (1 - 1 / CODES), 0, 1)
 
 
 def edited(text: str, following: str) -> str:
@@ -158,11 +160,11 @@ def _marks(texts: list[str]) -> np.ndarray:
 
 
 def _binary(codes: np.ndarray) -> pa.Array:
-    return pa.array([row.tobytes() for row in codes.astype(">u2")], pa.binary())
+    return pa.array([row.tobytes() for row in codes], pa.binary())
 
 
 def _codes(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), ">u2").astype(np.uint16).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
 def _rows(ids: pa.Array, texts: list[str], marks: np.ndarray, other: list[str], other_marks: np.ndarray,
@@ -195,8 +197,8 @@ def _result_schema(id_type: T.DataType) -> T.StructType:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, ...) -> doc_id, n_chars, edited_sha256, fp, edited_fp (binary, two
-    bytes a sample), near_edited, near_next: each document against its edited text, which takes
+    """docs (doc_id, text, ...) -> doc_id, n_chars, edited_sha256, fp, edited_fp (binary, a
+    byte a sample), near_edited, near_next: each document against its edited text, which takes
     its end from the next document, and against that document."""
     spark = docs.sparkSession
     result = _result_schema(docs.schema["doc_id"].dataType)
