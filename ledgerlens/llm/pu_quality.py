@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import shared
-from ledgerlens.llm.quality_rules import with_counts
+from ledgerlens.llm.quality_rules import SLICE, with_counts
 from ledgerlens.llm.textbytes import COUNT_COLUMNS, counts_of, slices
 
 FOLDS = 5
@@ -191,7 +191,7 @@ def with_score(docs: DataFrame, model: Model, name: str = "score", keep: list[st
     schema = docs.select(*keep).schema.add(name, "double")
 
     def score(batches):
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, "text", SLICE):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in keep]
                 + [pa.array(model.score(features(counts_of(texts))))], names=[*keep, name])

@@ -48,6 +48,8 @@ RULES = {
 GRID = [0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.65, 0.6, 0.55, 0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2,
         0.15, 0.1, 0.05]
 ALPHA, DELTA = 0.02, 0.05
+#: Text bytes that a task counts at a time; a longer text is read whole.
+SLICE = 1 << 20
 #: Chosen cutoffs up to this many strata go to every task; more are joined.
 MAP_STRATA = 4096
 
@@ -66,7 +68,7 @@ def with_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = No
     held = dict.fromkeys([*keep, text])
 
     def count(batches):
-        for batch, texts in slices(batches, text):
+        for batch, texts in slices(batches, text, SLICE):
             found = counts_of(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in keep]
