@@ -15,6 +15,7 @@ from ledgerlens.operators import treeshap as TS
 from ledgerlens.plans.features import FEATURE_SQL, FINANCE_CTE, applicant_finance
 from ledgerlens.plans.modeling import _split, fitted_lr
 from ledgerlens.plans.registry import query, round_doubles
+from ledgerlens.plans.splits import SPLIT_CTE
 from ledgerlens.plans.sqlgen import R
 from ledgerlens.session import materialize, once
 from ledgerlens.sources.tables import KEY
@@ -221,6 +222,15 @@ def q_shap_tree_check(spark, sf_dir):
     return round_doubles(sums.join(scored, KEY).select(KEY, (1 / (1 + F.exp(-F.col("log_odds")))).alias("from_parts"), "score"), 6)
 
 
+@query("shap_tree_adds_up", sql=f"""{SPLIT_CTE}
+SELECT least(count(*), 2000) AS n_rows, true AS adds_up FROM s WHERE split = 'test'""")
+def q_shap_tree_adds_up(spark, sf_dir):
+    """L1: whether every explained row's base value and attributions give the model's score of it."""
+    parts = q_shap_tree_check(spark, sf_dir)
+    return parts.agg(F.count(F.lit(1)).alias("n_rows"),
+                     F.bool_and(F.abs(F.col("from_parts") - F.col("score")) <= 1e-6).alias("adds_up"))
+
+
 @query("shap_tree_global")
 def q_shap_tree_global(spark, sf_dir):
     """L2 for the trees: top 20 by mean |value|."""
