@@ -21,6 +21,8 @@ and id never enter a score.
 Nulls: a null text is empty and is scored; null labels are ignored; a null id is
 scored and counts as not held out. Rows that repeat an id get the same score.
 Without any positives all scores are 0.5.
+Very long texts are counted whole. Rows that repeat an id and its text are one training document, an id's
+other texts are others.
 """
 
 from __future__ import annotations

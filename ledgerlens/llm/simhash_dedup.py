@@ -11,7 +11,7 @@ distance, and joined to components.
 Nulls: a null text is empty and has fingerprint zero, as any text without words.
 A document with a null id gets a fingerprint and the component of its class, null
 if no document there has an id. Rows that repeat an id with another text are
-documents of their own.
+documents of their own. Very long texts are hashed whole, in arrays of their own size.
 """
 
 from __future__ import annotations
@@ -131,7 +131,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
 
 def keep_first(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The document with the smallest id of every component, with its columns. Rows that
-    repeat an id and its text count as one document, those that repeat an id with another
+    repeat an id and its text count as one document (if they differ in other columns, any of them stays), those that repeat an id with another
     text as documents of their own; those without id all stay."""
     lost = (_found(docs, size, radius).filter("doc_id is not null and row <> first")
             .select("row.doc_id", "row.digest").distinct())
