@@ -198,3 +198,11 @@ def test_rows_a_microsecond_apart_are_no_duplicates(spark):
         df = spark.sql(f"SELECT cast(t AS {kind}) AS ts, 1 AS n FROM VALUES ('2024-01-01 00:00:00.000001'), "
                        "('2024-01-01 00:00:00.000002'), ('2024-01-01 00:00:00.000002') AS x(t)")
         assert profile.duplicate_rows(df, "x").first().n_duplicates == 1, kind
+
+
+def test_rollups_shuffle_rows_not_partial_sums(spark):
+    from ledgerlens.plans.rollups import orders_rollup_two_stage
+    plan = orders_rollup_two_stage(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert len(below) >= 2                      # lineitem, and the orders with their lines
+    assert not any("Aggregate" in line for line in below)
