@@ -139,3 +139,18 @@ def test_missing_values_and_one_class(spark):
     assert model.start == 10.0 and all(len(t.feature) >= 1 for t in model.trees)
     with pytest.raises(ValueError):
         H.train(table, [H.Fit(H.Params(), frozenset({5}))])
+
+
+def test_a_task_alone_subtracts_tables(spark, monkeypatch):
+    """Several blocks in one task: a child's table left after its sibling's gives the trees that counting gives."""
+    x, y = data()
+    monkeypatch.setattr(H, "BLOCK_ROWS", 100)
+    fit = H.Fit(H.Params(rounds=4, max_leaves=20, max_depth=6, min_leaf=3, rows=0.8, columns=0.8), frozenset({0}))
+    grown = {}
+    for least in (1, 1000):
+        monkeypatch.setattr(H, "SUBTRACT_ROWS", least)
+        table = H.binned(frame(spark, x, y, np.zeros(500)), "features", "label", "id", F.col("grp"))
+        assert table.blocks.count() > 1 and table.rdd().getNumPartitions() == 1
+        grown[least], = H.train(table, [fit])
+    for a, b in zip(grown[1].trees, grown[1000].trees):
+        assert a.rows.tolist() == b.rows.tolist() and a.value == pytest.approx(b.value)
