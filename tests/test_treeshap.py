@@ -81,3 +81,17 @@ def test_a_single_leaf_explains_nothing(spark):
     tree = H.Tree(*[np.array([v]) for v in (-1, 0, 0, 0, 2.5, 10.0, 0.0)], depth=0)
     paths = TS.paths_of(TS.tree_leaves(tree.feature, tree.cut, tree.left, tree.right, tree.value, tree.rows), 3, 1.0)
     assert paths.base == 3.5 and (TS.values_of(paths, np.ones((2, 3))) == 0).all()
+
+
+def test_drawn_rows_are_explained_by_many_tasks(spark, monkeypatch):
+    """The draw ends in one partition; its attributions take more than one task."""
+    from ledgerlens.plans import scoring as SC
+    from ledgerlens.sources.tables import KEY
+    seen = []
+    monkeypatch.setattr(SC, "_split", lambda s, d: (None, s.range(500).withColumnRenamed("id", KEY), ["a"]))
+    monkeypatch.setattr(SC, "tree_paths", lambda s, d: None)
+    monkeypatch.setattr(SC, "once", lambda s, name, d, make: make())
+    monkeypatch.setattr(SC, "materialize", lambda df, name: df)
+    monkeypatch.setattr(SC.TS, "attributions", lambda paths, rows, *rest: seen.append(rows) or rows)
+    assert SC.tree_attr(spark, "x").count() == 500
+    assert seen[0].rdd.getNumPartitions() > 1
