@@ -154,3 +154,21 @@ def test_a_task_alone_subtracts_tables(spark, monkeypatch):
         grown[least], = H.train(table, [fit])
     for a, b in zip(grown[1].trees, grown[1000].trees):
         assert a.rows.tolist() == b.rows.tolist() and a.value == pytest.approx(b.value)
+
+
+def test_a_round_adds_its_trees_to_the_margins_once(spark, monkeypatch):
+    """Spread blocks: the kept margins hold every tree so far, and equal those made anew."""
+    monkeypatch.setattr(H, "TASK_ROWS", 128)
+    monkeypatch.setattr(H, "REFRESH", 3)
+    x, y = data(300)
+    table = H.binned(frame(spark, x, y, np.zeros(300)), "features", "label", "id", F.col("grp"))
+    run = H._Run(H.Fit(H.Params(), frozenset({0})), table)
+    source = H._Spread(table.rdd(), [run], 64, 1)
+    for k in range(5):
+        source.begin_round([run])
+        assert source.held == [k]
+        kept = source.rows.map(lambda b: b[-1]).collect()
+        assert sum(m.shape[1] for m in kept) == 300
+        assert np.concatenate(kept, axis=1)[0] == pytest.approx(run.start + sum(range(1, k + 1)))
+        one = np.ones(1)
+        run.trees.append(H.Tree(-one.astype(int), one, one, one, one * (k + 1), one, one, 0))
