@@ -172,3 +172,44 @@ def test_a_round_adds_its_trees_to_the_margins_once(spark, monkeypatch):
         assert np.concatenate(kept, axis=1)[0] == pytest.approx(run.start + sum(range(1, k + 1)))
         one = np.ones(1)
         run.trees.append(H.Tree(-one.astype(int), one, one, one, one * (k + 1), one, one, 0))
+
+
+def test_a_stump_reweighs_the_rows_once(monkeypatch):
+    """The kept weights are those of all stumps so far: a round looks at the rows once a stump."""
+    rng = np.random.default_rng(1)
+    bins = rng.integers(0, 8, (400, 5)).astype(np.uint8)
+    label = ((bins[:, 0] > 3) ^ (rng.random(400) < 0.3)).astype(float)
+    seen, misses = [], H._misses
+    monkeypatch.setattr(H, "_misses", lambda s, *rest: seen.append(s) or misses(s, *rest))
+
+    class Rows:
+        """One partition, worked on in this process."""
+
+        ctx = None
+
+        def __init__(self, items=None):
+            self.items = items
+
+        def getNumPartitions(self):
+            return 1
+
+        def mapPartitions(self, f):
+            return Rows(list(f(iter([([(0, 400)], bins, label, np.zeros(400, np.int16))]))))
+
+        def collect(self):
+            return self.items
+
+    class Table:
+        edges, counts = [np.arange(7.0)] * 5, {(0, 0): int((label == 0).sum()), (0, 1): int(label.sum())}
+
+        def rdd(self):
+            return Rows()
+
+    found = H.train_stumps(Table(), frozenset({0}), 40, 0.1)
+    assert len(found) == 40 and len(seen) <= 40
+    w = np.full(400, 1 / 400)
+    for s in found:
+        said = np.where(bins[:, s.feature] <= s.threshold, s.left, s.right)
+        err = w[said != label].sum() / w.sum()
+        assert s.weight == pytest.approx(0.1 * math.log((1 - err) / err))
+        w[said != label] *= math.exp(s.weight)
