@@ -95,3 +95,30 @@ def test_drawn_rows_are_explained_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(SC.TS, "attributions", lambda paths, rows, *rest: seen.append(rows) or rows)
     assert SC.tree_attr(spark, "x").count() == 500
     assert seen[0].rdd.getNumPartitions() > 1
+
+
+def test_top_factors_need_only_the_largest_attributions(spark):
+    """Ties, zeros, NaN and a repeated key: trimmed rows give the same top factors, from fewer rows."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+    from ledgerlens.operators import explain as X
+    rng = np.random.default_rng(4)
+    rows = [(i // 2 if i < 2 else i, [float(v) for v in rng.integers(-3, 4, 30)]) for i in range(40)]
+    rows[5][1][7] = float("nan")
+    rows[6][1][:] = [0.0] * 30
+    df = spark.createDataFrame(rows, "id long, x array<double>").select("id", array_to_vector("x").alias("features"))
+    names = [f"f{(7 * j) % 30}" for j in range(30)]
+    coef, mean = [float(v) for v in rng.choice([-1, 1, 2], 30)], [0.0] * 30
+    whole = X.linear_attributions(df, "id", "features", names, coef, mean)
+    few = X.linear_attributions(df, "id", "features", names, coef, mean, largest=10)
+    assert few.columns == whole.columns and few.count() == 400 and whole.count() == 1200
+
+    def top(attr):
+        return {r["id"]: [(t["feature"], str(t["shap_value"])) for t in r["top_risk_factors"]]
+                for r in X.top_factors(attr, "id").collect()}
+
+    def distinct(attr):      # the repeated key's equal factors may come in either order
+        return {k: sorted(v, key=str) for k, v in top(attr).items()}
+
+    assert distinct(few) == distinct(whole)
+    assert {k: v for k, v in top(few).items() if k > 1} == {k: v for k, v in top(whole).items() if k > 1}
