@@ -2,9 +2,10 @@
 
 In 64 dimensions bounds from pivots prune nothing, so every query does meet every
 point, but never as rows: queries and points are dealt by a hash of their ids
-into blocks of about BLOCK rows, as many as the data need. Each pair of blocks is
-one group; there a matrix product gives the distances, and only the k best of a
-query go on. The k best of a query's blocks are merged by (distance, id).
+into a few lots, enough for the session's cores and of about LOT rows at most. Each pair of lots is
+one group; there matrix products of BLOCK by BLOCK rows give the distances, and only the k best of a
+query in its group go on. The k best of a query's lots are merged by (distance, id). A row is shuffled
+once for each lot of the other side, which is the number of cores' square root until lots are full.
 
 The product loses the last digits, so it only selects: all points within its
 error of the k-th best are measured again as differences, and these exact
@@ -14,6 +15,8 @@ have no distance: they are neither queries nor neighbours.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -21,7 +24,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.split import hash_order
 
+#: Rows of a matrix product's sides.
 BLOCK = 2048
+#: Rows of a lot, about (64 doubles each: 32 MB).
+LOT = 1 << 16
 NEIGHBOURS = "q_id long, nn_id long, distance double"
 
 
@@ -55,12 +61,35 @@ def nearest(q_id: np.ndarray, q: np.ndarray, p_id: np.ndarray, p: np.ndarray, k:
     return q_id[i[keep]], p_id[j[keep]], exact[keep]
 
 
+def nearest_by_blocks(q_id: np.ndarray, q: np.ndarray, p_id: np.ndarray, p: np.ndarray, k: int, block: int = BLOCK):
+    """``nearest`` with tables of ``block`` x ``block`` distances at most; a query's best are merged as they come."""
+    out = []
+    for at in range(0, len(q), block):
+        best = [np.zeros(0, q_id.dtype), np.zeros(0, p_id.dtype), np.zeros(0)]
+        for to in range(0, len(p), block):
+            found = nearest(q_id[at:at + block], q[at:at + block], p_id[to:to + block], p[to:to + block], k)
+            who, whom, far = (np.concatenate(c) for c in zip(best, found))
+            order = np.lexsort((whom, far, who))
+            who, whom, far = who[order], whom[order], far[order]
+            keep = np.arange(len(who)) - np.searchsorted(who, who) < k
+            best = [who[keep], whom[keep], far[keep]]
+        out.append(best)
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def lots(rows: int, block: int, cores: int) -> int:
+    """Into how many lots the rows of a side are dealt: pairs of lots for all cores, LOT rows at most,
+    and no lot below ``block`` rows but for that."""
+    return max(1, -(-rows // max(LOT, block)), min(-(-rows // block), math.ceil(math.sqrt(8 * cores))))
+
+
 def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id", vec: str = "vec",
         block: int = BLOCK) -> DataFrame:
     """(q_id, nn_id, distance, nn_rank) for the k nearest points of each query
     (a point never neighbours itself: equal ids are excluded)."""
     qs, ps = measured(queries, id_col, vec), measured(points, id_col, vec)
-    q_blocks, p_blocks = (max(1, -(-d.count() // block)) for d in (qs, ps))
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    q_blocks, p_blocks = (lots(d.count(), block, cores) for d in (qs, ps))
 
     def dealt(df, own, n_own, other, n_other):
         return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own))).withColumn(
@@ -70,12 +99,12 @@ def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id", vec:
         names = ["q_id", "nn_id", "distance"]
         if not left.num_rows or not right.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=names)
-        return pa.table([pa.array(c) for c in nearest(*_matrix(left), *_matrix(right), k)], names=names)
+        return pa.table([pa.array(c) for c in nearest_by_blocks(*_matrix(left), *_matrix(right), k, block)], names=names)
 
     left = dealt(qs, "_qb", q_blocks, "_pb", p_blocks).groupBy("_qb", "_pb")
     right = dealt(ps, "_pb", p_blocks, "_qb", q_blocks).groupBy("_qb", "_pb")
     best = left.cogroup(right).applyInArrow(compare, NEIGHBOURS)
-    w = Window.partitionBy("q_id").orderBy("distance", "nn_id")   # k rows per block of points
+    w = Window.partitionBy("q_id").orderBy("distance", "nn_id")   # k rows per lot of points
     return best.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
 
 

@@ -194,3 +194,23 @@ def test_sorted_labels_number_all_values(spark):
     assert got == {n: i for i, n in enumerate(sorted({n for n in names if n}))}
     enc = PR.label_encode(df, "name").where("name = 3001").count()
     assert enc == 1
+
+
+def test_a_vector_is_shuffled_once_for_each_lot():
+    """Lots are as many as the cores need until they are full: twice the rows are twice the shuffle, not four times."""
+    for rows in (30_000, 60_000, 120_000, 240_000):
+        assert K.lots(rows, K.BLOCK, 12) == 10
+    assert K.lots(0, K.BLOCK, 12) == K.lots(2000, K.BLOCK, 12) == 1 and K.lots(5000, K.BLOCK, 12) == 3
+    assert K.lots(6 * 120_000, K.BLOCK, 12) == 11 and K.lots(10 * K.LOT * 7, K.BLOCK, 12) == 70
+
+
+def test_blocks_of_a_lot_give_the_nearest_of_all():
+    rng = np.random.default_rng(5)
+    q, p = rng.integers(0, 3, (40, 4)).astype(float), rng.integers(0, 3, (70, 4)).astype(float)     # many ties
+    q_id, p_id = rng.permutation(40), rng.permutation(70)
+    far = np.sqrt(((q[:, None] - p[None]) ** 2).sum(2))
+    want = [(q_id[i], p_id[j], far[i, j]) for i in np.argsort(q_id)
+            for j in [j for j in np.lexsort((p_id, far[i])) if p_id[j] != q_id[i]][:5]]
+    for block in (7, 33, 1000):
+        got = K.nearest_by_blocks(q_id, q, p_id, p, 5, block)
+        assert sorted(zip(*(c.tolist() for c in got))) == sorted((int(a), int(b), float(d)) for a, b, d in want)
