@@ -213,3 +213,30 @@ def test_a_stump_reweighs_the_rows_once(monkeypatch):
         err = w[said != label].sum() / w.sum()
         assert s.weight == pytest.approx(0.1 * math.log((1 - err) / err))
         w[said != label] *= math.exp(s.weight)
+
+
+def test_a_walk_reads_the_rows_still_going(monkeypatch):
+    """A row is looked at once for each split on its way, not once for each level of the tree."""
+    n, read, cells = 64, [], H._cells
+    monkeypatch.setattr(H, "_cells", lambda bins, rows, feature: read.extend(rows.tolist()) or cells(bins, rows, feature))
+    bins = np.arange(n, dtype=np.uint8)[:, None].repeat(3, axis=1)
+    # a chain: the k-th split sends bin k to a leaf
+    inner = np.arange(0, 20, 2)
+    t = H.Tree(np.full(21, -1, np.int32), np.zeros(21, np.int16), np.zeros(21, np.int32), np.zeros(21, np.int32),
+               np.arange(21.0), np.zeros(21), np.zeros(21), 10)
+    t.feature[inner], t.cut[inner], t.left[inner], t.right[inner] = inner % 3, inner // 2, inner + 1, inner + 2
+    for table in (bins, np.asfortranarray(bins), bins[:, ::-1]):
+        read.clear()
+        assert t.walk(table).tolist() == [2 * k + 1 for k in range(10)] + [20] * (n - 10)
+        assert sorted(read) == sorted(k for k in range(n) for _ in range(min(k + 1, 10)))
+        assert t.walk(table, np.array([3, 40]), np.array([4, 20], np.int32)).tolist() == [7, 20]
+
+
+def test_scoring_leaves_the_blocks_where_they_are(spark):
+    """Margins of a block are those of its rows, whatever rows are asked for."""
+    x, y = data(300)
+    table = H.binned(frame(spark, x, y, np.arange(300) % 3), "features", "label", "id", F.col("grp"))
+    model, = H.train(table, [H.Fit(H.Params(rounds=5, min_leaf=3), frozenset({0, 1}))])
+    every = {r.key: r.margin for r in H.block_margins(table, [model], ["m"]).collect()}
+    some = {r.key: r.margin for r in H.block_margins(table, [model], ["m"], [{2}]).collect()}
+    assert len(every) == 300 and len(some) == 100 and all(every[k] == v for k, v in some.items())
