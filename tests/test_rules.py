@@ -206,3 +206,8 @@ def test_rollups_shuffle_rows_not_partial_sums(spark):
     below = [plan[i + 1] for i, line in enumerate(plan) if "Exchange hashpartitioning" in line]
     assert len(below) >= 2                      # lineitem, and the orders with their lines
     assert not any("Aggregate" in line for line in below)
+
+
+def test_a_forest_keeps_its_rows_nodes():
+    from ledgerlens.operators import models as MO
+    assert MO.forest().getCacheNodeIds()
