@@ -43,3 +43,27 @@ def test_the_library_stands_without_the_corpus_operators():
             "assert set(E.oracle_sql()) <= set(names) and len(names) > 100\n")
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_importances_are_fitted_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    import numpy as np
+
+    from ledgerlens.plans import modeling as MD
+    met = threading.Barrier(3, timeout=30)
+
+    class Table:
+        def rdd(self):
+            return None
+
+    def fit(k):
+        met.wait()                                     # breaks unless all three fits are under way
+        return np.eye(3)[k]
+
+    monkeypatch.setattr(MD, "_split", lambda *_: (None, None, ["a", "b", "c"]))
+    monkeypatch.setattr(MD, "binned_matrix", lambda *_: Table())
+    monkeypatch.setattr(MD, "importance_sources", lambda *_: {
+        n: lambda k=k: fit(k) for k, n in enumerate(("Random Forest", "GBT A (Tuned)", "GBT B (Tuned)"))})
+    first = [(r.model, r.place, r.feature) for r in MD.q_importance_all(spark, "").collect() if r["rank"] == 1]
+    assert first == [("GBT B (Tuned)", 1, "c"), ("GBT A (Tuned)", 2, "b"), ("Random Forest", 3, "a")]
