@@ -211,3 +211,18 @@ def test_rollups_shuffle_rows_not_partial_sums(spark):
 def test_a_forest_keeps_its_rows_nodes():
     from ledgerlens.operators import models as MO
     assert MO.forest().getCacheNodeIds()
+
+
+def test_only_columns_with_gaps_are_asked_for_their_median(spark, monkeypatch):
+    """Null, NaN and infinite values get the median of the others; a whole column is not sketched."""
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, 1.0, None, 5.0, 1.0, None), (2, 2.0, 4.0, inf, nan, None), (3, 9.0, 8.0, 7.0, 3.0, None)]
+    df = spark.createDataFrame(rows, "k int, whole double, a double, b double, c double, none double")
+    asked, medians = [], PR.medians
+    monkeypatch.setattr(PR, "medians", lambda d, cols: asked.extend(cols) or medians(d, cols))
+    got = PR.inf_to_median(df, ["whole", "a", "b", "c", "none"]).orderBy("k").collect()
+    assert asked == ["a", "b", "c", "none"]
+    old = PR.without_inf(df, list("abc")).fillna(medians(df, ["whole", *"abc"])).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in old]
+    assert [r.a for r in got] == [6.0, 4.0, 8.0] and [r.b for r in got] == [5.0, 6.0, 7.0]
+    assert [r.whole for r in PR.inf_to_median(df, ["whole"]).orderBy("k").collect()] == [1.0, 2.0, 9.0]
