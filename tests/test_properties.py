@@ -77,6 +77,39 @@ def test_permutation_attributions_sum_to_prediction_gap(spark):
         assert s == pytest.approx(p[k] - pb, abs=1e-9)
 
 
+def test_permutation_attributions_of_repeated_and_null_keys(spark, monkeypatch):
+    """Each row has its own values, also if its key comes twice or is null, and whatever the batches."""
+    monkeypatch.setattr(X, "STEP_VALUES", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df, x = _frame(spark)
+        m = DecisionTreeClassifier(maxDepth=3, seed=1).fit(df)
+        bg = x.mean(axis=0).tolist()
+        some = [(1, Vectors.dense(x[0])), (1, Vectors.dense(x[0])), (None, Vectors.dense(x[1]))]
+        rows = spark.createDataFrame(some, ["id", "features"]).coalesce(1)
+        got = X.permutation_attributions(m, rows, "id", "features", ["a", "b", "c", "d"], bg, orders=3).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 12
+    score = {tuple(r.features): r.p for r in m.transform(rows.union(spark.createDataFrame([(9, Vectors.dense(bg))], ["id", "features"])))
+             .select("features", vector_to_array("probability")[1].alias("p")).collect()}
+    for k, n in ((1, 2), (None, 1)):
+        want = score[tuple(x[0 if k else 1])] - score[tuple(bg)]
+        assert sum(r.attribution for r in got if r.id == k) == pytest.approx(n * want, abs=1e-9)
+        assert {(r.feature, r.input_value) for r in got if r.id == k} == set(zip("abcd", x[0 if k else 1]))
+
+
+def test_shap_perm_explains_every_test_row(spark, monkeypatch):
+    from ledgerlens.plans import modeling as MD
+    from ledgerlens.plans import scoring as SC
+    rows = [(i, float(i % 3 == 0), 1.0, Vectors.dense([i % 7, i % 3])) for i in range(2100)]
+    fm = spark.createDataFrame(rows, [SC.KEY, "label", "weight", "features"])
+    monkeypatch.setattr(SC, "_split", lambda *_: (fm, fm, ["a", "b"]))
+    monkeypatch.setattr(MD, "fitted", lambda *_: DecisionTreeClassifier(maxDepth=2).fit(fm))
+    got = SC.q_shap_perm(spark, "").groupBy(SC.KEY).count().collect()
+    assert len(got) == 2100 and all(r["count"] == 2 for r in got)
+
+
 def test_linear_attributions_reconstruct_margin(spark):
     df, x = _frame(spark)
     m = LogisticRegression(regParam=0.01).fit(df)
