@@ -67,3 +67,29 @@ def test_importances_are_fitted_at_the_same_time(spark, monkeypatch):
         n: lambda k=k: fit(k) for k, n in enumerate(("Random Forest", "GBT A (Tuned)", "GBT B (Tuned)"))})
     first = [(r.model, r.place, r.feature) for r in MD.q_importance_all(spark, "").collect() if r["rank"] == 1]
     assert first == [("GBT B (Tuned)", 1, "c"), ("GBT A (Tuned)", 2, "b"), ("Random Forest", 3, "a")]
+
+
+def test_importances_come_from_every_model_in_the_order(spark, monkeypatch):
+    import numpy as np
+
+    from ledgerlens.plans import modeling as MD
+
+    class Fitted:
+        """Any of the models, with importances of its own."""
+
+        def __init__(self, n):
+            self.featureImportances = self
+            self.toArray = self.splits = self.gains = lambda: np.arange(3.0) + n
+
+        def rdd(self):
+            return None
+
+    monkeypatch.setattr(MD, "_split", lambda *_: (None, None, ["a", "b", "c"]))
+    monkeypatch.setattr(MD, "binned_matrix", lambda *_: Fitted(0))
+    monkeypatch.setattr(MD, "fitted_search", lambda *a: (Fitted({"search_gbt_b": 1, "search_gbt_a": 2}[a[2]]), []))
+    monkeypatch.setattr(MD, "fitted_early", lambda *_: Fitted(3))
+    monkeypatch.setattr(MD, "fitted_weighted", lambda *_: Fitted(4))
+    monkeypatch.setattr(MD, "fitted_forest_search", lambda *_: Fitted(5), raising=False)
+    monkeypatch.setattr(MD, "fitted", lambda *a: Fitted({"rf": 6, "gbt": 7}[a[2]]))
+    got = [tuple(r) for r in MD.q_importance_all(spark, "").orderBy("place", "rank").collect()]
+    assert got == [(n, k + 1, j + 1, "cba"[j], 2.0 - j + k + 1) for k, n in enumerate(MD.IMPORTANCE_ORDER) for j in range(3)]
