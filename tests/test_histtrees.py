@@ -240,3 +240,71 @@ def test_scoring_leaves_the_blocks_where_they_are(spark):
     every = {r.key: r.margin for r in H.block_margins(table, [model], ["m"]).collect()}
     some = {r.key: r.margin for r in H.block_margins(table, [model], ["m"], [{2}]).collect()}
     assert len(every) == 300 and len(some) == 100 and all(every[k] == v for k, v in some.items())
+
+
+@pytest.fixture(params=["sums on the driver", "sums shuffled"])
+def waves(request, monkeypatch):
+    """A job per wave, as for more bins than a task holds."""
+    monkeypatch.setattr(H, "TASK_ROWS", 128)
+    monkeypatch.setattr(H, "FIT_BYTES", 0)
+    if "shuffled" in request.param:
+        monkeypatch.setattr(H, "DRIVER_BYTES", 0)
+
+
+def test_waves_of_jobs_train_the_same_models(spark, waves):
+    test_many_models_train_as_each_alone(spark, None)
+    test_trees_equal_best_first_growth(
+        spark, H.Params(rounds=2, max_leaves=9, max_depth=0, l2=1.0, min_hessian=2.0, rate=0.5, balance="positive"), None)
+
+
+def test_more_rows_are_grown_by_a_task_for_each_model(spark, monkeypatch):
+    """Several models over more than TASK_ROWS rows need no job per wave, and are what the jobs give."""
+    x, y = data(600, 11)
+    x[:, 1:] += np.random.default_rng(2).normal(size=(600, 5))             # no ties between features
+    monkeypatch.setattr(H, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(H, "TASK_ROWS", 128)
+    group = np.arange(600) % 3
+    table = H.binned(frame(spark, x, y, group), "features", "label", "id", F.col("grp"))
+    p = H.Params(rounds=12, max_leaves=15, min_leaf=5, rows=0.8, columns=0.7, rate=0.3)
+    fits = [H.Fit(p, frozenset({0, 1})), H.Fit(H.replace(p, patience=4, rate=0.5), frozenset({0}), frozenset({1}))]
+    monkeypatch.setattr(H, "FIT_BYTES", 0)
+    want = H.train(table, fits)
+    monkeypatch.setattr(H, "FIT_BYTES", 600 * 6)
+    monkeypatch.setattr(H, "_Spread", None)                                # breaks if a wave were a job
+    for a, b in zip(H.train(table, fits), want):
+        assert len(a.trees) == len(b.trees) and a.losses == pytest.approx(b.losses)
+        for s, t in zip(a.trees, b.trees):
+            assert s.feature.tolist() == t.feature.tolist() and s.value == pytest.approx(t.value)
+
+
+def test_features_counted_together_give_their_own_tables():
+    rng = np.random.default_rng(4)
+    sizes = [64, 2, 3, 64, 40, 2, 17, 1, 64]
+    bins = np.asfortranarray(np.stack([rng.integers(0, n, 30_000) for n in sizes], axis=1).astype(np.uint8))
+    joint = H.Joint.of(bins, [np.zeros(n - 1) for n in sizes])
+    assert len(joint.features) < len(sizes) and sorted(sum(joint.features, [])) == list(range(len(sizes)))
+    rows = np.flatnonzero(rng.random(30_000) < 0.7)
+    g, h = rng.normal(size=len(rows)), rng.random(len(rows))
+    for slots in (1, 3, 200):                                              # the last ones are counted by feature
+        slot = rng.integers(0, slots, len(rows))
+        for columns in (np.arange(9), np.array([0, 2, 4, 8])):
+            got = joint.tabulate(bins, slot, slots, columns, 64, g, h, rows=rows)
+            want = H.tabulate(bins, slot, slots, columns, 64, g, h, rows=rows)
+            assert got.shape == want.shape and got == pytest.approx(want, abs=1e-9)
+
+
+def test_margins_are_those_of_the_trees(monkeypatch):
+    """Rows that a round learned from go on from where they are; the others watched walk from the root."""
+    x, y = data(300, 6)
+    bins = np.stack([np.unique(c, return_inverse=True)[1] for c in x.T], axis=1).clip(0, 63).astype(np.uint8)
+
+    class Table:
+        edges, counts = [np.arange(63.0)] * 6, {(g, t): int(((np.arange(300) % 3 == g) & (y == t)).sum()) for g in range(3) for t in (0, 1)}
+
+    # leaves that best-first order drops, and splits after the last wave
+    run = H._Run(H.Fit(H.Params(rounds=6, max_leaves=7, max_depth=3, min_leaf=3, rows=0.6, rate=0.4), frozenset({0}), frozenset({1})), Table())
+    here = H._Here([([(0, 300)], bins, y.astype(float), (np.arange(300) % 3).astype(np.int16))], [run], 64)
+    H._grow([run], here, 6)
+    f = run.start + sum(t.value[t.walk(bins)] for t in run.trees)
+    seen = np.arange(300) % 3 < 2
+    assert len(run.trees) == 6 and here.margins[0][seen] == pytest.approx(f[seen])
