@@ -93,3 +93,47 @@ def test_importances_come_from_every_model_in_the_order(spark, monkeypatch):
     monkeypatch.setattr(MD, "fitted", lambda *a: Fitted({"rf": 6, "gbt": 7}[a[2]]))
     got = [tuple(r) for r in MD.q_importance_all(spark, "").orderBy("place", "rank").collect()]
     assert got == [(n, k + 1, j + 1, "cba"[j], 2.0 - j + k + 1) for k, n in enumerate(MD.IMPORTANCE_ORDER) for j in range(3)]
+
+
+def test_the_searches_of_search_draws_run_at_the_same_time(spark, monkeypatch):
+    import threading
+    from collections import namedtuple
+
+    from ledgerlens.plans import modeling as MD
+    met, mean = threading.Barrier(2, timeout=30), {"draw": 3, "auc": 0.7}
+
+    def fitted_search(spark, sf_dir, key):
+        met.wait()                                     # breaks unless both searches are under way
+        return None, [mean]
+
+    monkeypatch.setattr(MD, "binned_matrix", lambda *_: None)
+    monkeypatch.setattr(MD, "fitted_search", fitted_search)
+    got = [(r.search, r.place, r.draw, r.rate, r.cv_mean_auc) for r in MD.q_search_draws(spark, "").collect()]
+    assert got == [(k, 1, 3, round(MD.drawn_params(k)[3].rate, 6), 0.7) for k in MD.BOOSTED_SEARCHES]
+
+
+def test_the_forest_search_has_few_large_partitions(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from pyspark.ml.linalg import Vectors
+
+    from ledgerlens.plans import modeling as MD
+    tr = spark.createDataFrame([(i, i % 2, float(i % 2), 1.0, Vectors.dense([i % 5])) for i in range(90)],
+                               [MD.KEY, MD.TARGET, "label", "weight", "features"]).repartition(9)
+    monkeypatch.setattr(MD, "_CACHE", {})
+    monkeypatch.setattr(MD, "_split", lambda *_: (tr, tr, ["a"]))
+    monkeypatch.setitem(MD.SEARCHES, "search_rf", ("F", lambda: MD.MO.forest(n_trees=2), 1, {}, {"numTrees": 3}))
+    seen = []
+
+    def search(est, space, n_iter, df, fold, parallelism):
+        seen.append((df.rdd.getNumPartitions(), df.count()))
+        return SimpleNamespace(bestModel=SimpleNamespace(extractParamMap=dict))
+
+    monkeypatch.setattr(MD.SP, "kfold", lambda df, *a, **k: df)
+    monkeypatch.setattr(MD.MO, "random_search", search)
+    for small in (100, 50):                            # few rows stay as they are
+        MD._CACHE.clear()
+        monkeypatch.setattr(MD.MO, "FOREST_ROWS", 40)
+        monkeypatch.setattr(MD.MO, "FOREST_SMALL", small)
+        assert MD.fitted_forest_search(spark, "", "search_rf").getNumTrees == 3
+    assert seen == [(9, 90), (3, 90)]
